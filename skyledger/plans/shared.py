@@ -1,0 +1,33 @@
+"""Where jobs keep intermediate tables."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+SETTING = "spark.checkpoint.dir"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors see, named by the session.  A local one stands
+    in only where the session names none, as in tests on one machine."""
+    folder = spark.conf.get(SETTING, None)
+    if folder is None:
+        folder = tempfile.mkdtemp(prefix="skyledger-")
+        spark.conf.set(SETTING, folder)
+    return folder
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder; no two calls share one."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """Write once, read back.  Later use neither recomputes the rows nor depends
+    on an executor that held them, and the scan knows its exact size."""
+    path = scratch_table(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
