@@ -207,6 +207,17 @@ ORACLES: dict[str, str] = {
           ELSE {_READ_TEMPERATURE} END AS value FROM o) k GROUP BY kind""",
     "city_dimension": f"""{_O} SELECT city, COUNT(*) AS row_count
       FROM (SELECT unnest([city, country, weather_main]) AS city FROM o) e GROUP BY city""",
+    "landing_files": f"""{_O} SELECT kind,
+        CASE WHEN obs_id % 101 = 0 THEN 'invalid_key' WHEN obs_id % 103 = 0 THEN 'city_not_found'
+          WHEN obs_id % 107 = 0 THEN 'rate_limited' WHEN obs_id % 109 = 0 THEN 'failed'
+          ELSE 'ok' END AS outcome,
+        COUNT(*) AS row_count, COUNT(CASE WHEN kind = 'forecast' THEN city END) AS with_city,
+        MAX(api_timestamp) AS last_fetch, COUNT(*) AS with_body
+      FROM o, (SELECT unnest(['forecast', 'uv']) AS kind) k GROUP BY 1, 2""",
+    "raw_view": f"""{_O} SELECT country, COUNT(*) AS row_count,
+        CAST(MAX(feels_like) AS DOUBLE) AS max_feels_like,
+        COUNT(CASE WHEN weather_description LIKE '%rain%' THEN 1 END) AS rainy
+      FROM o WHERE wind_speed > 10 GROUP BY country""",
     "response_triage": f"""{_O} SELECT obs_id,
         CASE WHEN obs_id % 101 = 0 THEN 'invalid_key' WHEN obs_id % 103 = 0 THEN 'city_not_found'
           WHEN obs_id % 107 = 0 THEN 'rate_limited' WHEN obs_id % 109 = 0 THEN 'failed'

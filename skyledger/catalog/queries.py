@@ -11,11 +11,11 @@ from skyledger.functions import casts, text
 from skyledger.operators import enrich as profiles, latest, lookup, parse, quality, stats
 from skyledger.operators.enrich import enrich
 from skyledger.plans import jobs
-from skyledger.plans.shared import scratch_table
+from skyledger.shared import scratch_table
 from skyledger.schemas import RECORD
 from skyledger.sinks import table as sink
 from skyledger.sinks.conform import conform
-from skyledger.sources import landing, stored
+from skyledger.sources import landing, stored, views
 from skyledger.sources.cities import DEPLOYED_CITIES, explode_list
 from skyledger.streaming.cycle import start_cycles
 
@@ -122,6 +122,33 @@ def city_dimension(spark, sf_dir):
     return explode_list(lists, "cities", "city").groupBy("city").agg(stats.row_count())
 
 
+@query
+def landing_files(spark, sf_dir):
+    """Responses through JSON files in the landing layout."""
+    obs = observations(spark, sf_dir)
+    path = scratch_table(spark, "landing")
+    for kind in (landing.FORECAST, landing.UV):
+        landing.write_landing(responses(obs, kind), path)
+    rows = landing.triage(landing.read_landing(spark, path))
+    return rows.groupBy("kind", "outcome").agg(
+        stats.row_count(),
+        F.count("city").alias("with_city"),
+        F.max("fetched_at").alias("last_fetch"),
+        F.count("body").alias("with_body"),
+    )
+
+
+@query
+def raw_view(spark, sf_dir):
+    """SQL text over the registered view."""
+    views.register(observations(spark, sf_dir))
+    return spark.sql(
+        """SELECT country, count(*) AS row_count, max(feelsLike) AS max_feels_like,
+             count_if(weatherDescription LIKE '%rain%') AS rainy
+           FROM weather_raw WHERE windSpeed > 10 GROUP BY country"""
+    )
+
+
 @query
 def response_triage(spark, sf_dir):
     raw = responses(observations(spark, sf_dir), landing.FORECAST)
@@ -333,7 +360,8 @@ def uv_enrich_salted(spark, sf_dir):
     """The join used when the lookup is too large to broadcast."""
     obs = observations(spark, sf_dir)
     uv = parse.readable(parse.parse_uv(responses(obs, landing.UV)))
-    return conform_uv(lookup.uv_enrich(obs, uv, broadcast_rows=0)).select("obs_id", "city", "uv_index")
+    joined = lookup.uv_enrich(obs, uv, broadcast_rows=0, spread_by=("obs_id",))
+    return conform_uv(joined).select("obs_id", "city", "uv_index")
 
 
 @query

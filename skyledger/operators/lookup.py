@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from skyledger.operators.parse import COORDINATE_KEY
+from skyledger.shared import written
 from skyledger.sources.cities import city_dimension, names
 
 # Rows of three decimals take under 100 bytes each, so this is under 50 MB.
@@ -15,14 +16,13 @@ SALTS = 32
 
 
 def fits_broadcast(lookup: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most one row more than the bound."""
-    return rows > 0 and lookup.limit(rows + 1).count() <= rows
+    return lookup.count() <= rows
 
 
-def spread(facts: DataFrame, salts: int) -> Column:
+def spread(columns: Sequence[str], salts: int) -> Column:
     """A salt per row.  Hashing the row with its partition number spreads a hot
     key, and also a crowd of identical rows, and repeats when a task is rerun."""
-    return F.pmod(F.xxhash64(*facts.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
+    return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(salts)).cast("int")
 
 
 def lookup_join(
@@ -31,17 +31,19 @@ def lookup_join(
     on: Sequence[str],
     broadcast_rows: int = BROADCAST_ROWS,
     salts: int = SALTS,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left join to a lookup with one fixed-width row per key.
 
     A lookup of checked size is broadcast, so the facts do not move.  A larger
     one is joined on key and salt: a key that holds a third of the facts, or
-    the NULL key, is then shared by many tasks.
+    the NULL key, is then shared by many tasks.  ``spread_by`` names columns
+    that tell rows apart; by default all, which makes the scan read them all.
     """
     on = list(on)
     if fits_broadcast(lookup, broadcast_rows):
         return facts.join(F.broadcast(lookup), on, "left")
-    salted = facts.withColumn("_salt", spread(facts, salts))
+    salted = facts.withColumn("_salt", spread(spread_by or facts.columns, salts))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, [*on, "_salt"], "left").drop("_salt")
 
@@ -59,9 +61,7 @@ def latest_uv(uv: DataFrame) -> DataFrame:
     )
 
 
-def join_uv(
-    records: DataFrame, lookup: DataFrame, broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS
-) -> DataFrame:
+def join_uv(records: DataFrame, lookup: DataFrame, **join_options) -> DataFrame:
     """Add ``uv_index`` from a lookup made by :func:`latest_uv`."""
     keyed = records.drop("uv_index").withColumns(
         {
@@ -69,14 +69,16 @@ def join_uv(
             "_lon": F.col("longitude").try_cast(COORDINATE_KEY),
         }
     )
-    return lookup_join(keyed, lookup, ("_lat", "_lon"), broadcast_rows, salts).drop("_lat", "_lon")
+    return lookup_join(keyed, lookup, ("_lat", "_lon"), **join_options).drop("_lat", "_lon")
 
 
-def uv_enrich(
-    records: DataFrame, uv: DataFrame, broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS
-) -> DataFrame:
-    """Add ``uv_index`` by coordinates.  Records without a match keep NULL."""
-    return join_uv(records, latest_uv(uv), broadcast_rows, salts)
+def uv_enrich(records: DataFrame, uv: DataFrame, **join_options) -> DataFrame:
+    """Add ``uv_index`` by coordinates.  Records without a match keep NULL.
+
+    The lookup is written first: its size is then known without reading the UV
+    responses twice.
+    """
+    return join_uv(records, written(latest_uv(uv), "uv"), **join_options)
 
 
 def city_coverage(spark: SparkSession, records: DataFrame, cities: str) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skyledger.functions.text import redact_param
 from skyledger.operators import latest, lookup, parse, quality, stats
 from skyledger.operators.enrich import enrich
-from skyledger.plans.shared import written
 from skyledger.sinks.table import BatchCounts, ensure_table, write_batch
 from skyledger.sources import landing as land
 from skyledger.sources.cities import DEFAULT_CITIES
@@ -46,8 +45,7 @@ def records_from(responses: DataFrame) -> DataFrame:
         .drop("kind", "status", "outcome", "_usable")
     )
     uv = parse.parse_uv(land.of_kind(triaged, land.UV).filter(ok))
-    uv_lookup = written(lookup.latest_uv(parse.readable(uv)), "uv")
-    return lookup.join_uv(records, uv_lookup)
+    return lookup.uv_enrich(records, parse.readable(uv))
 
 
 def run_batch(

@@ -1,9 +1,11 @@
-"""Where jobs keep intermediate tables."""
+"""Intermediate tables in the folder the cluster names, and scoped settings."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,3 +33,15 @@ def written(rows: DataFrame, name: str) -> DataFrame:
     path = scratch_table(rows.sparkSession, name)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str, default: str) -> Iterator[None]:
+    """Change a session setting for one action, unless the user changed it."""
+    before = spark.conf.get(name, default)
+    if before == default:
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

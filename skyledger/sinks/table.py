@@ -10,12 +10,12 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from skyledger.functions import casts
 from skyledger.operators import quality
 from skyledger.schemas import RECORD
+from skyledger.shared import setting
 from skyledger.sinks.conform import conformed
 from skyledger.sources.stored import FAILED, REJECTED, STORED, VALID
 
@@ -24,6 +24,7 @@ from skyledger.sources.stored import FAILED, REJECTED, STORED, VALID
 ID_STRIDE = 1 << 20
 _ROW_BITS = 33
 
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 LEDGER = "batch string, stored bigint, rejected bigint, failed bigint, last_id bigint"
 
 
@@ -92,13 +93,9 @@ def ledger_path(root: str) -> str:
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
     """One row per batch.  Kept beside the table, so finding the next free id
     or the counts of a run does not touch the records."""
-    reader = spark.read.schema(LEDGER).option("recursiveFileLookup", "true")
-    try:
-        return reader.json(ledger_path(root))
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], LEDGER)
+    path = ledger_path(root)
+    spark.createDataFrame([], LEDGER).write.mode("ignore").json(path)
+    return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").json(path)
 
 
 def last_id(spark: SparkSession, root: str, before: str) -> int:
@@ -123,16 +120,14 @@ def write_batch(
     rows = prepare(records, last_id(spark, root, before=batch) + 1)
     seen = Observation()
     is_outcome = {name: F.col("outcome") == name for name in (VALID, REJECTED, FAILED)}
-    (
-        rows.observe(
-            seen,
-            *(F.count_if(test).alias(name) for name, test in is_outcome.items()),
-            F.max("id").alias("last_id"),
-        )
-        .write.mode("overwrite")
-        .partitionBy("outcome")
-        .parquet(f"{root}/batch={batch}")
+    observed = rows.observe(
+        seen,
+        *(F.count_if(test).alias(name) for name, test in is_outcome.items()),
+        F.max("id").alias("last_id"),
     )
+    # A task keeps one file per outcome open instead of sorting its rows.
+    with setting(spark, OPEN_FILES, str(len(is_outcome)), default="0"):
+        observed.write.mode("overwrite").partitionBy("outcome").parquet(f"{root}/batch={batch}")
     found = seen.get
     counts = BatchCounts(
         batch, found[VALID], found[REJECTED], found[FAILED], found["last_id"] or 0

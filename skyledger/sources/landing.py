@@ -25,6 +25,19 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame
     return spark.read.schema(LANDING).format(fmt).load(path)
 
 
+def write_landing(responses: DataFrame, path: str, fmt: str = "json") -> None:
+    """Append responses in the layout :func:`read_landing` prunes best."""
+    (
+        responses.select(*LANDING.fieldNames())
+        .write.mode("append")
+        .partitionBy("kind")
+        .format(fmt)
+        # JSON text would otherwise lose the microseconds.
+        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        .save(path)
+    )
+
+
 def stream_landing(
     spark: SparkSession, path: str, fmt: str = "json", files_per_batch: int = 1000
 ) -> DataFrame:
