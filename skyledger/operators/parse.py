@@ -133,10 +133,15 @@ def _uv_record(node: Column) -> dict[str, Column]:
 
 
 def _parse(landing: DataFrame, body: str, schema: str, record) -> DataFrame:
-    """Read the body once into a struct, then project its leaves."""
+    """Read the body once into a struct, then project its leaves.
+
+    The struct comes out of a one-element explode.  A filter on what was parsed
+    would otherwise be pushed below the projection and parse every body again.
+    """
     keep = [F.col(name) for name in landing.columns if name != "city"]
     node = F.col("_body")
-    return landing.withColumn("_body", _read_body(F.col(body), schema)).select(
+    parsed = landing.select("*", F.explode(F.array(_read_body(F.col(body), schema))).alias("_body"))
+    return parsed.select(
         *keep,
         *(value.alias(name) for name, value in record(node).items()),
         _malformed(F.col(body), node).alias("parse_error"),

@@ -51,7 +51,9 @@ def read_jdbc(
 ) -> DataFrame:
     """A database table in the record's column order.  ``split_on`` with its
     bounds reads it over several connections; filters are pushed down."""
-    options = {"preferTimestampNTZ": "true", **properties}
+    # Types are set at the source: a cast on top would keep filters from the database.
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RECORD.fields)
+    options = {"preferTimestampNTZ": "true", "customSchema": types, **properties}
     if split_on is not None and bounds is not None:
         options |= {
             "partitionColumn": split_on,
@@ -63,7 +65,7 @@ def read_jdbc(
     present = {name.lower(): name for name in table_rows.columns}
     return table_rows.select(
         *(
-            F.col(present[field.name]).cast(field.dataType).alias(field.name)
+            F.col(present[field.name]).alias(field.name)
             for field in RECORD.fields
             if field.name in present
         )
