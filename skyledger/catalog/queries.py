@@ -158,9 +158,7 @@ def response_triage(spark, sf_dir):
 @query
 def parse_reject_split(spark, sf_dir):
     raw = responses(observations(spark, sf_dir), landing.FORECAST)
-    parsed = parse.parse_forecast_first(raw)
-    kept = parse.readable(parsed).select("obs_id", F.lit("kept").alias("part"))
-    return kept.unionByName(parse.unreadable(parsed).select("obs_id", F.lit("rejected").alias("part")))
+    return parse.split(parse.parse_forecast_first(raw)).select("obs_id", "part")
 
 
 # --- sinks ------------------------------------------------------------------

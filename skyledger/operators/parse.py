@@ -34,11 +34,12 @@ def _read_body(body: Column, schema: str) -> Column:
     return F.from_json(body, f"{schema}, {CORRUPT} string", options)
 
 
-def _malformed(body: Column, parsed: Column) -> Column:
+def _malformed(parsed: Column) -> Column:
     """NULL for readable JSON.  A field of an unexpected shape also marks the
     row as corrupt, so flagged rows, and only those, get a second look."""
-    suspect = parsed.isNull() | parsed[CORRUPT].isNotNull()
-    return F.when(suspect & F.try_parse_json(body).isNull(), F.lit(MALFORMED))
+    flagged = parsed[CORRUPT]
+    unreadable = flagged.isNotNull() & F.try_parse_json(flagged).isNull()
+    return F.when(parsed.isNull() | unreadable, F.lit(MALFORMED))
 
 
 def _measures(entry: Column) -> dict[str, Column]:
@@ -144,7 +145,7 @@ def _parse(landing: DataFrame, body: str, schema: str, record) -> DataFrame:
     return parsed.select(
         *keep,
         *(value.alias(name) for name, value in record(node).items()),
-        _malformed(F.col(body), node).alias("parse_error"),
+        _malformed(node).alias("parse_error"),
     )
 
 
@@ -168,6 +169,12 @@ def parse_uv(landing: DataFrame, body: str = "body") -> DataFrame:
     return _parse(landing, body, schemas.UV_BODY, _uv_record)
 
 
+def split(parsed: DataFrame) -> DataFrame:
+    """Add ``part``: both outcomes from one pass, for a write partitioned by it."""
+    kept = F.col("parse_error").isNull()
+    return parsed.withColumn("part", F.when(kept, "kept").otherwise("rejected"))
+
+
 def readable(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("parse_error").isNull())
 
