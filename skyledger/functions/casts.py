@@ -1,29 +1,22 @@
-"""Text-to-type conversions that yield NULL instead of failing the job."""
+"""Conversions that yield NULL instead of failing the job."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from skyledger.schemas import WIDE
-
 # First and last second of the years 1 to 9999, the range of a timestamp.
 MIN_EPOCH = -62135596800
 MAX_EPOCH = 253402300799
 
 
-def to_measure(text: Column) -> Column:
-    """JSON leaf text to an exact decimal; unreadable text gives NULL."""
-    return text.try_cast(WIDE)
-
-
-def to_whole(text: Column) -> Column:
-    """JSON leaf text to int: fractions are cut off, unreadable text gives NULL."""
-    return text.try_cast(WIDE).try_cast("int")
+def to_whole(number: Column) -> Column:
+    """Decimal to int: fractions are cut off, what does not fit is NULL."""
+    return number.try_cast("int")
 
 
-def epoch_to_utc(text: Column) -> Column:
-    """Epoch-second text to the UTC wall clock, whatever the session zone is."""
-    seconds = text.try_cast(WIDE).try_cast("bigint")
+def epoch_to_utc(number: Column) -> Column:
+    """Epoch seconds to the UTC wall clock, whatever the session zone is."""
+    seconds = number.try_cast("bigint")
     in_range = F.when(seconds.between(MIN_EPOCH, MAX_EPOCH), seconds)
     start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return start + F.make_dt_interval(secs=in_range.cast("decimal(18,6)"))

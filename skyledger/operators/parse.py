@@ -47,17 +47,17 @@ def _measures(entry: Column) -> dict[str, Column]:
     main, wind = entry["main"], entry["wind"]
     text = F.get(entry["weather"], F.lit(0))
     return {
-        "temperature": casts.to_measure(main["temp"]),
-        "feels_like": casts.to_measure(main["feels_like"]),
-        "temp_min": casts.to_measure(main["temp_min"]),
-        "temp_max": casts.to_measure(main["temp_max"]),
+        "temperature": main["temp"],
+        "feels_like": main["feels_like"],
+        "temp_min": main["temp_min"],
+        "temp_max": main["temp_max"],
         "humidity": casts.to_whole(main["humidity"]),
         "pressure": casts.to_whole(main["pressure"]),
         "sea_level": casts.to_whole(main["sea_level"]),
         "ground_level": casts.to_whole(main["grnd_level"]),
-        "wind_speed": casts.to_measure(wind["speed"]),
+        "wind_speed": wind["speed"],
         "wind_direction": casts.to_whole(wind["deg"]),
-        "wind_gust": casts.to_measure(wind["gust"]),
+        "wind_gust": wind["gust"],
         "weather_main": text["main"],
         "weather_description": text["description"],
         "cloudiness": casts.to_whole(entry["clouds"]["all"]),
@@ -97,8 +97,8 @@ def _record(place: dict[str, Column], entry: Column) -> dict[str, Column]:
         "city": place["city"],
         "country": place["country"],
         # Coordinates count only as a pair.
-        "latitude": F.when(pair, casts.to_measure(coord["lat"])),
-        "longitude": F.when(pair, casts.to_measure(coord["lon"])),
+        "latitude": F.when(pair, coord["lat"]),
+        "longitude": F.when(pair, coord["lon"]),
         **_measures(entry),
         "sunrise_time": casts.epoch_to_utc(place["sunrise"]),
         "sunset_time": casts.epoch_to_utc(place["sunset"]),
@@ -129,7 +129,7 @@ def _uv_record(node: Column) -> dict[str, Column]:
     return {
         "latitude": url_param(url, "lat").try_cast(COORDINATE_KEY),
         "longitude": url_param(url, "lon").try_cast(COORDINATE_KEY),
-        "uv_index": casts.to_measure(node["value"]),
+        "uv_index": node["value"],
     }
 
 

@@ -92,30 +92,33 @@ LANDING = T.StructType(
     )
 )
 
-# JSON bodies.  Every leaf is text, so one odd leaf never spoils its siblings.
-_COORD = "struct<lat:string,lon:string>"
-_MAIN = (
-    "struct<temp:string,feels_like:string,temp_min:string,temp_max:string,"
-    "humidity:string,pressure:string,sea_level:string,grnd_level:string>"
+# JSON bodies.  Numbers are read as wide decimals straight from their token, and
+# from text that holds a number; anything else is NULL and spoils no sibling.
+_N = WIDE.simpleString()
+_COORD = f"struct<lat:{_N},lon:{_N}>"
+_MAIN = "struct<{}>".format(
+    ",".join(
+        f"{name}:{_N}"
+        for name in (
+            "temp feels_like temp_min temp_max humidity pressure sea_level grnd_level".split()
+        )
+    )
 )
-_WIND = "struct<speed:string,deg:string,gust:string>"
+_WIND = f"struct<speed:{_N},deg:{_N},gust:{_N}>"
 _WEATHER = "array<struct<main:string,description:string>>"
-_CLOUDS = "struct<`all`:string>"
-_CITY = f"struct<name:string,country:string,coord:{_COORD},sunrise:string,sunset:string>"
-
+_CLOUDS = f"struct<`all`:{_N}>"
+_SUN = f"sunrise:{_N},sunset:{_N}"
+_CITY = f"struct<name:string,country:string,coord:{_COORD},{_SUN}>"
 _ENTRY = (
-    f"main {_MAIN}, wind {_WIND}, weather {_WEATHER}, clouds {_CLOUDS}, "
-    "visibility string, dt string"
-)
-_OWN_PLACE = (
-    f"name string, sys struct<country:string,sunrise:string,sunset:string>, coord {_COORD}"
+    f"main {_MAIN}, wind {_WIND}, weather {_WEATHER}, clouds {_CLOUDS}, visibility {_N}, dt {_N}"
 )
+_OWN_PLACE = f"name string, sys struct<country:string,{_SUN}>, coord {_COORD}"
 _ENTRIES = (
     f"list array<struct<main:{_MAIN},wind:{_WIND},weather:{_WEATHER},clouds:{_CLOUDS},"
-    "visibility:string,dt:string>>"
+    f"visibility:{_N},dt:{_N}>>"
 )
 
 CURRENT_BODY = f"{_OWN_PLACE}, city {_CITY}, {_ENTRY}"
 FORECAST_BODY = f"city {_CITY}, {_ENTRIES}"
 RECORD_BODY = f"{_OWN_PLACE}, city {_CITY}, {_ENTRY}, {_ENTRIES}"
-UV_BODY = "value string"
+UV_BODY = f"value {_N}"
