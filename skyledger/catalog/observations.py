@@ -76,6 +76,16 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_events(table(spark, sf_dir, "events"))
 
 
+def spread_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records for work that is heavy per row.  A table of far fewer
+    splits than cores is spread over them; a larger one is not moved."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    cores = spark.sparkContext.defaultParallelism
+    if events.rdd.getNumPartitions() * 4 <= cores:
+        events = events.repartition(cores)
+    return from_events(events)
+
+
 def _epoch(at: str) -> str:
     return f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {at})"
 

@@ -6,7 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from skyledger.catalog.observations import from_events, observations, responses, table
+from skyledger.catalog.observations import (
+    from_events,
+    observations,
+    responses,
+    spread_observations,
+    table,
+)
 from skyledger.functions import casts, text
 from skyledger.operators import enrich as profiles, latest, lookup, parse, quality, stats
 from skyledger.operators.enrich import enrich
@@ -68,19 +74,19 @@ REPEATABLE = [
 
 @query
 def parse_current(spark, sf_dir):
-    raw = responses(observations(spark, sf_dir), landing.CURRENT)
+    raw = responses(spread_observations(spark, sf_dir), landing.CURRENT)
     return parse.parse_current(raw).select(*PARSED)
 
 
 @query
 def parse_forecast_first(spark, sf_dir):
-    raw = responses(observations(spark, sf_dir), landing.FORECAST)
+    raw = responses(spread_observations(spark, sf_dir), landing.FORECAST)
     return parse.parse_forecast_first(raw).select(*PARSED)
 
 
 @query
 def parse_uv(spark, sf_dir):
-    raw = responses(observations(spark, sf_dir), landing.UV)
+    raw = responses(spread_observations(spark, sf_dir), landing.UV)
     return conform_uv(parse.parse_uv(raw)).select(
         "obs_id", "latitude", "longitude", "uv_index", "parse_error"
     )
@@ -93,7 +99,7 @@ def conform_uv(parsed: DataFrame) -> DataFrame:
 @query
 def payload_kinds(spark, sf_dir):
     """All four kinds through one landing table, records read in one pass."""
-    obs = observations(spark, sf_dir)
+    obs = spread_observations(spark, sf_dir)
     kinds = (landing.CURRENT, landing.FORECAST, landing.CURRENT_BY_COORD, landing.UV)
     raw = responses(obs.filter("obs_id % 4 = 0"), kinds[0])
     for remainder, kind in enumerate(kinds[1:], start=1):
@@ -125,7 +131,7 @@ def city_dimension(spark, sf_dir):
 @query
 def landing_files(spark, sf_dir):
     """Responses through JSON files in the landing layout."""
-    obs = observations(spark, sf_dir)
+    obs = spread_observations(spark, sf_dir)
     path = scratch_table(spark, "landing")
     for kind in (landing.FORECAST, landing.UV):
         landing.write_landing(responses(obs, kind), path)
@@ -151,13 +157,13 @@ def raw_view(spark, sf_dir):
 
 @query
 def response_triage(spark, sf_dir):
-    raw = responses(observations(spark, sf_dir), landing.FORECAST)
+    raw = responses(spread_observations(spark, sf_dir), landing.FORECAST)
     return landing.triage(raw).select("obs_id", "outcome", "fetch_error")
 
 
 @query
 def parse_reject_split(spark, sf_dir):
-    raw = responses(observations(spark, sf_dir), landing.FORECAST)
+    raw = responses(spread_observations(spark, sf_dir), landing.FORECAST)
     return parse.split(parse.parse_forecast_first(raw)).select("obs_id", "part")
 
 
@@ -199,7 +205,7 @@ def sample_projection(spark, sf_dir):
 def sink_roundtrip(spark, sf_dir):
     """Write a batch, read the accepted rows back."""
     root = scratch_table(spark, "roundtrip")
-    sink.write_batch(with_record_time(enrich(observations(spark, sf_dir))), root, "only")
+    sink.write_batch(with_record_time(enrich(spread_observations(spark, sf_dir))), root, "only")
     return stored.read_valid(spark, root).select(*REPEATABLE)
 
 
@@ -210,7 +216,7 @@ def with_record_time(obs: DataFrame) -> DataFrame:
 @query
 def sink_quarantine(spark, sf_dir):
     root = scratch_table(spark, "quarantine")
-    sink.write_batch(observations(spark, sf_dir), root, "only")
+    sink.write_batch(spread_observations(spark, sf_dir), root, "only")
     kept = F.get_json_object("raw_record", "$.obs_id").cast("bigint")
     return stored.read_quarantine(spark, root).select(
         kept.alias("obs_id"), "outcome", F.array_join("reasons", ",").alias("reasons")
@@ -222,7 +228,7 @@ def surrogate_keys(spark, sf_dir):
     """Two batches: ids never repeat and the second batch starts after the first."""
     root = scratch_table(spark, "keys")
     for name in ("a", "b"):
-        sink.write_batch(observations(spark, sf_dir), root, name)
+        sink.write_batch(spread_observations(spark, sf_dir), root, name)
     rows = stored.read_all(spark, root).filter(F.col("outcome") == stored.VALID)
     spans = rows.groupBy("batch").agg(
         stats.row_count(), F.countDistinct("id").alias("ids"), F.min("id").alias("lo"), F.max("id").alias("hi")
@@ -240,7 +246,7 @@ def surrogate_keys(spark, sf_dir):
 def run_counts(spark, sf_dir):
     """Successes and errors of a run, counted while it was written."""
     root = scratch_table(spark, "counts")
-    raw = responses(observations(spark, sf_dir), landing.FORECAST)
+    raw = responses(spread_observations(spark, sf_dir), landing.FORECAST)
     sink.write_batch(jobs.records_from(raw), root, "only")
     return sink.run_counts(spark, root)
 
@@ -250,7 +256,7 @@ def run_counts(spark, sf_dir):
 
 @query
 def enrich_projection(spark, sf_dir):
-    obs = observations(spark, sf_dir)
+    obs = spread_observations(spark, sf_dir)
     uv = parse.parse_uv(responses(obs, landing.UV))
     joined = conform_uv(lookup.uv_enrich(obs, parse.readable(uv)))
     return profiles.report_projection(enrich(joined)).drop("processing_timestamp")
@@ -348,7 +354,7 @@ def valid_records(spark, sf_dir):
 
 @query
 def uv_enrich(spark, sf_dir):
-    obs = observations(spark, sf_dir)
+    obs = spread_observations(spark, sf_dir)
     uv = parse.readable(parse.parse_uv(responses(obs, landing.UV)))
     return conform_uv(lookup.uv_enrich(obs, uv)).select("obs_id", "city", "uv_index")
 
@@ -356,7 +362,7 @@ def uv_enrich(spark, sf_dir):
 @query
 def uv_enrich_salted(spark, sf_dir):
     """The join used when the lookup is too large to broadcast."""
-    obs = observations(spark, sf_dir)
+    obs = spread_observations(spark, sf_dir)
     uv = parse.readable(parse.parse_uv(responses(obs, landing.UV)))
     joined = lookup.uv_enrich(obs, uv, broadcast_rows=0, spread_by=("obs_id",))
     return conform_uv(joined).select("obs_id", "city", "uv_index")
@@ -482,7 +488,7 @@ def batch_summary(spark, sf_dir):
 
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = observations(spark, sf_dir)
+    obs = spread_observations(spark, sf_dir)
     return responses(obs, landing.FORECAST).unionByName(responses(obs, landing.UV))
 
 
