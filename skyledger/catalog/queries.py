@@ -17,7 +17,7 @@ from skyledger.functions import casts, text
 from skyledger.operators import enrich as profiles, latest, lookup, parse, quality, stats
 from skyledger.operators.enrich import enrich
 from skyledger.plans import jobs
-from skyledger.shared import scratch_table
+from skyledger.shared import prefer_compiled, scratch_table
 from skyledger.schemas import RECORD
 from skyledger.sinks import table as sink
 from skyledger.sinks.conform import conform
@@ -42,7 +42,11 @@ def plain(rows: DataFrame) -> DataFrame:
 
 
 def query(build: Query) -> Query:
-    REGISTRY[build.__name__] = lambda spark, sf_dir: plain(build(spark, sf_dir))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prefer_compiled(spark)
+        return plain(build(spark, sf_dir))
+
+    REGISTRY[build.__name__] = run
     return build
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from skyledger.functions.text import redact_param
 from skyledger.operators import latest, lookup, parse, quality, stats
 from skyledger.operators.enrich import enrich
+from skyledger.shared import prefer_compiled
 from skyledger.sinks.table import BatchCounts, ensure_table, write_batch
 from skyledger.sources import landing as land
 from skyledger.sources.cities import DEFAULT_CITIES
@@ -63,6 +64,7 @@ def run_batch(
     so nothing is parsed twice and nothing has to stay cached.
     """
     spark = responses.sparkSession
+    prefer_compiled(spark)
     if responses.isEmpty():
         return RunResult(None)
     records = records_from(responses)

@@ -45,3 +45,17 @@ def setting(spark: SparkSession, name: str, value: str, default: str) -> Iterato
         yield
     finally:
         spark.conf.set(name, before)
+
+
+# The JVM does not compile methods above 8000 bytes of bytecode.  A projection
+# of forty rule columns exceeds that as one generated method and then runs
+# interpreted; below this limit Spark generates it in smaller pieces instead.
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+METHOD_LIMIT_DEFAULT = "65535"
+COMPILED_SIZE = "8000"
+
+
+def prefer_compiled(spark: SparkSession) -> None:
+    """Keep wide projections within what the JVM compiles, unless the user chose."""
+    if spark.conf.get(METHOD_LIMIT, METHOD_LIMIT_DEFAULT) == METHOD_LIMIT_DEFAULT:
+        spark.conf.set(METHOD_LIMIT, COMPILED_SIZE)
