@@ -18,3 +18,59 @@ SELECT doc_id,
 FROM read
 WINDOW same AS (PARTITION BY norm)
 """
+
+
+def _spans(kind: str, pattern: str, holds: str) -> str:
+    """List of kind:start:end of one kind; ``m`` is a match and ``near`` the gap before it."""
+    return f"""
+    (SELECT list(printf('{kind}:%d:%d', s.at, s.at + length(s.m)) ORDER BY s.at)
+     FROM (
+        SELECT ms[i] AS m, right(gs[i], 40) AS near,
+               coalesce(list_sum(list_transform(gs[1:i], lambda x: length(x))), 0)
+               + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS at
+        FROM (
+            SELECT ms, gs, unnest(range(1, len(ms) + 1)) AS i
+            FROM (SELECT regexp_extract_all(text, '{pattern}') AS ms,
+                         string_split_regex(text, '{pattern}') AS gs)
+        )
+     ) AS s WHERE {holds})"""
+
+
+_NUMBER = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_NUMBER}) + 1), lambda k:
+    CASE WHEN k % 2 = 1 THEN CAST(reverse({_NUMBER})[k] AS INT)
+         ELSE 2 * CAST(reverse({_NUMBER})[k] AS INT)
+              - CASE WHEN CAST(reverse({_NUMBER})[k] AS INT) > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+_MOVED = "m[5:] || m[1:4]"
+_MOD97 = f"""CAST(list_aggregate(list_transform(range(1, length({_MOVED}) + 1), lambda k:
+    CAST(strpos('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', ({_MOVED})[k]) - 1 AS VARCHAR)),
+    'string_agg', '') AS HUGEINT) % 97 = 1"""
+_PARTS = (
+    "list_max(list_transform(string_split(m, '.'), "
+    "lambda x: CAST(right('000' || ltrim(x, '0'), 4) AS INT))) <= 255 "
+    "AND list_max(list_transform(string_split(m, '.'), lambda x: length(ltrim(x, '0')))) <= 3"
+)
+
+_PII = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", _PARTS),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", f"CASE WHEN length({_NUMBER}) BETWEEN 16 AND 19 THEN {_LUHN} ELSE false END"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_NUMBER}) BETWEEN 8 AND 15"),
+    "iban": (r"[A-Z]{2}[0-9]{2}[A-Z0-9]+", f"CASE WHEN length(m) BETWEEN 15 AND 34 THEN {_MOD97} ELSE false END"),
+    "ssn": (
+        r"[0-9]+-[0-9]+-[0-9]+",
+        "regexp_full_match(m, '[0-9]{3}-[0-9]{2}-[0-9]{4}') "
+        "AND regexp_matches(lower(near), 'ssn|social|security')",
+    ),
+}
+
+ORACLES["op3_pii"] = f"""
+WITH found AS (
+    SELECT doc_id, {", ".join(f"coalesce({_spans(k, *v)}, []) AS {k}" for k, v in _PII.items())}
+    FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) AS read
+)
+SELECT doc_id, len(email) AS n_email, len(ip) AS n_ip, len(card) AS n_card, len(phone) AS n_phone,
+       sha256(array_to_string(email || ip || card || phone, ',')) AS base_sha256,
+       array_to_string(email || ip || card || phone || iban || ssn, ',') AS spans
+FROM found
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.common import documents
 from skyledger.llm.exact_dedup import deduplicate
+from skyledger.llm.pii import digest_pii
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,3 +25,9 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduplicate(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
+
+
+@query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return digest_pii(documents(spark, sf_dir))
