@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.llm.common import documents
 from skyledger.llm.exact_dedup import deduplicate
 from skyledger.llm.pii import digest_pii
+from skyledger.llm.secrets import digest_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,3 +32,9 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return digest_pii(documents(spark, sf_dir))
+
+
+@query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return digest_secrets(documents(spark, sf_dir))
