@@ -10,6 +10,7 @@ from skyledger.llm.common import documents
 from skyledger.llm.exact_dedup import deduplicate
 from skyledger.llm.pii import digest_pii
 from skyledger.llm.secrets import digest_secrets
+from skyledger.llm.token_counts import histogram, token_lengths
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +39,9 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     return digest_secrets(documents(spark, sf_dir))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of encoded lengths with suffix sums."""
+    return histogram(token_lengths(documents(spark, sf_dir)))
