@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.common import documents
 from skyledger.llm.exact_dedup import deduplicate
+from skyledger.llm.fertility import judge_texts
 from skyledger.llm.pii import digest_pii
 from skyledger.llm.secrets import digest_secrets
 from skyledger.llm.token_counts import histogram, token_lengths
@@ -45,3 +46,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histogram of encoded lengths with suffix sums."""
     return histogram(token_lengths(documents(spark, sf_dir)))
+
+
+@query
+def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality measures and verdict of every document."""
+    return judge_texts(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "chars_per_token", "fallback_share", "entropy",
+    )
