@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyledger.llm.bpe import digest_bpe
 from skyledger.llm.common import documents
 from skyledger.llm.exact_dedup import deduplicate
 from skyledger.llm.fertility import judge_texts
@@ -55,3 +56,9 @@ def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "chars_per_token", "fallback_share", "entropy",
     )
+
+
+@query
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text they decode to, as digests."""
+    return digest_bpe(documents(spark, sf_dir))

@@ -16,7 +16,7 @@ from skyledger.llm.common import texts
 from skyledger.llm.tokens import RANKS, encode
 
 #: Lengths of one block are summed by one task; blocks are summed after that.
-BLOCK = 1024
+BLOCK = 64
 
 
 def token_lengths(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
