@@ -12,6 +12,7 @@ from skyledger.llm.exact_dedup import deduplicate
 from skyledger.llm.fertility import judge_texts
 from skyledger.llm.pii import digest_pii
 from skyledger.llm.secrets import digest_secrets
+from skyledger.llm.toxicity import score_toxicity
 from skyledger.llm.token_counts import histogram, token_lengths
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +63,10 @@ def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text they decode to, as digests."""
     return digest_bpe(documents(spark, sf_dir))
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by its nearest labelled examples."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return score_toxicity(documents(spark, sf_dir), labels)
