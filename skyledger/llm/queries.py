@@ -10,6 +10,7 @@ from skyledger.llm.bpe import digest_bpe
 from skyledger.llm.common import documents
 from skyledger.llm.exact_dedup import deduplicate
 from skyledger.llm.fertility import judge_texts
+from skyledger.llm.packing import pack
 from skyledger.llm.pii import digest_pii
 from skyledger.llm.secrets import digest_secrets
 from skyledger.llm.toxicity import score_toxicity
@@ -70,3 +71,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by its nearest labelled examples."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return score_toxicity(documents(spark, sf_dir), labels)
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 1024 tokens."""
+    return pack(documents(spark, sf_dir))
