@@ -10,6 +10,7 @@ from skyledger.llm.bpe import digest_bpe
 from skyledger.llm.common import documents
 from skyledger.llm.exact_dedup import deduplicate
 from skyledger.llm.fertility import judge_texts
+from skyledger.llm.ngram_join import join_ngrams
 from skyledger.llm.packing import pack
 from skyledger.llm.pii import digest_pii
 from skyledger.llm.secrets import digest_secrets
@@ -77,3 +78,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
     return pack(documents(spark, sf_dir))
+
+
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return join_ngrams(documents(spark, sf_dir))
