@@ -118,3 +118,12 @@ def deduplicate(docs: DataFrame, capacity: int = 16384, key_bits: int = 64) -> D
     return found.select(
         "doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", "bucket", "chain"
     )
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, whatever their columns, that stay."""
+    stay = deduplicate(docs).filter("kept").select("doc_id", "text_sha256").distinct()
+    stay = stay.toDF("stay_id", "stay_sha256")
+    text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), BLANKS, " ")
+    same = (F.sha2(text, 256) == F.col("stay_sha256")) & F.col("doc_id").eqNullSafe(F.col("stay_id"))
+    return docs.join(stay, same, "left_semi")

@@ -263,3 +263,11 @@ def judge(docs: DataFrame, bands: dict[str, Band] = BANDS) -> DataFrame:
 def judge_texts(docs: DataFrame, bands: dict[str, Band] = BANDS) -> DataFrame:
     """doc_id, the measures, base_failed, in_band and kept of every document."""
     return judge(texts(docs), bands).drop("text")
+
+
+def keep_good(docs: DataFrame, bands: dict[str, Band] = BANDS) -> DataFrame:
+    """The rows of ``docs``, whatever their columns, that the rules keep."""
+    others = [c for c in docs.columns if c != "text"]
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    kept = judge(docs.select(F.struct(*others).alias("row"), text), bands).filter("kept")
+    return kept.select(*(c if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns))

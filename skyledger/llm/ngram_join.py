@@ -373,7 +373,23 @@ def _links(trees: DataFrame, rule: Rule) -> DataFrame:
 
 
 def join_ngrams(docs: DataFrame, percent: int = 85, words_each: int = 4) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document.
+    """doc_id, n_shingles, component_id of every document.  More about them: ``_joined``."""
+    return _joined(docs, percent, words_each).drop("key")
+
+
+def drop_near_copies(docs: DataFrame, percent: int = 80, words_each: int = 5) -> DataFrame:
+    """The rows of ``docs``, whatever their columns, that name their component: one
+    document of each, the one with the smallest id."""
+    found = _joined(docs, percent, words_each)
+    named = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = named.select(F.col("key").alias("stays")).distinct()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text))
+    return docs.join(named, key == F.col("stays"), "left_semi")
+
+
+def _joined(docs: DataFrame, percent: int, words_each: int) -> DataFrame:
+    """key, doc_id, n_shingles, component_id.
 
     Texts link when their sets of distinct shingles have ``100 * intersection >= percent *
     union``; component_id is the smallest doc_id reachable.  A text without words (or
@@ -390,14 +406,14 @@ def join_ngrams(docs: DataFrame, percent: int = 85, words_each: int = 4) -> Data
     roots = components(_links(_trees(docs, planned, words_each), rule))
     label = F.coalesce("root", "member").alias("label")
     labelled = points.join(roots, points["member"] == roots["node"], "left").select(
-        "doc_id", "n_shingles", label
+        "key", "doc_id", "n_shingles", label
     )
     labelled = written(labelled, "labelled")
     least = labelled.filter("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("least"))
     alone = labelled.filter("label IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
+        "key", "doc_id", "n_shingles", F.col("doc_id").alias("component_id")
     )
     linked = labelled.join(least, "label").select(
-        "doc_id", "n_shingles", F.col("least").alias("component_id")
+        "key", "doc_id", "n_shingles", F.col("least").alias("component_id")
     )
     return linked.unionByName(alone)

@@ -177,19 +177,41 @@ def _confirmed(kind: Kind, always: bool) -> Column:
     return F.when(F.col(kind.name).isNotNull(), walked).otherwise(nothing)
 
 
+def _with_spans(read: DataFrame) -> DataFrame:
+    """``read`` (text and columns named row and raw) with the spans of every kind."""
+    kinds = [*BASE, *ADDED]
+    proposed = read.select("*", *(_proposed(k).alias(k.name) for k in kinds))
+    return proposed.select(
+        *read.columns, *(_confirmed(k, k in BASE).alias(k.name) for k in kinds)
+    )
+
+
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, text and one column of spans per kind (email, ip, card, phone, iban, ssn).
 
     Base kinds keep every match their check confirms; an IBAN needs its checksum, and a
     social security number a context word within ``NEAR`` code points before it.  Spans
     count code points, ends exclusive, and are ordered by start.  A null or empty text
-    has empty arrays; repeated rows are searched each for itself; other columns are left.
+    has empty arrays; repeated rows are searched each for itself; other columns are left;
+    no rows give no rows.
     """
-    kinds = [*BASE, *ADDED]
-    proposed = texts(docs).select("doc_id", "text", *(_proposed(k).alias(k.name) for k in kinds))
-    return proposed.select(
-        "doc_id", "text", *(_confirmed(k, k in BASE).alias(k.name) for k in kinds)
+    return _with_spans(texts(docs))
+
+
+def redact_pii(docs: DataFrame) -> DataFrame:
+    """``docs`` with personal data replaced by its kind in brackets, and n_chars (if it is
+    a column) as the new text has it.  A null text stays null."""
+    others = [c for c in docs.columns if c != "text"]
+    read = docs.select(
+        F.struct(*others).alias("row"),
+        F.col("text").alias("raw"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+    )
+    clean = _with_spans(read).select(
+        "row", F.when(F.col("raw").isNotNull(), redacted()).alias("text")
     )
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return clean.select(*(new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def _joined(kinds: tuple[Kind, ...]) -> Column:
