@@ -13,6 +13,7 @@ from skyledger.llm.fertility import judge_texts
 from skyledger.llm.ngram_join import join_ngrams
 from skyledger.llm.packing import pack
 from skyledger.llm.pii import digest_pii
+from skyledger.llm.repeats import remove_repeats
 from skyledger.llm.secrets import digest_secrets
 from skyledger.llm.toxicity import score_toxicity
 from skyledger.llm.token_counts import histogram, token_lengths
@@ -84,3 +85,9 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return join_ngrams(documents(spark, sf_dir))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 400-byte strings that occur more than once."""
+    return remove_repeats(documents(spark, sf_dir)).drop("kept")
