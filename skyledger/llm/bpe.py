@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import texts
 from skyledger.llm.lexicon import Lexicon, compile_lexicon
+from skyledger.shared import written
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Words in the lexicon.  It bounds memory and the driver's work, not the result.
@@ -216,8 +217,18 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lexicon(docs: DataFrame, vocabulary: Vocabulary, most: int = LEXICON_WORDS) -> bytes:
-    """The ``most`` most frequent words of the corpus, compiled."""
-    top = word_counts(docs).orderBy(F.desc("times"), "word").limit(most).collect()
+    """The corpus' most frequent words, compiled: all words above the lowest frequency
+    that ``most`` words at most exceed (frequencies in steps of a sixty-fourth octave)."""
+    counted = written(word_counts(docs), "word-counts")
+    step = F.floor(F.log2(F.col("times").cast("double")) * 64)
+    # A row for each step that occurs: a few thousand whatever the corpus.
+    sizes = counted.groupBy(step.alias("step")).count().collect()
+    lowest, taken = None, 0
+    for row in sorted(sizes, reverse=True):
+        if taken + row["count"] > most:
+            break
+        lowest, taken = row["step"], taken + row["count"]
+    top = [] if lowest is None else counted.filter(step >= lowest).select("word").collect()
     words = sorted(r["word"].encode() for r in top)
     return compile_lexicon((w, vocabulary.merge(w)) for w in words)
 

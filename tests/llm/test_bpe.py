@@ -31,7 +31,7 @@ def test_same_as_library(spark, library):
         back = library.decode(ids, skip_special_tokens=False)
         sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         expected.append((doc_id, len(ids), sha(",".join(map(str, ids))), sha(back)))
-    found = [tuple(r) for r in bpe.digest_bpe(frame(spark, ROWS), most=3).collect()]
+    found = [tuple(r) for r in bpe.digest_bpe(frame(spark, ROWS), most=30).collect()]
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
@@ -71,5 +71,12 @@ def test_lexicon_is_minimal_and_exact():
     assert Lexicon(compile_lexicon([])).rows([b"a"]).tolist() == [-1]
 
 
+def test_lexicon_has_the_frequent_words(spark):
+    rows = [(k, "often " * 5 + "seldom" * (k == 0) + f" once{k}") for k in range(9)]
+    compiled = bpe.frequent_lexicon(frame(spark, rows), bpe.Vocabulary(), most=3)
+    assert Lexicon(compiled).rows([b" often", b" once"]).min() >= 0
+    assert Lexicon(compiled).rows([b" seldom"])[0] == -1
+
+
 def test_empty(spark):
     assert bpe.digest_bpe(frame(spark, ROWS).limit(0)).count() == 0
