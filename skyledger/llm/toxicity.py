@@ -20,10 +20,11 @@ from skyledger.llm.common import texts
 
 #: Labelled rows that are learned from: at most so many, chosen by a hash of their ids.
 EXAMPLES = 40_000
-#: A term is taken with this chi-square between word and label, and in this share of
-#: the toxic examples (three at least).
+#: A term is taken with this chi-square between word and label, in this share of the
+#: toxic examples (three at least), and if this share of the examples with it are toxic.
 CHI_SQUARE = 50.0
 TOXIC_SHARE = 0.02
+TERM_TOXIC = 0.3
 #: Bytes of a word that are its beginning.
 STEM = 5
 #: Examples of one block, and neighbours that vote.
@@ -187,7 +188,7 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index
         wanted = {}
         if 0 < n_toxic < n:
             least = max(3.0, TOXIC_SHARE * n_toxic)
-            more_often = a * (n - n_toxic) > b * n_toxic
+            more_often = (a * (n - n_toxic) > b * n_toxic) & (a >= TERM_TOXIC * (a + b))
             told = per_term.filter((a >= least) & more_often & (chi >= CHI_SQUARE)).collect()
             wanted = {bytes(r["word"]): r["docs"] for r in told}
         held = F.map_filter("counts", lambda w, _: w.isin([F.lit(x) for x in wanted] or [None]))
