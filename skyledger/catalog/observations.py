@@ -77,13 +77,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spread_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same records for work that is heavy per row.  A table of far fewer
-    splits than cores is spread over them; a larger one is not moved."""
+    """The same records dealt out evenly, for work that is heavy per row: the narrow
+    event rows are moved, not the bodies made from them."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() * 4 <= cores:
-        events = events.repartition(cores)
-    return from_events(events)
+    return from_events(events.repartition(spark.sparkContext.defaultParallelism))
 
 
 def _epoch(at: str) -> str:
@@ -160,4 +157,6 @@ def responses(obs: DataFrame, kind: str) -> DataFrame:
              WHEN obs_id % 107 = 0 THEN 429 WHEN obs_id % 109 = 0 THEN 500 ELSE 200 END AS status""",
         "CASE WHEN obs_id % 53 = 0 THEN substr(_body, 1, length(_body) - 1) ELSE _body END AS body",
         "api_timestamp AS fetched_at",
+        # Each observation is a fetch cycle of its own: a place has many.
+        "CAST(api_timestamp AS STRING) AS cycle",
     )

@@ -94,20 +94,23 @@ def _parsed() -> str:
       CASE WHEN {_CUT} THEN 'malformed body' END AS parse_error FROM o"""
 
 
-# Latest readable UV value per coordinate pair; ties go to the higher value.
+# Latest readable UV value per place and cycle (here the time of a fetch); ties go to the higher value.
 _UV_VALUE = "CAST((obs_id * 3) % 120 AS DOUBLE) / 10"
+_CYCLE = "CAST({} AS VARCHAR)"
 
 
-def _uv(where: str) -> str:
-    return f"""SELECT lat, lon, v FROM (SELECT *, ROW_NUMBER() OVER (
-        PARTITION BY lat, lon ORDER BY api_timestamp DESC, v DESC) AS place
+def _uv(where: str, cycle: str = "''") -> str:
+    return f"""SELECT lat, lon, cycle, v FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY lat, lon, cycle ORDER BY api_timestamp DESC, v DESC) AS place
       FROM (SELECT CAST(latitude AS DECIMAL(10,6)) AS lat, CAST(longitude AS DECIMAL(10,6)) AS lon,
-          api_timestamp, {_UV_VALUE} AS v FROM o
+          {cycle} AS cycle, api_timestamp, {_UV_VALUE} AS v FROM o
         WHERE latitude IS NOT NULL AND {where}) r) w WHERE place = 1"""
 
 
 _JOIN_UV = """LEFT JOIN u ON u.lat = CAST(latitude AS DECIMAL(10,6))
   AND u.lon = CAST(longitude AS DECIMAL(10,6))"""
+# Records of a job carry the fetch time in recorded_at.
+_JOIN_UV_CYCLE = f"{_JOIN_UV} AND u.cycle = {_CYCLE.format('recorded_at')}"
 
 # Percentage rounded half-up to two places, in whole numbers.
 _SHARE = "CAST((20000 * n + total) // (2 * total) AS DOUBLE) / 100"
@@ -159,7 +162,7 @@ _READ = f"""{_O}, f AS (SELECT obs_id, city, city AS city_name, country, latitud
     {_SECOND} + INTERVAL 6 HOUR AS sunset_time, {_SECOND} AS api_timestamp,
     api_timestamp AS recorded_at, {_REASONS} = '' AS stored
   FROM o WHERE NOT ({_CUT}) AND {_STATUS_OK}),
-  u AS ({_uv(f"NOT ({_CUT}) AND {_STATUS_OK}")}),
+  u AS ({_uv(f"NOT ({_CUT}) AND {_STATUS_OK}", _CYCLE.format("api_timestamp"))}),
   j AS (SELECT *, {_TEMPERATURE} AS temperature_category, {_HEAT} AS heat_index,
     {_WIND} AS wind_category, {_COMFORT} AS comfort_level, {_QUALITY} AS data_quality_score,
     {_FAHRENHEIT} AS temperature_fahrenheit FROM f)"""
@@ -188,7 +191,57 @@ def _rule(column: str, source: str = _STRICT, table: str = "s") -> str:
 
 
 _STREAMED = f"""{_READ} SELECT {_cells(_STORED)}, v AS uv_index, sunrise_time, sunset_time,
-  recorded_at, {_NEVER_SET} FROM j {_JOIN_UV} WHERE stored"""
+  recorded_at, {_NEVER_SET} FROM j {_JOIN_UV_CYCLE} WHERE stored"""
+
+# Columns of each report, in name order, as they are told in long form.
+_REPORT_COLUMNS = {
+    "total_count": ("total_records",),
+    "city_coverage": ("city", "row_count"),
+    "data_quality": ("quality_percentage", "total_records", "valid_records"),
+    "describe": ("max", "mean", "measure", "min", "n", "stddev"),
+    "temperature_stats": (
+        "avg_temperature", "city_name", "max_temperature", "min_temperature", "temp_stddev",
+    ),
+    "patterns": ("row_count", "temperature_category", "weather_description"),
+    "comfort_distribution": ("comfort_level", "percentage", "row_count"),
+    "batch_summary": (
+        "label", "max_value", "mean_value", "min_value", "percentage", "row_count", "section",
+    ),
+}
+_REPORTS = {
+    "total_count": "SELECT COUNT(*) AS total_records FROM j WHERE stored",
+    "city_coverage": """SELECT c.city, COUNT(t.city) AS row_count
+      FROM (SELECT unnest(['London', 'Delhi', 'Tokyo', 'Paris', 'Sydney', 'Mumbai', 'Berlin',
+        'Toronto', 'Singapore', 'Dubai']) AS city) c
+      LEFT JOIN (SELECT city FROM j WHERE stored) t ON t.city = c.city GROUP BY c.city""",
+    "data_quality": """SELECT valid AS valid_records, total AS total_records,
+        CAST(valid AS DOUBLE) / total * 100.0 AS quality_percentage
+      FROM (SELECT COUNT(CASE WHEN temperature IS NOT NULL AND humidity IS NOT NULL
+          AND city IS NOT NULL THEN 1 END) AS valid, COUNT(*) AS total FROM j) c""",
+    "describe": " UNION ALL ".join(
+        f"""SELECT '{name}' AS measure, COUNT({name}) AS n, {_mean(name)} AS mean,
+          ROUND(STDDEV_SAMP(CAST({name} AS DOUBLE)), 6) AS stddev,
+          CAST(MIN({name}) AS DOUBLE) AS min, CAST(MAX({name}) AS DOUBLE) AS max FROM j"""
+        for name in ("temperature", "humidity", "pressure", "wind_speed")
+    ),
+    "temperature_stats": _city_stats("", "j"),
+    "patterns": """SELECT weather_description, temperature_category, COUNT(*) AS row_count
+      FROM j GROUP BY 1, 2""",
+    "comfort_distribution": _shares("", "j", "comfort_level"),
+}
+
+
+def _long(reports: dict[str, str]) -> str:
+    """Reports one below the other, each row as name=value pairs."""
+    parts = []
+    for name, sql in reports.items():
+        cells = " || ';' || ".join(
+            f"'{c}=' || coalesce(CAST({c} AS VARCHAR), 'null')" for c in _REPORT_COLUMNS[name]
+        )
+        body = sql if not sql.lstrip().startswith(",") else f"WITH {sql.lstrip()[1:]}"
+        parts.append(f"SELECT '{name}' AS report, {cells} AS cells FROM ({body}) r")
+    return f"{_READ} " + " UNION ALL ".join(parts)
+
 
 ORACLES: dict[str, str] = {
     "parse_current": _parsed(),
@@ -200,11 +253,11 @@ ORACLES: dict[str, str] = {
     "payload_kinds": f"""{_O} SELECT kind, COUNT(*) AS row_count,
         COUNT(CASE WHEN {_CUT} THEN 1 END) AS unreadable, COUNT(value) AS measured,
         ROUND(CAST(SUM(value) AS DOUBLE) / COUNT(value), 6) AS mean_value
-      FROM (SELECT obs_id, CASE obs_id % 4 WHEN 0 THEN 'current' WHEN 1 THEN 'forecast'
-          WHEN 2 THEN 'current_by_coord' ELSE 'uv' END AS kind,
-        CASE WHEN {_CUT} THEN NULL
-          WHEN obs_id % 4 = 3 THEN CAST({_UV_VALUE} AS DECIMAL(10,2))
-          ELSE {_READ_TEMPERATURE} END AS value FROM o) k GROUP BY kind""",
+      FROM (SELECT obs_id, kind, CASE WHEN {_CUT} THEN NULL
+          WHEN kind = 'uv' THEN CAST({_UV_VALUE} AS DECIMAL(10,2))
+          ELSE {_READ_TEMPERATURE} END AS value
+        FROM o, (SELECT unnest(['current', 'forecast', 'current_by_coord', 'uv']) AS kind) k) r
+      GROUP BY kind""",
     "city_dimension": f"""{_O} SELECT city, COUNT(*) AS row_count
       FROM (SELECT unnest([city, country, weather_main]) AS city FROM o) e GROUP BY city""",
     "landing_files": f"""{_O} SELECT kind,
@@ -214,10 +267,11 @@ ORACLES: dict[str, str] = {
         COUNT(*) AS row_count, COUNT(CASE WHEN kind = 'forecast' THEN city END) AS with_city,
         MAX(api_timestamp) AS last_fetch, COUNT(*) AS with_body
       FROM o, (SELECT unnest(['forecast', 'uv']) AS kind) k GROUP BY 1, 2""",
-    "raw_view": f"""{_O} SELECT country, COUNT(*) AS row_count,
-        CAST(MAX(feels_like) AS DOUBLE) AS max_feels_like,
-        COUNT(CASE WHEN weather_description LIKE '%rain%' THEN 1 END) AS rainy
-      FROM o WHERE wind_speed > 10 GROUP BY country""",
+    "raw_view": f"""{_STRICT} SELECT obs_id, city_name, country,
+        CAST(temperature AS DOUBLE) AS temperature, CAST(feels_like AS DOUBLE) AS feels_like,
+        humidity, pressure, weather_description, CAST(wind_speed AS DOUBLE) AS wind_speed,
+        wind_direction, visibility, api_timestamp AS "timestamp", temperature_category,
+        wind_category, comfort_level FROM s""",
     "response_triage": f"""{_O} SELECT obs_id,
         CASE WHEN obs_id % 101 = 0 THEN 'invalid_key' WHEN obs_id % 103 = 0 THEN 'city_not_found'
           WHEN obs_id % 107 = 0 THEN 'rate_limited' WHEN obs_id % 109 = 0 THEN 'failed'
@@ -281,6 +335,9 @@ ORACLES: dict[str, str] = {
         AND city IS NOT NULL""",
     "uv_enrich": f"""{_O}, u AS ({_uv(f"NOT ({_CUT})")})
       SELECT obs_id, city, v AS uv_index FROM o {_JOIN_UV}""",
+    "uv_enrich_by_cycle": f"""{_O}, u AS ({_uv(f"NOT ({_CUT})", _CYCLE.format("api_timestamp"))})
+      SELECT obs_id, city, v AS uv_index FROM o {_JOIN_UV}
+        AND u.cycle = {_CYCLE.format("api_timestamp")}""",
     "uv_enrich_salted": f"""{_O}, u AS ({_uv(f"NOT ({_CUT})")})
       SELECT obs_id, city, v AS uv_index FROM o {_JOIN_UV}""",
     "city_coverage": f"""{_O} SELECT c.city, COUNT(o.city) AS row_count
@@ -334,11 +391,23 @@ ORACLES: dict[str, str] = {
     "growth_summary": f"""{_O} SELECT COUNT(*) AS total_records, COUNT(DISTINCT city) AS cities,
         MIN(api_timestamp) AS first_record, MAX(api_timestamp) AS latest_record FROM o""",
     "batch_summary": _summary(_STRICT, "s"),
-    "job_single": _city_stats(_READ, "j"),
-    "job_with_summary": _summary(_READ, "j"),
+    "job_single": _long(_REPORTS),
+    "job_with_summary": _long(_REPORTS | {"batch_summary": _summary("", "j")}),
+    "job_unknown_kinds": f"""{_READ}, k AS (SELECT obs_id, kind, CASE
+          WHEN obs_id % 11 = 0 THEN 'tides' WHEN obs_id % 13 = 0 THEN 'none' ELSE kind END AS told
+        FROM o, (SELECT unnest(['forecast', 'uv']) AS kind) x),
+      r AS (SELECT CASE WHEN told IN ('tides', 'none') THEN 'unknown kind'
+          WHEN obs_id % 101 = 0 THEN 'invalid API key' WHEN obs_id % 103 = 0 THEN 'city not found'
+          WHEN obs_id % 107 = 0 THEN 'rate limit exceeded'
+          WHEN obs_id % 109 = 0 THEN 'request failed with status 500'
+          WHEN {_CUT} THEN 'malformed body' END AS reason, obs_id
+        FROM k WHERE told <> 'uv')
+      SELECT CASE WHEN reason IS NOT NULL THEN 'failed' WHEN f.stored THEN 'valid'
+          ELSE 'rejected' END AS outcome, reason, COUNT(*) AS row_count
+      FROM r LEFT JOIN f USING (obs_id) GROUP BY 1, 2""",
     "job_plain": f"""{_READ} SELECT city, CAST(temperature AS DOUBLE) AS temperature, humidity,
         v AS uv_index, recorded_at, CAST(NULL AS VARCHAR) AS comfort_level
-      FROM f {_JOIN_UV} WHERE stored""",
+      FROM f {_JOIN_UV_CYCLE} WHERE stored""",
     "job_round_trip": f"""{_READ} SELECT city, CAST(temperature AS DOUBLE) AS temperature,
         recorded_at FROM f WHERE stored AND city = 'London'
       ORDER BY recorded_at DESC, obs_id DESC LIMIT 1""",
@@ -347,5 +416,14 @@ ORACLES: dict[str, str] = {
         SELECT 'valid' AS outcome, COUNT(*) AS n FROM f WHERE stored
         UNION ALL SELECT 'rejected', COUNT(*) FROM f WHERE NOT stored
         UNION ALL SELECT 'failed', (SELECT COUNT(*) FROM o) - (SELECT COUNT(*) FROM f)) c""",
-    "stream_cycle_report": _shares(_READ, "j", "comfort_level"),
+    "stream_cycle_report": f"""{_READ} SELECT comfort_level, CAST(COUNT(*) AS BIGINT) AS row_count
+      FROM j GROUP BY 1""",
+    "stream_landed_cycles": f"""{_READ} SELECT city, CAST(recorded_at AS DATE) AS cycle,
+        v AS uv_index, COUNT(*) AS row_count FROM f {_JOIN_UV_CYCLE} WHERE stored GROUP BY 1, 2, 3""",
+    "stored_latest_by_city": f"""{_O} SELECT city, CAST(temperature AS DOUBLE) AS temperature,
+        weather_description, api_timestamp AS recorded_at FROM o
+      WHERE city = 'London' AND {_REASONS} = ''
+      ORDER BY api_timestamp DESC, obs_id DESC LIMIT 25""",
+    "stored_count_by_city": f"""{_O} SELECT COUNT(*) AS city_records FROM o
+      WHERE city = 'Tokyo' AND {_REASONS} = ''""",
 }

@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from skyledger.catalog.observations import (
-    from_events,
     observations,
     responses,
     spread_observations,
@@ -23,7 +22,7 @@ from skyledger.sinks import table as sink
 from skyledger.sinks.conform import conform
 from skyledger.sources import landing, stored, views
 from skyledger.sources.cities import DEPLOYED_CITIES, explode_list
-from skyledger.streaming.cycle import start_cycles
+from skyledger.streaming.cycle import flush, start_cycles
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -102,13 +101,13 @@ def conform_uv(parsed: DataFrame) -> DataFrame:
 
 @query
 def payload_kinds(spark, sf_dir):
-    """All four kinds through one landing table, records read in one pass."""
+    """Every observation in all four kinds through one landing table, records read in one
+    pass."""
     obs = spread_observations(spark, sf_dir)
-    kinds = (landing.CURRENT, landing.FORECAST, landing.CURRENT_BY_COORD, landing.UV)
-    raw = responses(obs.filter("obs_id % 4 = 0"), kinds[0])
-    for remainder, kind in enumerate(kinds[1:], start=1):
-        raw = raw.unionByName(responses(obs.filter(f"obs_id % 4 = {remainder}"), kind))
-    records = parse.parse_records(landing.of_kind(raw, *kinds[:3]))
+    raw = responses(obs, landing.UV)
+    for kind in landing.RECORD_KINDS:
+        raw = raw.unionByName(responses(obs, kind))
+    records = parse.parse_records(landing.of_kind(raw, *landing.RECORD_KINDS))
     uv = parse.parse_uv(landing.of_kind(raw, landing.UV))
     measured = records.select("kind", "parse_error", F.col("temperature").alias("value")).unionByName(
         uv.select("kind", "parse_error", F.col("uv_index").alias("value"))
@@ -150,12 +149,24 @@ def landing_files(spark, sf_dir):
 
 @query
 def raw_view(spark, sf_dir):
-    """SQL text over the registered view."""
+    """The enrichment as SQL text over the registered view."""
     views.register(observations(spark, sf_dir))
     return spark.sql(
-        """SELECT country, count(*) AS row_count, max(feelsLike) AS max_feels_like,
-             count_if(weatherDescription LIKE '%rain%') AS rainy
-           FROM weather_raw WHERE windSpeed > 10 GROUP BY country"""
+        """SELECT obsId AS obs_id, city AS city_name, country, temperature,
+             feelsLike AS feels_like, humidity, pressure,
+             weatherDescription AS weather_description, windSpeed AS wind_speed,
+             windDirection AS wind_direction, visibility, apiTimestamp AS `timestamp`,
+             CASE WHEN temperature < 0 THEN 'Freezing' WHEN temperature <= 10 THEN 'Cold'
+               WHEN temperature <= 20 THEN 'Mild' WHEN temperature <= 30 THEN 'Warm'
+               ELSE 'Hot' END AS temperature_category,
+             CASE WHEN windSpeed < 5 THEN 'Light' WHEN windSpeed <= 15 THEN 'Moderate'
+               WHEN windSpeed <= 25 THEN 'Strong' ELSE 'Very Strong' END AS wind_category,
+             CASE WHEN temperature BETWEEN 18 AND 24 AND humidity BETWEEN 40 AND 60
+                 THEN 'Comfortable'
+               WHEN temperature < 5 OR temperature > 35 THEN 'Uncomfortable'
+               WHEN humidity > 80 OR humidity < 20 THEN 'Humid/Dry'
+               ELSE 'Moderate' END AS comfort_level
+           FROM weather_raw"""
     )
 
 
@@ -229,9 +240,10 @@ def sink_quarantine(spark, sf_dir):
 
 @query
 def surrogate_keys(spark, sf_dir):
-    """Two batches: ids never repeat and the second batch starts after the first."""
+    """Two batches, then the first again: ids never repeat, the second batch starts after
+    the first, and the replay stays in the first one's range."""
     root = scratch_table(spark, "keys")
-    for name in ("a", "b"):
+    for name in ("a", "b", "a"):
         sink.write_batch(spread_observations(spark, sf_dir), root, name)
     rows = stored.read_all(spark, root).filter(F.col("outcome") == stored.VALID)
     spans = rows.groupBy("batch").agg(
@@ -246,6 +258,29 @@ def surrogate_keys(spark, sf_dir):
     )
 
 
+def stored_by_day(spark: SparkSession, sf_dir: str) -> str:
+    """A table of two batches, half of the observations each."""
+    root = scratch_table(spark, "days")
+    obs = with_record_time(enrich(spread_observations(spark, sf_dir)))
+    for name, rest in (("even", 0), ("odd", 1)):
+        sink.write_batch(obs.filter(F.col("obs_id") % 2 == rest), root, name)
+    return root
+
+
+@query
+def stored_latest_by_city(spark, sf_dir):
+    root = stored_by_day(spark, sf_dir)
+    return stored.stored_latest(spark, root, "London", 25).select(
+        "city", "temperature", "weather_description", "recorded_at"
+    )
+
+
+@query
+def stored_count_by_city(spark, sf_dir):
+    root = stored_by_day(spark, sf_dir)
+    return stats.count_by_city(stored.read_valid(spark, root), "Tokyo")
+
+
 @query
 def run_counts(spark, sf_dir):
     """Successes and errors of a run, counted while it was written."""
@@ -261,8 +296,7 @@ def run_counts(spark, sf_dir):
 @query
 def enrich_projection(spark, sf_dir):
     obs = spread_observations(spark, sf_dir)
-    uv = parse.parse_uv(responses(obs, landing.UV))
-    joined = conform_uv(lookup.uv_enrich(obs, parse.readable(uv)))
+    joined = conform_uv(lookup.uv_enrich(obs, readable_uv(obs).drop("cycle")))
     return profiles.report_projection(enrich(joined)).drop("processing_timestamp")
 
 
@@ -356,19 +390,35 @@ def valid_records(spark, sf_dir):
     )
 
 
+def readable_uv(obs: DataFrame) -> DataFrame:
+    return parse.readable(parse.parse_uv(responses(obs, landing.UV)))
+
+
+def in_cycles(obs: DataFrame) -> DataFrame:
+    return obs.withColumn("cycle", F.col("api_timestamp").cast("string"))
+
+
 @query
 def uv_enrich(spark, sf_dir):
+    """All readings as one cycle: the latest one of each place counts."""
     obs = spread_observations(spark, sf_dir)
-    uv = parse.readable(parse.parse_uv(responses(obs, landing.UV)))
-    return conform_uv(lookup.uv_enrich(obs, uv)).select("obs_id", "city", "uv_index")
+    joined = lookup.uv_enrich(obs, readable_uv(obs).drop("cycle"))
+    return conform_uv(joined).select("obs_id", "city", "uv_index")
+
+
+@query
+def uv_enrich_by_cycle(spark, sf_dir):
+    """Each record with the reading of its place in its own cycle."""
+    obs = in_cycles(spread_observations(spark, sf_dir))
+    return conform_uv(lookup.uv_enrich(obs, readable_uv(obs))).select("obs_id", "city", "uv_index")
 
 
 @query
 def uv_enrich_salted(spark, sf_dir):
-    """The join used when the lookup is too large to broadcast."""
+    """The join used when the lookup is too large to broadcast, hot keys in parts."""
     obs = spread_observations(spark, sf_dir)
-    uv = parse.readable(parse.parse_uv(responses(obs, landing.UV)))
-    joined = lookup.uv_enrich(obs, uv, broadcast_rows=0, spread_by=("obs_id",))
+    uv = readable_uv(obs).drop("cycle")
+    joined = lookup.uv_enrich(obs, uv, broadcast_rows=0, hot_rows=20, spread_by=("obs_id",))
     return conform_uv(joined).select("obs_id", "city", "uv_index")
 
 
@@ -496,16 +546,48 @@ def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return responses(obs, landing.FORECAST).unionByName(responses(obs, landing.UV))
 
 
+def all_reports(found) -> DataFrame:
+    """Every report of a run in long form: its name and each row as JSON."""
+    long = None
+    for name in found:
+        report = plain(found[name])
+        # Keys in one order and the exponent-free text of numbers, in either engine.
+        cells = [
+            F.concat(F.lit(c + "="), F.coalesce(F.col(c).cast("string"), F.lit("null")))
+            for c in sorted(report.columns)
+        ]
+        rows = report.select(F.lit(name).alias("report"), F.concat_ws(";", *cells).alias("cells"))
+        long = rows if long is None else long.unionByName(rows)
+    return long
+
+
 @query
 def job_single(spark, sf_dir):
-    run = jobs.run_single(landed(spark, sf_dir), scratch_table(spark, "single"))
-    return run.reports["temperature_stats"]
+    run = jobs.run_single(
+        landed(spark, sf_dir), scratch_table(spark, "single"), cities=DEPLOYED_CITIES
+    )
+    return all_reports(run.reports)
 
 
 @query
 def job_with_summary(spark, sf_dir):
-    run = jobs.run_with_summary(landed(spark, sf_dir), scratch_table(spark, "summary"))
-    return run.reports["batch_summary"]
+    run = jobs.run_with_summary(
+        landed(spark, sf_dir), scratch_table(spark, "summary"), cities=DEPLOYED_CITIES
+    )
+    names = [name for name in run.reports if name != "sample"]  # rows by generated ids
+    return all_reports({name: run.reports[name] for name in names})
+
+
+@query
+def job_unknown_kinds(spark, sf_dir):
+    """Responses of every kind, known or not: all are stored, set aside or failed."""
+    raw = landed(spark, sf_dir)
+    kind = F.when(F.col("obs_id") % 11 == 0, "tides").when(F.col("obs_id") % 13 != 0, F.col("kind"))
+    root = scratch_table(spark, "kinds")
+    jobs.run_plain(raw.withColumn("kind", kind), root, "only")
+    reason = F.when(F.col("outcome") == stored.FAILED, F.get("reasons", F.lit(0)))
+    rows = stored.read_all(spark, root).select("outcome", F.split_part(reason, F.lit(": "), F.lit(1)).alias("reason"))
+    return rows.groupBy("outcome", "reason").agg(stats.row_count())
 
 
 @query
@@ -524,19 +606,30 @@ def job_round_trip(spark, sf_dir):
     )
 
 
+STREAM_FILES = 6
+
+
+def landed_files(spark: SparkSession, sf_dir: str) -> str:
+    """All responses as landed files, readings in files of their own after the records."""
+    path = scratch_table(spark, "landed")
+    obs = spread_observations(spark, sf_dir)
+    for kind in (landing.FORECAST, landing.UV):
+        raw = responses(obs, kind).repartition(STREAM_FILES, "obs_id")
+        landing.write_landing(raw, path)
+    return path
+
+
 def stream_once(spark: SparkSession, sf_dir: str, on_result=None) -> str:
-    """Read the events as a stream, run the cycle job on what is there, stop."""
-    shape = table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(shape).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
-    obs = from_events(events)
-    raw = responses(obs, landing.FORECAST).unionByName(responses(obs, landing.UV))
+    """Read landed files as a stream, two a micro-batch, run the cycle job on each, stop."""
     root = scratch_table(spark, "stream")
+    files = landing.stream_landing(spark, landed_files(spark, sf_dir), files_per_batch=2)
     cycles = start_cycles(
-        raw, root, f"{root}.checkpoint", interval=None, cities=DEPLOYED_CITIES, on_result=on_result
+        files, root, f"{root}.checkpoint", interval=None, cities=DEPLOYED_CITIES, on_result=on_result
     )
     cycles.awaitTermination()
+    flushed = flush(spark, root, cities=DEPLOYED_CITIES)
+    if on_result is not None and flushed.counts is not None:
+        on_result(flushed)
     return root
 
 
@@ -545,6 +638,15 @@ def stream_available_now(spark, sf_dir):
     return stored.read_valid(spark, stream_once(spark, sf_dir)).select(*REPEATABLE)
 
 
+@query
+def stream_landed_cycles(spark, sf_dir):
+    """Readings that come after their records, several cycles per place: who got which."""
+    rows = stored.read_valid(spark, stream_once(spark, sf_dir))
+    return rows.groupBy("city", F.col("recorded_at").cast("date").alias("cycle"), "uv_index").agg(
+        stats.row_count()
+    )
+
+
 @query
 def stream_failures(spark, sf_dir):
     """Bad responses of a stream end up beside the good ones."""
@@ -554,10 +656,10 @@ def stream_failures(spark, sf_dir):
 
 @query
 def stream_cycle_report(spark, sf_dir):
-    """A report over each cycle's own records."""
+    """A report over each cycle's own records, added up."""
     found = []
     stream_once(spark, sf_dir, on_result=lambda run: found.append(run.reports["comfort_distribution"]))
     every = found[0]
     for one in found[1:]:
         every = every.unionByName(one)
-    return every
+    return every.groupBy("comfort_level").agg(F.sum("row_count").alias("row_count"))

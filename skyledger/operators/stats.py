@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PLACES = 6
+# A sum of the stored types would end at 1e13; this one at 1e20.
+SUM = "decimal(38,18)"
 
 
 def row_count() -> Column:
@@ -20,7 +22,7 @@ def row_count() -> Column:
 
 def exact_mean(value: Column) -> Column:
     """Mean from the exact sum; NULL when there is no value."""
-    return F.round(F.try_divide(F.sum(value).cast("double"), F.count(value)), PLACES)
+    return F.round(F.try_divide(F.sum(value.cast(SUM)).cast("double"), F.count(value)), PLACES)
 
 
 def sample_deviation(value: Column) -> Column:

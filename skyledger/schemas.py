@@ -89,6 +89,8 @@ LANDING = T.StructType(
         ("status", INT),
         ("body", TEXT),
         ("fetched_at", WALL_CLOCK),
+        # Names the fetch cycle: a record takes the UV reading of its own cycle.
+        ("cycle", TEXT),
     )
 )
 
@@ -100,8 +102,9 @@ _MAIN = "struct<{}>".format(
     ",".join(
         f"{name}:{_N}"
         for name in (
-            "temp feels_like temp_min temp_max humidity pressure sea_level grnd_level".split()
-        )
+            "temp", "feels_like", "temp_min", "temp_max", "humidity", "pressure", "sea_level",
+            "grnd_level",
+        )
     )
 )
 _WIND = f"struct<speed:{_N},deg:{_N},gust:{_N}>"

@@ -12,14 +12,22 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_own: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, named by the session.  A local one stands
-    in only where the session names none, as in tests on one machine."""
+    """The folder all executors see, named by the session.  A local one stands in only on
+    a local master, as in tests: on a cluster each machine would write its own."""
     folder = spark.conf.get(SETTING, None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="skyledger-")
-        spark.conf.set(SETTING, folder)
-    return folder
+    if folder is not None:
+        return folder
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set {SETTING} to a folder that all executors share")
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        _own[application] = tempfile.mkdtemp(prefix="skyledger-")
+    return _own[application]
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:
@@ -27,12 +35,14 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(rows: DataFrame, name: str) -> DataFrame:
+def written(rows: DataFrame, name: str, slot: str | None = None) -> DataFrame:
     """Write once, read back.  Later use neither recomputes the rows nor depends
-    on an executor that held them, and the scan knows its exact size."""
-    path = scratch_table(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    on an executor that held them, and the scan knows its exact size.  A ``slot`` is
+    overwritten by the next table of the same name: repeated jobs leave one folder."""
+    spark = rows.sparkSession
+    path = scratch_table(spark, name) if slot is None else f"{shared_folder(spark)}/{name}-{slot}"
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 @contextmanager
@@ -55,6 +65,12 @@ METHOD_LIMIT_DEFAULT = "65535"
 COMPILED_SIZE = "8000"
 
 
+def compiled_projections(spark: SparkSession):
+    """Keep wide projections within what the JVM compiles during an action, unless the
+    user chose a limit."""
+    return setting(spark, METHOD_LIMIT, COMPILED_SIZE, METHOD_LIMIT_DEFAULT)
+
+
 def prefer_compiled(spark: SparkSession) -> None:
     """Keep wide projections within what the JVM compiles, unless the user chose."""
     if spark.conf.get(METHOD_LIMIT, METHOD_LIMIT_DEFAULT) == METHOD_LIMIT_DEFAULT:

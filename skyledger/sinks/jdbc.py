@@ -34,7 +34,9 @@ def append(
     (ids come from the stored batch and do not change) where that matters.
     """
     (
+        # Writers are few; the stages before them keep their own number of tasks.
         conform(valid)
+        .repartition(connections)
         .write.format("jdbc")
         .options(url=url, dbtable=table, **properties)
         .option("createTableColumnTypes", column_types())

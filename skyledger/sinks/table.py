@@ -1,8 +1,10 @@
 """Append record batches to a Parquet table, bad rows set aside.
 
-Layout: ``root/batch=<name>/outcome=valid|rejected|failed``.  One pass writes
-all three outcomes.  A batch owns its folder, so writing it again (a retry, a
-replayed micro-batch) replaces it instead of adding duplicates.
+Layout: ``root/batch=<name>/outcome=valid|rejected|failed/recorded_on=<day>``, rows sorted
+by city and time within a file.  One pass writes all outcomes.  A batch owns its folder
+and its range of ids: writing it again (a retry, a replayed micro-batch) replaces its rows
+and keeps the range.  Ids are reserved in the ledger before a row is written, and a batch
+is read once its ledger entry says it is complete.
 """
 
 from __future__ import annotations
@@ -10,22 +12,32 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from skyledger.functions import casts
 from skyledger.operators import quality
 from skyledger.schemas import RECORD
-from skyledger.shared import setting
 from skyledger.sinks.conform import conformed
-from skyledger.sources.stored import FAILED, REJECTED, STORED, VALID
-
-# Rows of one task lie this far apart; the task's number fills the gap.  Ids
-# stay near row count × stride, far from the end of a long.
-ID_STRIDE = 1 << 20
+from skyledger.sources.stored import (
+    FAILED,
+    LEDGER,
+    REJECTED,
+    SEEN,
+    STORED,
+    VALID,
+    ledger_path,
+    read_ledger,
+)
+
+# Rows of one task lie this far apart; the task's number fills the gap.  Numbers beyond
+# it (Spark's end at 2**31) go on above the rows' own bits.
+ID_STRIDE = 1 << 24
 _ROW_BITS = 33
-
-OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
-LEDGER = "batch string, stored bigint, rejected bigint, failed bigint, last_id bigint"
+# A batch that is being written holds this many ids; complete, it holds a few times what
+# it used, so that a replay whose tasks are cut differently finds room.
+OPEN_RANGE = 1 << 50
+ROOM = 4
 
 
 @dataclass(frozen=True)
@@ -46,10 +58,8 @@ def surrogate_id(start: int) -> Column:
     raw = F.monotonically_increasing_id()
     task = F.shiftright(raw, _ROW_BITS)
     row = raw.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    guarded = F.when(task < ID_STRIDE, task).otherwise(
-        F.raise_error(F.lit("too many tasks for one id range")).cast("bigint")
-    )
-    return F.lit(start) + row * F.lit(ID_STRIDE) + guarded
+    beyond = F.shiftleft(F.floor(task / ID_STRIDE).cast("bigint"), _ROW_BITS)
+    return F.lit(start) + (row + beyond) * F.lit(ID_STRIDE) + F.pmod(task, F.lit(ID_STRIDE))
 
 
 def prepare(records: DataFrame, first_id: int = 1) -> DataFrame:
@@ -70,8 +80,17 @@ def prepare(records: DataFrame, first_id: int = 1) -> DataFrame:
         stored[name] = F.coalesce(stored[name], casts.utc_now())
     stored["id"] = F.when(~is_failed & ~is_broken, surrogate_id(first_id))
 
+    def differs(name: str) -> Column:
+        wide = F.col(name).try_cast(SEEN[name].dataType)
+        return F.when(~wide.eqNullSafe(stored[name].cast(SEEN[name].dataType)), wide)
+
+    measured = [
+        (differs(name) if name in columns else F.lit(None).cast(SEEN[name].dataType)).alias(name)
+        for name in SEEN.fieldNames()
+    ]
     return source.select(
         *(value.alias(name) for name, value in stored.items()),
+        F.struct(*measured).alias("seen"),
         F.when(is_failed, F.array("_failure"))
         .otherwise(quality.split_reasons(F.col("_broken")))
         .alias("reasons"),
@@ -83,41 +102,68 @@ def prepare(records: DataFrame, first_id: int = 1) -> DataFrame:
 def ensure_table(spark: SparkSession, root: str) -> None:
     """Create the table with its schema when there is none; readers then see no rows."""
     empty = spark.createDataFrame([], STORED)
-    empty.write.mode("ignore").partitionBy("batch", "outcome").parquet(root)
+    empty.write.mode("ignore").partitionBy("batch", "outcome", "recorded_on").parquet(root)
+
+
+def _head(spark: SparkSession, root: str) -> int:
+    """The first id no batch holds.  Kept in a file of its own: finding it costs the same
+    after a million batches.  Lost in a crash, it is made anew from the entries."""
+    try:
+        found = spark.read.schema("next_id bigint").json(f"{ledger_path(root)}/head").first()
+    except AnalysisException:
+        found = None
+    if found is not None:
+        return found["next_id"]
+    held = read_ledger(spark, root).agg(F.max("reserved_to")).first()[0]
+    return (held or 0) + 1
 
 
-def ledger_path(root: str) -> str:
-    return f"{root.rstrip('/')}.ledger"
+def _set_head(spark: SparkSession, root: str, next_id: int) -> None:
+    _put(spark, [(next_id,)], "next_id bigint", f"{ledger_path(root)}/head")
 
 
-def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    """One row per batch.  Kept beside the table, so finding the next free id
-    or the counts of a run does not touch the records."""
-    path = ledger_path(root)
-    spark.createDataFrame([], LEDGER).write.mode("ignore").json(path)
-    return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").json(path)
+def _put(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").json(path)
 
 
-def last_id(spark: SparkSession, root: str, before: str) -> int:
-    """Highest id of the other batches."""
-    others = read_ledger(spark, root).filter(F.col("batch") != before)
-    return others.agg(F.max("last_id")).first()[0] or 0
+def _entry(spark: SparkSession, root: str, batch: str):
+    try:
+        return spark.read.schema(LEDGER).json(f"{ledger_path(root)}/batches/{batch}").first()
+    except AnalysisException:
+        return None
 
 
-def write_batch(
-    records: DataFrame, root: str, batch: str | None = None, balance_files: bool = False
-) -> BatchCounts:
+def reserve(spark: SparkSession, root: str, batch: str) -> tuple[int, int]:
+    """First and last id a batch may use: those it has had before, or a new range.  The
+    head moves first, so a crash in between wastes a range and never gives it twice."""
+    held = _entry(spark, root, batch)
+    if held is not None:
+        first, last = held["first_id"], held["reserved_to"]
+    else:
+        first = _head(spark, root)
+        last = first + OPEN_RANGE
+        _set_head(spark, root, last + 1)
+    _put_entry(spark, root, (batch, first, last, False, None, None, None))
+    return first, last
+
+
+def _put_entry(spark: SparkSession, root: str, entry: tuple) -> None:
+    _put(spark, [entry], LEDGER, f"{ledger_path(root)}/batches/{entry[0]}")
+
+
+def write_batch(records: DataFrame, root: str, batch: str | None = None) -> BatchCounts:
     """Write one batch and return its counts, taken while writing.
 
-    One writer at a time per table: the next free id is read before the write.
-    ``balance_files`` adds a shuffle that evens out file sizes; without it each
-    task writes what it read.
+    One writer at a time per table.  Rows are dealt out by outcome and day into files of
+    even size, a day with many rows into several.
     """
     spark = records.sparkSession
     batch = batch or uuid.uuid4().hex
-    if balance_files:
-        records = records.hint("rebalance")
-    rows = prepare(records, last_id(spark, root, before=batch) + 1)
+    first, last = reserve(spark, root, batch)
+    day = F.coalesce(F.to_date("recorded_at"), F.lit("1970-01-01").cast("date"))
+    rows = prepare(records, first).withColumn("recorded_on", day)
+    rows = rows.hint("rebalance", "outcome", "recorded_on")
+    rows = rows.sortWithinPartitions("outcome", "recorded_on", "city", "recorded_at")
     seen = Observation()
     is_outcome = {name: F.col("outcome") == name for name in (VALID, REJECTED, FAILED)}
     observed = rows.observe(
@@ -125,22 +171,24 @@ def write_batch(
         *(F.count_if(test).alias(name) for name, test in is_outcome.items()),
         F.max("id").alias("last_id"),
     )
-    # A task keeps one file per outcome open instead of sorting its rows.
-    with setting(spark, OPEN_FILES, str(len(is_outcome)), default="0"):
-        observed.write.mode("overwrite").partitionBy("outcome").parquet(f"{root}/batch={batch}")
+    folder = f"{root}/batch={batch}"
+    observed.write.mode("overwrite").partitionBy("outcome", "recorded_on").parquet(folder)
     found = seen.get
-    counts = BatchCounts(
-        batch, found[VALID], found[REJECTED], found[FAILED], found["last_id"] or 0
-    )
-    entry = [(batch, counts.stored, counts.rejected, counts.failed, counts.last_id)]
-    spark.createDataFrame(entry, LEDGER).coalesce(1).write.mode("overwrite").json(
-        f"{ledger_path(root)}/{batch}"
+    used = found["last_id"] or first - 1
+    if used > last:
+        raise ValueError(f"batch {batch} no longer fits its range of ids: use another name")
+    counts = BatchCounts(batch, found[VALID], found[REJECTED], found[FAILED], used)
+    if last == first + OPEN_RANGE and _head(spark, root) == last + 1:
+        last = first + ROOM * (used - first + 1)
+        _set_head(spark, root, last + 1)
+    _put_entry(
+        spark, root, (batch, first, last, True, counts.stored, counts.rejected, counts.failed)
     )
     return counts
 
 
 def run_counts(spark: SparkSession, root: str) -> DataFrame:
     """Successes and errors per batch."""
-    return read_ledger(spark, root).select(
+    return read_ledger(spark, root).filter("complete").select(
         "batch", "stored", (F.col("rejected") + F.col("failed")).alias("errors")
     )

@@ -12,6 +12,7 @@ CURRENT = "current"
 CURRENT_BY_COORD = "current_by_coord"
 FORECAST = "forecast"
 UV = "uv"
+RECORD_KINDS = (FORECAST, CURRENT, CURRENT_BY_COORD)
 
 OK = 200
 INVALID_KEY = 401
@@ -54,6 +55,11 @@ def of_kind(landing: DataFrame, *kinds: str) -> DataFrame:
     return landing.filter(F.col("kind").isin(*kinds))
 
 
+def record_bearing(landing: DataFrame) -> DataFrame:
+    """All but UV responses: those of no or an unknown kind are failures to be kept."""
+    return landing.filter(~F.col("kind").eqNullSafe(UV))
+
+
 def outcome(status: Column) -> Column:
     return (
         F.when(status == OK, "ok")
@@ -65,8 +71,10 @@ def outcome(status: Column) -> Column:
 
 
 def triage(landing: DataFrame) -> DataFrame:
-    """Add ``outcome`` and, for failures, ``fetch_error``."""
-    status, url = F.col("status"), F.col("request_url")
+    """Add ``outcome`` and, for failures, ``fetch_error``.  A kind nobody can read is
+    one, whatever its status."""
+    status, url, kind = F.col("status"), F.col("request_url"), F.col("kind")
+    unknown = ~F.coalesce(kind.isin(*RECORD_KINDS, UV), F.lit(False))
     message = (
         F.when(status == OK, F.lit(None).cast("string"))
         .when(status == INVALID_KEY, F.lit("invalid API key"))
@@ -76,4 +84,6 @@ def triage(landing: DataFrame) -> DataFrame:
             F.concat(F.lit("request failed with status "), F.coalesce(status.cast("string"), F.lit("?")))
         )
     )
-    return landing.withColumns({"outcome": outcome(status), "fetch_error": message})
+    message = F.when(unknown, F.concat(F.lit("unknown kind: "), F.coalesce(kind, F.lit("none")))).otherwise(message)
+    found = F.when(unknown, "failed").otherwise(outcome(status))
+    return landing.withColumns({"outcome": found, "fetch_error": message})

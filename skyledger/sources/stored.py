@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from skyledger.schemas import RECORD, TEXT
+from skyledger.schemas import RECORD, TEXT, WIDE
+
+# Measures whose stored type has fewer digits than a response: what was read, where it
+# is not what was stored.
+SEEN = T.StructType([T.StructField(name, WIDE) for name in ("temperature", "wind_speed")])
 
 # Bookkeeping columns kept next to the record in the Parquet table.
 STORED = T.StructType(
     [
         *RECORD.fields,
+        T.StructField("seen", SEEN),
         T.StructField("reasons", T.ArrayType(TEXT)),
         T.StructField("raw_record", TEXT),
         T.StructField("batch", TEXT),
         T.StructField("outcome", TEXT),
+        T.StructField("recorded_on", T.DateType()),
     ]
 )
 
@@ -21,18 +29,55 @@ VALID = "valid"
 REJECTED = "rejected"
 FAILED = "failed"
 
+LEDGER = (
+    "batch string, first_id bigint, reserved_to bigint, complete boolean, stored bigint,"
+    " rejected bigint, failed bigint"
+)
+
+
+def ledger_path(root: str) -> str:
+    return f"{root.rstrip('/')}.ledger"
+
+
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """One row per batch.  Kept beside the table, so the counts of a run do not touch
+    the records."""
+    path = f"{ledger_path(root)}/batches"
+    spark.createDataFrame([], LEDGER).write.mode("ignore").json(path)
+    return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").json(path)
+
 
 def read_all(spark: SparkSession, root: str) -> DataFrame:
-    """Every stored row with its ``batch`` and ``outcome`` partition columns."""
-    return spark.read.schema(STORED).parquet(root)
+    """Every stored row with its partition columns.  A batch is seen once its ledger
+    entry is complete, so rows of an interrupted write are not."""
+    # One short name per batch, and the table's own listing has a folder for each.
+    complete = read_ledger(spark, root).filter("complete").select("batch").distinct()
+    rows = spark.read.schema(STORED).parquet(root)
+    return rows.join(complete, "batch", "left_semi").select(*STORED.fieldNames())
+
+
+def read_batch(spark: SparkSession, root: str, batch: str) -> DataFrame:
+    """The rows of one batch, from its own folder: other batches are not even listed."""
+    folder = f"{root}/batch={batch}"
+    return spark.read.schema(STORED).option("basePath", root).parquet(folder)
 
 
 def read_valid(spark: SparkSession, root: str, batch: str | None = None) -> DataFrame:
-    """Accepted records; both filters prune folders."""
-    rows = read_all(spark, root).filter(F.col("outcome") == VALID)
-    if batch is not None:
-        rows = rows.filter(F.col("batch") == batch)
-    return rows.select(*RECORD.fieldNames())
+    """Accepted records; a filter on city skips row groups."""
+    rows = read_all(spark, root) if batch is None else read_batch(spark, root, batch)
+    return rows.filter(F.col("outcome") == VALID).select(*RECORD.fieldNames())
+
+
+def stored_latest(
+    spark: SparkSession, root: str, city: str, n: int, since: datetime.date | None = None
+) -> DataFrame:
+    """The newest ``n`` accepted records of a city.  ``since`` leaves folders of earlier
+    days unread; a city's rows lie together in a file, so most row groups are skipped."""
+    rows = read_all(spark, root).filter((F.col("outcome") == VALID) & (F.col("city") == city))
+    if since is not None:
+        rows = rows.filter(F.col("recorded_on") >= F.lit(since))
+    newest = rows.orderBy(F.col("recorded_at").desc_nulls_first(), F.col("id").desc()).limit(n)
+    return newest.select(*RECORD.fieldNames())
 
 
 def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
@@ -45,12 +90,18 @@ def read_jdbc(
     url: str,
     table: str,
     properties: dict[str, str],
-    split_on: str | None = None,
+    split_on: str | None = "id",
     bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
+    partitions: int = 8,
 ) -> DataFrame:
-    """A database table in the record's column order.  ``split_on`` with its
-    bounds reads it over several connections; filters are pushed down."""
+    """A database table in the record's column order, read over several connections that
+    share the values of ``split_on``; its bounds are asked from the database if not given.
+    Filters are pushed down."""
+    if split_on is not None and bounds is None:
+        # Quoted, as the columns of a table that Spark created are.
+        asked = f'(SELECT MIN("{split_on}") AS lo, MAX("{split_on}") AS hi FROM {table}) bounds'
+        ends = spark.read.format("jdbc").options(url=url, dbtable=asked, **properties).load().first()
+        bounds = None if ends[0] is None or ends[0] == ends[1] else (int(ends[0]), int(ends[1]))
     # Types are set at the source: a cast on top would keep filters from the database.
     types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RECORD.fields)
     options = {"preferTimestampNTZ": "true", "customSchema": types, **properties}

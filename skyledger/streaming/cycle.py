@@ -1,22 +1,120 @@
-"""Repeated fetch cycles as Structured Streaming micro-batches."""
+"""Repeated fetch cycles as Structured Streaming micro-batches.
+
+A record takes the UV reading of its own place and cycle, and the two may come in
+different micro-batches.  A record whose reading has not come waits, and readings stay for
+records that come later, both for ``lateness``; then the record is stored without one.  So
+the stored rows do not depend on how files fall into micro-batches, as long as a cycle
+asks each place once; of several readings the latest one known counts.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from skyledger.plans.jobs import RunResult, run_batch
+from skyledger.functions import casts
+from skyledger.operators import lookup
+from skyledger.plans.jobs import RunResult, record_rows, store_records, uv_rows
+from skyledger.schemas import LANDING
+from skyledger.shared import written
+from skyledger.sources import landing as land
 from skyledger.sources.cities import DEFAULT_CITIES
 
 DEFAULT_INTERVAL = 60  # seconds between cycles
+LATENESS = timedelta(days=1)
+
+#: When a response was first seen, beside the landing's own columns.
+_SINCE = "_since"
 
 
 def batch_name(stream: str, number: int) -> str:
     return f"{stream}-{number:010d}"
 
 
+_HELD = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in LANDING)
+_HELD += f", {_SINCE} timestamp_ntz, number bigint"
+
+
+def _waiting_path(root: str, stream: str) -> str:
+    return f"{root.rstrip('/')}.waiting/{stream}"
+
+
+def _waiting(spark: SparkSession, root: str, stream: str) -> DataFrame:
+    """Responses that micro-batches left waiting, each with the micro-batch's number."""
+    try:
+        return spark.read.schema(_HELD).option("recursiveFileLookup", "true").parquet(
+            _waiting_path(root, stream)
+        )
+    except AnalysisException:
+        return spark.createDataFrame([], _HELD)
+
+
+def _cycle(
+    responses: DataFrame,
+    root: str,
+    stream: str,
+    number: int,
+    lateness: timedelta,
+    profile: str | None,
+    cities: str,
+    database: Callable[[DataFrame], None] | None,
+    flushed: bool = False,
+) -> RunResult:
+    """Store what is complete, keep the rest for the next micro-batch."""
+    spark = responses.sparkSession
+    slot = hashlib.md5(f"{root} {stream}".encode()).hexdigest()[:12]
+    before = number if flushed else number - 1
+    held = _waiting(spark, root, stream).filter(F.col("number") == before).drop("number")
+    new = responses.select(*LANDING.fieldNames()).withColumn(_SINCE, casts.utc_now())
+    both = new.unionByName(held)
+    # Bodies are parsed once: everything after this reads what is written here.
+    triaged = land.triage(both)
+    uv = written(lookup.readings(uv_rows(triaged)), "cycle-uv", slot)
+    raw = F.struct(*LANDING.fieldNames(), _SINCE).alias("_raw")
+    parsed = lookup.join_uv(record_rows(triaged.select("*", raw)), uv)
+    failed = F.col("fetch_error").isNotNull() | F.col("parse_error").isNotNull()
+    placed = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    late = F.col(_SINCE) <= casts.utc_now() - F.lit(lateness)
+    done = failed | ~placed | F.col("uv_index").isNotNull() | late
+    parsed = written(parsed.withColumn("_done", done), "cycle-records", slot)
+    waiting = parsed.filter(~F.col("_done")).select("_raw.*")
+    readings = land.of_kind(both, land.UV).filter(~late).select(waiting.columns)
+    waiting = waiting.unionByName(readings).withColumn("number", F.lit(number).cast("bigint"))
+    # Two slots in turn, so that a replay finds what the micro-batch before it left; what
+    # a flush has stored waits in neither.
+    waiting = written(waiting, "cycle-waiting", slot)
+    for place in (0, 1) if flushed else (number % 2,):
+        waiting.write.mode("overwrite").parquet(f"{_waiting_path(root, stream)}/{place}")
+    ready = parsed.filter("_done").drop("_raw", "_done", "uv_index", _SINCE)
+    if ready.isEmpty():
+        return RunResult(None)
+    name = batch_name(f"{stream}-flush" if flushed else stream, number)
+    return store_records(ready, uv, root, name, profile, cities=cities, database=database)
+
+
+def flush(
+    spark: SparkSession,
+    root: str,
+    stream: str = "cycle",
+    profile: str | None = "strict",
+    cities: str = DEFAULT_CITIES,
+    database: Callable[[DataFrame], None] | None = None,
+) -> RunResult:
+    """Store what still waits without a reading, as at the end of a stream."""
+    last = _waiting(spark, root, stream).agg(F.max("number")).first()[0]
+    if last is None:
+        return RunResult(None)
+    nothing = spark.createDataFrame([], LANDING)
+    return _cycle(
+        nothing, root, stream, last, timedelta(0), profile, cities, database, flushed=True
+    )
+
+
 def start_cycles(
     responses: DataFrame,
     root: str,
@@ -26,6 +124,8 @@ def start_cycles(
     profile: str | None = "strict",
     cities: str = DEFAULT_CITIES,
     on_result: Callable[[RunResult], None] | None = None,
+    lateness: timedelta = LATENESS,
+    database: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Run the batch job on every micro-batch of a response stream.
 
@@ -36,9 +136,7 @@ def start_cycles(
     """
 
     def one_cycle(micro_batch: DataFrame, number: int) -> None:
-        result = run_batch(
-            micro_batch, root, batch_name(stream, number), profile=profile, cities=cities
-        )
+        result = _cycle(micro_batch, root, stream, number, lateness, profile, cities, database)
         if on_result is not None and result.counts is not None:
             on_result(result)
 
@@ -50,3 +148,21 @@ def start_cycles(
         .foreachBatch(one_cycle)
         .start()
     )
+
+
+def run_supervised(start: Callable[[], StreamingQuery], restarts: int = 3) -> None:
+    """Start cycles from their checkpoint again when one fails, ``restarts`` times in a
+    row at most; a cycle that ends well sets the count back."""
+    failures, done = 0, -1
+    while True:
+        query = start()
+        try:
+            query.awaitTermination()
+            return
+        except Exception:
+            progress = query.lastProgress
+            reached = -1 if progress is None else progress["batchId"]
+            failures = 1 if reached > done else failures + 1
+            done = max(done, reached)
+            if failures > restarts:
+                raise

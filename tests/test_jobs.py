@@ -14,7 +14,7 @@ from skyledger.plans import jobs
 from skyledger.schemas import LANDING
 from skyledger.sinks.table import run_counts
 from skyledger.sources import landing, stored
-from skyledger.streaming.cycle import start_cycles
+from skyledger.streaming.cycle import flush, run_supervised, start_cycles
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -141,7 +141,7 @@ def test_stream_on_an_interval_survives_bad_responses(spark, root, tmp_path):
     cycles = [[("nope", 200), (None, 500)], [(good, 200)]]
 
     def drop(number):
-        rows = [("forecast", "A", "https://x/?q=A", status, body, None) for body, status in cycles[number]]
+        rows = [("forecast", "A", "https://x/?q=A", status, body, None, None) for body, status in cycles[number]]
         landing.write_landing(spark.createDataFrame(rows, LANDING), path)
 
     drop(0)
@@ -157,3 +157,88 @@ def test_stream_on_an_interval_survives_bad_responses(spark, root, tmp_path):
         query.stop()
     outcomes = {r["outcome"]: r["count"] for r in stored.read_all(spark, root).groupBy("outcome").count().collect()}
     assert outcomes == {"failed": 2, "valid": 1}
+
+
+def reading(number, cycle, value):
+    url = f"https://x/?lat={number}.5&lon=7.25&appid=k"
+    return ("uv", None, url, 200, f'{{"value":{value}}}', None, cycle)
+
+
+def forecast(number, cycle):
+    body = f'{{"city":{{"name":"C{number}","coord":{{"lat":{number}.5,"lon":7.25}}}},"list":[{{"main":{{"temp":{number}}}}}]}}'
+    return ("forecast", f"C{number}", f"https://x/?q=C{number}", 200, body, None, cycle)
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 1000])
+def test_readings_that_come_later_are_waited_for(spark, root, tmp_path, files_per_batch):
+    """Four cycles of three places, readings last and none for the last cycle."""
+    path = str(tmp_path / "landing")
+    for cycle in "abcd":
+        landing.write_landing(spark.createDataFrame([forecast(n, cycle) for n in range(3)], LANDING).coalesce(1), path)
+    for k, cycle in enumerate("abc"):
+        rows = [reading(n, cycle, n + k) for n in range(3)]
+        landing.write_landing(spark.createDataFrame(rows, LANDING).coalesce(1), path)
+    files = landing.stream_landing(spark, path, files_per_batch=files_per_batch)
+    start_cycles(files, root, str(tmp_path / "checkpoint"), interval=None).awaitTermination()
+    rows = stored.read_valid(spark, root).select("city", "uv_index").collect()
+    expected = sorted((f"C{n}", n + k) for n in range(3) for k in range(3))
+    assert sorted((r["city"], int(r["uv_index"])) for r in rows) == expected
+    assert flush(spark, root).counts.stored == 3
+    assert flush(spark, root).counts is None
+    rows = stored.read_valid(spark, root)
+    assert rows.count() == 12 and rows.filter("uv_index IS NULL").count() == 3
+    ids = rows.select("id")
+    assert ids.distinct().count() == 12
+
+
+def test_a_failed_cycle_starts_again_from_its_checkpoint(spark, root, tmp_path):
+    path = str(tmp_path / "landing")
+    landing.write_landing(spark.createDataFrame([("forecast", "A", "u", 500, None, None, "a")], LANDING), path)
+    calls = []
+
+    def database(rows):
+        calls.append(rows.count())
+        if len(calls) == 1:
+            raise RuntimeError("the database is away")
+
+    def start():
+        return start_cycles(
+            landing.stream_landing(spark, path), root, str(tmp_path / "checkpoint"), interval=None,
+            database=database,
+        )
+
+    run_supervised(start)
+    assert len(calls) == 2
+    assert stored.read_all(spark, root).count() == 1
+
+
+def test_every_response_is_accounted_for(spark, root):
+    good = forecast(1, "a")
+    rows = [good, reading(1, "a", 4), ("tides", *good[1:]), (None, *good[1:])]
+    counts = jobs.run_single(spark.createDataFrame(rows, LANDING), root, "r").counts
+    assert (counts.stored, counts.rejected, counts.failed) == (1, 0, 2)
+    reasons = stored.read_all(spark, root).filter("outcome = 'failed'").select(F.explode("reasons")).collect()
+    assert sorted(r[0] for r in reasons) == ["unknown kind: none", "unknown kind: tides"]
+
+
+def test_reports_see_what_was_read(spark, root):
+    """Measures with more digits than the store has, and one too large for it."""
+
+    def row(value):
+        body = f'{{"city":{{"name":"A"}},"list":[{{"main":{{"temp":{value}}},"wind":{{"speed":{value}}}}}]}}'
+        return ("forecast", "A", "u", 200, body, None, "a")
+
+    raw = spark.createDataFrame([row(v) for v in ("-0.004", "12.345", "123456.7")], LANDING)
+    result = jobs.run_single(raw, root, "r")
+    assert (result.counts.stored, result.counts.rejected) == (2, 1)
+    found = result.reports["temperature_stats"].first()
+    assert (found["min_temperature"], found["max_temperature"]) == (-0.004, 123456.7)
+    wind = {r["measure"]: r for r in result.reports["describe"].collect()}["wind_speed"]
+    assert (wind["n"], wind["max"]) == (3, 123456.7)
+
+
+def test_a_cycle_reads_only_its_own_folder(spark, raw, root):
+    for name in ("a", "b"):
+        result = jobs.run_single(raw.filter("obs_id < 60"), root, name)
+    files = jobs.processed(spark, root, result.counts.batch).inputFiles()
+    assert files and all("/batch=b/" in f for f in files)

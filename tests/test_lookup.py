@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal as D
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,7 +53,7 @@ def test_both_joins(spark, facts, uv, broadcast_rows):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = lookup.uv_enrich(facts, uv, broadcast_rows=broadcast_rows)
+        joined = lookup.uv_enrich(facts, uv, broadcast_rows=broadcast_rows, hot_rows=500)
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert ("BroadcastHashJoin" in plan) == (broadcast_rows > 0)
         assert ("SortMergeJoin" in plan) == (broadcast_rows == 0)
@@ -63,7 +65,7 @@ def test_both_joins(spark, facts, uv, broadcast_rows):
 def test_identical_rows_are_spread(spark):
     """Copies of one row, from several input partitions, get several salts."""
     copies = spark.range(4000).repartition(8).select(F.lit(1).alias("k"))
-    salts = copies.select(lookup.spread(["k"], 32).alias("s")).groupBy("s").count().collect()
+    salts = copies.select(lookup.spread(["k"], F.lit(32)).alias("s")).groupBy("s").count().collect()
     assert len(salts) > 3
 
 
@@ -71,3 +73,20 @@ def test_coverage_counts_zero(spark):
     rows = spark.createDataFrame([("A",), ("A",), ("Z",), (None,)], "city string")
     got = {r["city"]: r["row_count"] for r in lookup.city_coverage(spark, rows, " A , B").collect()}
     assert got == {"A": 2, "B": 0}
+
+
+def test_readings_are_hash_aggregated_and_fit(spark, uv):
+    found = lookup.readings(uv)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    far = uv.withColumn("uv_index", F.lit("-1234.5").cast("decimal(38,18)"))
+    assert {float(r["uv_index"]) for r in lookup.readings(far).collect()} == {-102.3}
+
+
+def test_each_record_takes_its_own_cycle(spark):
+    schema = "latitude decimal(38,18), longitude decimal(38,18), cycle string"
+    records = spark.createDataFrame([(D(1), D(2), c) for c in ("a", "b", "c", None)], schema)
+    rows = [(D(1), D(2), c, None, D(v)) for c, v in (("a", 1), ("b", 2), (None, 9))]
+    uv = spark.createDataFrame(rows, schema + ", fetched_at timestamp_ntz, uv_index decimal(38,18)")
+    got = {r["cycle"]: r["uv_index"] for r in lookup.uv_enrich(records, uv).collect()}
+    assert {c: v and int(v) for c, v in got.items()} == {"a": 1, "b": 2, "c": None, None: 9}

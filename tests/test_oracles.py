@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from skyledger.catalog.oracles import ORACLES
+from skyledger.catalog.queries import REGISTRY
 from tests.compare import differences, duck
 
 SMALL = "/root/testdata/sf0.001"
@@ -15,13 +17,13 @@ def engine():
     return duck(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_same_as_sql(spark, engine, name):
     assert differences(spark, engine, SMALL, name) is None
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
 
 
 def test_entry(spark):

@@ -6,13 +6,13 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from skyledger.catalog.queries import REGISTRY
 
 SMALL = "/root/testdata/sf0.001"
 
 
 def plan(spark, name, executed=False):
-    frame = queries()[name](spark, SMALL)
+    frame = REGISTRY[name](spark, SMALL)
     if executed:
         frame.collect()
     return frame._jdf.queryExecution().executedPlan().toString()
@@ -57,7 +57,7 @@ def test_the_scalar_total_reuses_the_grouped_rows(spark):
 WRITERS = ("job_", "stream_", "sink_roundtrip", "sink_quarantine", "surrogate_", "run_counts")
 
 
-@pytest.mark.parametrize("name", [n for n in sorted(queries()) if not n.startswith(WRITERS)])
+@pytest.mark.parametrize("name", [n for n in sorted(REGISTRY) if not n.startswith(WRITERS)])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(spark, name)
     for bad in ("EvalPython", "PythonUDF", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -105,8 +105,8 @@ def test_record_time_is_kept_or_set(spark, root):
     assert times[0] == AT and abs((now - times[1]).total_seconds()) < 120
 
 
-def test_rebalanced_write_holds_the_same_rows(spark, mixed, root):
-    counts = table.write_batch(mixed, root, "b", balance_files=True)
+def test_every_row_is_written_once(spark, mixed, root):
+    counts = table.write_batch(mixed.repartition(5), root, "b")
     assert (counts.stored, counts.rejected) == (5, 9)
     assert stored.read_all(spark, root).count() == len(MIXED)
 
@@ -119,10 +119,47 @@ def test_a_new_table_reads_as_empty(spark, root):
     table.ensure_table(spark, root)
 
 
-def test_the_open_file_setting_is_put_back(spark, mixed, root):
-    before = spark.conf.get(table.OPEN_FILES, "0")
-    table.write_batch(mixed, root)
-    assert spark.conf.get(table.OPEN_FILES, "0") == before
+def test_an_interrupted_batch_is_hidden_and_its_ids_stay_its_own(spark, mixed, root, monkeypatch):
+    table.write_batch(mixed, root, "a")
+    with monkeypatch.context() as broken:
+        real = table._put_entry
+
+        def fails_at_the_end(session, path, entry):
+            if entry[3]:
+                raise RuntimeError("stopped before the ledger was complete")
+            real(session, path, entry)
+
+        broken.setattr(table, "_put_entry", fails_at_the_end)
+        with pytest.raises(RuntimeError):
+            table.write_batch(mixed, root, "b")
+    assert {r["batch"] for r in stored.read_all(spark, root).select("batch").collect()} == {"a"}
+    table.write_batch(mixed, root, "c")
+    table.write_batch(mixed, root, "b")
+    table.write_batch(mixed, root, "a")
+    ids = stored.read_valid(spark, root).select("id")
+    assert ids.distinct().count() == ids.count() == 3 * table.write_batch(mixed, root, "a").stored
+
+
+def test_ids_have_no_task_limit(spark):
+    rows = spark.range(0, 2000, 1, 500).select(table.surrogate_id(7).alias("id"))
+    assert rows.distinct().count() == 2000
+    many = spark.sql("SELECT CAST(20000000 AS BIGINT) AS task")
+    stride = table.ID_STRIDE
+    beyond = many.select(F.shiftleft(F.floor(F.col("task") / stride).cast("bigint"), 33)).first()[0]
+    assert beyond == 1 << 33
+
+
+def test_days_are_folders_and_cities_lie_together(spark, root):
+    rows = [record(k, city="AB"[k % 2], at=AT + datetime.timedelta(days=k % 3)) for k in range(60)]
+    table.write_batch(spark.createDataFrame(rows, COLUMNS), root, "only")
+    newest = stored.stored_latest(spark, root, "A", 5, since=(AT + datetime.timedelta(days=2)).date())
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "recorded_on" in plan.split("PartitionFilters")[1][:300]
+    assert "EqualTo(city,A)" in plan
+    assert {r["recorded_at"].date() for r in newest.collect()} == {(AT + datetime.timedelta(days=2)).date()}
+    cities = [r["city"] for r in spark.read.parquet(f"{root}/batch=only/outcome=valid").filter(
+        F.col("recorded_on") == (AT.date())).collect()]
+    assert cities == sorted(cities)
 
 
 DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
@@ -156,6 +193,8 @@ def test_database_round_trip(spark, root):
     top = int(accepted.agg(F.max("id")).first()[0])
     parallel = stored.read_jdbc(spark, url, "weather_data", DERBY, "id", (1, top), 4)
     assert parallel.rdd.getNumPartitions() == 4 and parallel.count() == 3000
+    found = stored.read_jdbc(spark, url, "weather_data", DERBY)
+    assert found.rdd.getNumPartitions() == 8 and found.count() == 3000
     newest = jdbc.newest(read, "C1", 5)
     assert newest.collect() == latest.latest_by_city(accepted, "C1", 5).collect()
     plan = newest._jdf.queryExecution().toString()
