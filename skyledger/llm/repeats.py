@@ -36,7 +36,7 @@ MERGED = 2000
 #: Strings of all cores in a task, about, and of a shard of them.
 TASK, SHARD = 8000, 2000
 #: Bytes of text whose windows are looked at together.
-STRETCH = 2 << 20
+STRETCH = 1 << 19
 
 _PLACE_BITS = 28
 
@@ -347,29 +347,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     spans = written(repeated_spans(read.select("key", "text"), length, gram), "spans")
     merged = spans.distinct().groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("gone"))
 
+    kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for k in range(batch.num_rows):
-                data = batch.column("text")[k].as_py().encode()
-                gone = batch.column("gone")[k].as_py() or []
-                kept, at, runs = [], 0, 0
-                end = -1
-                for span in sorted((s["start"], s["end"]) for s in gone):
-                    if span[0] > end:
-                        runs += 1
-                        kept.append(data[at : span[0]])
-                    end = max(end, span[1])
-                    at = end
-                kept.append(data[at:])
-                left = b"".join(kept)
-                out.append((len(data), len(data) - len(left), runs, hashlib.sha256(left).hexdigest(), left))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-            )
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                rows = zip(part.column("text"), part.column("gone"), strict=True)
+                columns = zip(*(cut(text.as_py().encode(), gone.as_py() or []) for text, gone in rows), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))],
+                    ["doc_id", *names],
+                )
+
+    def cut(data: bytes, gone: list[dict]) -> tuple:
+        kept, at, runs, end = [], 0, 0, -1
+        for first, last in sorted((s["start"], s["end"]) for s in gone):
+            if first > end:
+                runs += 1
+                kept.append(data[at:first])
+            end = at = max(end, last)
+        left = b"".join([*kept, data[at:]])
+        return len(data), len(data) - len(left), runs, hashlib.sha256(left).hexdigest(), left
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return read.join(merged, "key", "left").select("doc_id", "text", "gone").mapInArrow(run, schema)
