@@ -32,10 +32,14 @@ LEAF = 16
 TREE = 1024
 #: Sizes of one band of a large cluster differ by this ratio at most.
 BAND = 1.05
-#: Groups beyond those that a pair may differ in: a text may leave some of them empty,
-#: and empty groups tell nothing.  A linked pair escapes if all its other groups differ,
-#: which has a chance below 1e-6 for sets of ten and far less for larger ones.
-SPARE = 6
+#: Groups beyond those that a pair may differ in, at least, and as a share: a text leaves
+#: its emptiest groups out.  An empty group is no group: a linked pair escapes if all its
+#: other groups differ, which has a chance below 1e-6 for sets of ten and far less for
+#: larger ones.
+SPARE, SPARE_SHARE = 6, 0.2
+#: Shingles that more than one in so many texts has, and more than this many texts, weigh
+#: nothing.  Their number is bounded by the mean text length times ``ONE_IN``.
+ONE_IN, COMMON = 2000, 25
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -60,10 +64,14 @@ class Rule:
         """In how many elements linked sets of this total size may differ at most."""
         return total * (100 - self.percent) // (100 + self.percent)
 
+    def most_differing(self, size_class: int) -> int:
+        """In how many elements sets may differ whose larger one is of this class."""
+        return self.differing(2 * (self.bounds[size_class + 1] - 1))
+
     def groups(self, size_class: int) -> int:
-        """Groups for pairs whose larger set is of this class; 0 if such sets must be equal."""
-        most = self.differing(2 * (self.bounds[size_class + 1] - 1))
-        return most + 1 + SPARE if most else 0
+        """Groups for such pairs; 0 if the sets must be equal."""
+        most = self.most_differing(size_class)
+        return most + 1 + max(SPARE, int(SPARE_SHARE * most)) if most else 0
 
     def links(self, shared, total):
         return shared * (100 + self.percent) >= self.percent * total
@@ -97,9 +105,20 @@ def identity(shingles: np.ndarray) -> int:
     return int(named.view(np.int64)[0])
 
 
-def group_hashes(shingles: np.ndarray, rule: Rule) -> np.ndarray:
-    """Hashes of the set's non-empty groups, for its own size class and the next."""
+def group_hashes(shingles: np.ndarray, rule: Rule, common: np.ndarray) -> np.ndarray:
+    """Hashes of the set's weightiest groups, for its own size class and the next.
+
+    A group weighs as many shingles as it has that are not ``common`` (sorted).  With D
+    shingles that may differ, D + 1 groups would do; the set tells those and all that
+    weigh as much.  Of two linked sets, take the one whose lightest group told is heavier:
+    one of its D + 1 groups is the same in the other, and heavy enough to be told there.
+    """
     own, spread = rule.size_class(len(shingles)), mix(shingles ^ np.uint64(0x5BD1E995))
+    rare = np.ones(len(shingles))
+    if len(common):
+        at = np.searchsorted(common, shingles)
+        at[at == len(common)] = 0
+        rare[common[at] == shingles] = 0
     found = []
     for scheme in (own, own + 1):
         k = rule.groups(scheme)
@@ -108,8 +127,13 @@ def group_hashes(shingles: np.ndarray, rule: Rule) -> np.ndarray:
             order = np.argsort(group)
             group = group[order]
             first = np.flatnonzero(np.diff(group, prepend=np.uint64(k)))
+            weight = np.add.reduceat(rare[order], first)
             content = np.add.reduceat(spread[order], first)
             label = group[first] + np.uint64(scheme << 32)
+            enough = rule.most_differing(scheme) + 1
+            if len(weight) > enough:
+                told = weight >= np.partition(weight, -enough)[-enough]
+                content, label = content[told], label[told]
             found.append(mix(content ^ mix(label)))
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
@@ -120,30 +144,52 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _points(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, key, member (its set's name, null without words) and n_shingles of every row."""
+    """doc_id, key, member (its set's name, null without words) and n_shingles of every
+    row; and, with shingle not null, how many texts of a stretch of the input have it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 sets = list(shingle_sets(*utf8(piece.column("text")), n))
                 names = [identity(s) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), piece.column("key"), pa.array(names, pa.int64()),
-                     pa.array(list(map(len, sets)), pa.int64())],
-                    ["doc_id", "key", "member", "n_shingles"],
+                yield told(
+                    doc_id=piece.column("doc_id"), key=piece.column("key"),
+                    member=pa.array(names, pa.int64()), n_shingles=pa.array(list(map(len, sets)), pa.int64()),
                 )
+                shingle, times = np.unique(np.concatenate(sets), return_counts=True)
+                many = times > 2
+                yield told(
+                    shingle=pa.array(shingle[many].view(np.int64)), times=pa.array(times[many])
+                )
+
+    def told(**columns: pa.Array) -> pa.RecordBatch:
+        size = len(next(iter(columns.values())))
+        arrays = [columns.get(c, pa.nulls(size, pa.int64())) for c in names_of]
+        return pa.RecordBatch.from_arrays(arrays, names_of)
+
+    names_of = ["doc_id", "key", "member", "n_shingles", "shingle", "times"]
+    return _keyed(docs).mapInArrow(run, ", ".join(f"{c} long" for c in names_of))
+
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, key long, member long, n_shingles long")
+def _common(points: DataFrame) -> np.ndarray:
+    """Sorted hashes of shingles that many texts have, as far as stretches of the input
+    show it.  They only steer which groups are told; any list gives the same links."""
+    texts_seen = points.filter("shingle IS NULL").count()
+    least = max(COMMON, texts_seen // ONE_IN)
+    seen = points.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times"))
+    rows = seen.filter(F.col("times") > least).select("shingle").collect()
+    return np.sort(np.array([r["shingle"] for r in rows], np.int64).view(np.uint64))
 
 
-def _group_rows(docs: DataFrame, n: int, rule: Rule) -> DataFrame:
+def _group_rows(docs: DataFrame, n: int, rule: Rule, common: np.ndarray) -> DataFrame:
     """Group hash and member, for every distinct set of each stretch of the input."""
+    held = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch):
                 sets = {identity(s): s for s in shingle_sets(*utf8(piece.column("text")), n) if len(s)}
-                hashes = [group_hashes(s, rule) for s in sets.values()]
+                hashes = [group_hashes(s, rule, held.value) for s in sets.values()]
                 members = np.repeat(np.fromiter(sets, np.int64, len(sets)), list(map(len, hashes)))
                 grouped = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
                 yield pa.RecordBatch.from_arrays(
@@ -153,12 +199,13 @@ def _group_rows(docs: DataFrame, n: int, rule: Rule) -> DataFrame:
     return texts(docs).mapInArrow(run, "grp long, member long")
 
 
-def _clusters(grouped: DataFrame) -> DataFrame:
-    """node and root of all sets that share a group hash with another set."""
+def _stars(grouped: DataFrame) -> DataFrame:
+    """grp, member and hub of all sets that share a group hash with another set: the hub
+    is the smallest member, the others have a row each."""
     same = Window.partitionBy("grp").orderBy("member")
     running = same.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    star = grouped.select("member", F.first("member").over(running).alias("hub"))
-    return components(star.filter("member != hub").distinct())
+    star = grouped.select("grp", "member", F.first("member").over(running).alias("hub"))
+    return written(star.filter("member != hub"), "stars")
 
 
 def _planned(points: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -328,7 +375,7 @@ def _join_guests(rule: Rule):
 _PAIR = "member long, hub long"
 
 
-def _links(trees: DataFrame, rule: Rule) -> DataFrame:
+def _links(trees: DataFrame, stars: DataFrame, rule: Rule) -> DataFrame:
     """Edges that connect the members of every component."""
     inside = written(
         trees.groupBy("root", "band", "part").applyInArrow(_join_group(rule), _PAIR), "tree-links"
@@ -337,7 +384,8 @@ def _links(trees: DataFrame, rule: Rule) -> DataFrame:
     if spread.isEmpty():
         return inside.filter("member != hub")
     # Of each component found in a tree one set stands for it: these are joined first.
-    heads = spread.join(inside.filter("member = hub").select("member"), "member", "left_semi")
+    several = inside.groupBy("hub").agg(F.count("*").alias("n")).filter("n > 1")
+    heads = spread.join(several.select(F.col("hub").alias("member")), "member", "left_semi")
     tables = heads.groupBy("root").agg(F.ceil(F.count("*") / TREE).alias("tables"))
     part = F.pmod(F.xxhash64("member", F.lit(1)), F.col("tables")).alias("part")
     heads = heads.join(tables, "root").select("root", part, "member", "shingles")
@@ -351,25 +399,40 @@ def _links(trees: DataFrame, rule: Rule) -> DataFrame:
         F.coalesce(labels["root"], F.col("member")).alias("label"),
     )
     labelled = written(labelled, "labelled")
-    # What is not of its cluster's largest component visits every tree of its size.
-    count = labelled.groupBy("root", "label").agg(F.count("*").alias("n"))
-    largest = count.groupBy("root").agg(F.max_by("label", F.struct("n", "label")).alias("largest"))
-    guests = labelled.join(largest, "root").filter("label != largest")
-    homes = labelled.select("root", "band", "part").distinct()
-    # Linked sets' sizes are within the rule's ratio, so their bands are that close.
-    reach = int(np.ceil(np.log(100 / rule.percent) / np.log(BAND))) + 1
-    visits = (
-        guests.select("root", "member", "shingles", "label", F.col("band").alias("from"))
-        .join(homes, "root")
-        .filter(F.abs(F.col("band") - F.col("from")) <= reach)
-        .select("root", "band", "part", "member", "shingles", "label", F.lit(False).alias("own"))
+    visits = _visits(labelled, stars)
+    if visits.isEmpty():
+        return found
+    home = ["root", "band", "part"]
+    hosts = labelled.join(visits.select(*home).distinct(), home, "left_semi")
+    own = hosts.select(*home, "member", "shingles", "label", F.lit(True).alias("own"))
+    come = labelled.select("member", "shingles", "label").join(visits, "member")
+    come = come.select(*home, "member", "shingles", "label", F.lit(False).alias("own"))
+    late = own.unionByName(come).groupBy(*home).applyInArrow(_join_guests(rule), _PAIR)
+    return found.unionByName(late)
+
+
+def _visits(labelled: DataFrame, stars: DataFrame) -> DataFrame:
+    """Sets outside their cluster's largest component, and the trees where a set with
+    another label shares a group hash with them."""
+    slim = written(labelled.drop("shingles"), "labels")
+    count = slim.groupBy("root", "label").agg(F.count("*").alias("n"))
+    largest = count.groupBy("root").agg(F.max("n").alias("n")).join(count, ["root", "n"])
+    largest = largest.groupBy("root").agg(F.min("label").alias("largest"))
+    guests = slim.join(largest, "root").filter("label != largest").select("member", "label")
+    hubs = stars.select("grp", F.col("hub").alias("member")).distinct()
+    shared = written(
+        stars.select("grp", "member").distinct().unionByName(hubs).join(slim, "member"), "shared"
     )
-    visited = visits.select("root", "band", "part").distinct()
-    hosts = labelled.join(visited, ["root", "band", "part"], "left_semi").select(
-        "root", "band", "part", "member", "shingles", "label", F.lit(True).alias("own")
+    # Trees by group hash; one label alone has nothing for a guest that bears it.
+    trees = shared.groupBy("grp", "root", "band", "part").agg(
+        F.min("label").alias("least"), F.max("label").alias("most")
     )
-    late = hosts.unionByName(visits).groupBy("root", "band", "part")
-    return found.unionByName(late.applyInArrow(_join_guests(rule), _PAIR))
+    mixed = shared.groupBy("grp").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+    mixed = mixed.filter("a != b").select("grp")
+    coming = shared.select("grp", "member", "label").join(mixed, "grp", "left_semi")
+    coming = coming.join(guests.select("member"), "member", "left_semi")
+    met = coming.join(trees, "grp").filter("label != least OR label != most")
+    return written(met.select("member", "root", "band", "part").distinct(), "visits")
 
 
 def join_ngrams(docs: DataFrame, percent: int = 85, words_each: int = 4) -> DataFrame:
@@ -401,9 +464,11 @@ def _joined(docs: DataFrame, percent: int, words_each: int) -> DataFrame:
     rule = Rule(percent)
     docs = texts(docs)
     points = written(_points(docs, words_each), "points")
-    clusters = _clusters(_group_rows(docs, words_each, rule))
+    stars = _stars(_group_rows(docs, words_each, rule, _common(points)))
+    points = points.filter("shingle IS NULL")
+    clusters = components(stars.select("member", "hub").distinct())
     planned = _planned(points.filter("member IS NOT NULL"), clusters)
-    roots = components(_links(_trees(docs, planned, words_each), rule))
+    roots = components(_links(_trees(docs, planned, words_each), stars, rule))
     label = F.coalesce("root", "member").alias("label")
     labelled = points.join(roots, points["member"] == roots["node"], "left").select(
         "key", "doc_id", "n_shingles", label

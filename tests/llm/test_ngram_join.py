@@ -103,7 +103,10 @@ def test_linked_sets_share_a_group():
         gone = int(rng.integers(0, max(1, rule.differing(2 * n)) + 1))
         b = np.unique(np.append(a[gone:], rng.integers(0, 2**63, gone // 3).astype(np.uint64)))
         if rule.links(len(np.intersect1d(a, b)), len(a) + len(b)) and len(a) != len(b):
-            assert np.intersect1d(nj.group_hashes(a, rule), nj.group_hashes(b, rule)).size
+            common = np.sort(rng.choice(a, len(a) // 2, replace=False))
+            for held in (common, common[:0]):
+                told = [nj.group_hashes(x, rule, held) for x in (a, b)]
+                assert np.intersect1d(*told).size
 
 
 def test_components(spark):
