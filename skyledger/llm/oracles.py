@@ -74,3 +74,88 @@ SELECT doc_id, len(email) AS n_email, len(ip) AS n_ip, len(card) AS n_card, len(
        array_to_string(email || ip || card || phone || iban || ssn, ',') AS spans
 FROM found
 """
+
+
+def _parts(rank: int, kind: str, role: str, pattern: str, group: int, least: int) -> str:
+    """Rows of doc_id, pos, upto, kind, rank, role: a kind's matches with a long enough group."""
+    return f"""
+    SELECT doc_id, pos, pos + length(m) AS upto, '{kind}' AS kind, {rank} AS rank, '{role}' AS role
+    FROM (
+        SELECT doc_id, ms[i] AS m, vs[i] AS v,
+               coalesce(list_sum(list_transform(gs[1:i], lambda x: length(x))), 0)
+               + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS pos
+        FROM (
+            SELECT doc_id, ms, vs, gs, unnest(range(1, len(ms) + 1)) AS i
+            FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS ms,
+                         regexp_extract_all(text, '{pattern}', {group}) AS vs,
+                         string_split_regex(text, '{pattern}') AS gs FROM read)
+        )
+    ) WHERE length(v) >= {least}"""
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words)
+
+
+_AFTER = r"[\"'']?\x20*[:=]\x20*[\"'']?"
+_SECRETS = " UNION ALL ".join(
+    (
+        _parts(0, "assign", "secret", f"(?:{_either_case('password|passwd|secret|token|api_?key')}){_AFTER}([A-Za-z0-9+/_.=-]+)", 1, 6),
+        _parts(1, "access", "identifier", "AKIA[A-Z0-9]+", 0, 20),
+        _parts(2, "hex", "secret", "[0-9a-f]{24,}", 0, 24),
+        _parts(3, "name", "identifier", f"(?:{_either_case('username|user|login|client_id|account')}){_AFTER}([A-Za-z0-9_.@-]+)", 1, 3),
+        _parts(4, "key", "secret", "[A-Za-z0-9+/]{40,}", 0, 40),
+        _parts(5, "endpoint", "endpoint", "[a-z]{2,12}://[A-Za-z0-9_.:@/-]+", 0, 8),
+    )
+)
+
+ORACLES["op10_secrets"] = f"""
+WITH read AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+parts AS ({_SECRETS}),
+sure AS (
+    SELECT doc_id, count_if(kind = 'assign') AS n_assign,
+           count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+           string_agg(kind || ':' || pos || ':' || upto, ',' ORDER BY pos, rank) AS told
+    FROM parts WHERE rank < 3 GROUP BY doc_id
+),
+linked AS (
+    SELECT * FROM parts AS w WHERE rank >= 3 AND EXISTS (
+        SELECT 1 FROM parts AS o WHERE o.doc_id = w.doc_id AND o.role <> w.role
+        AND (o.pos BETWEEN w.pos - 200 AND w.upto + 200 OR o.upto BETWEEN w.pos - 200 AND w.upto + 200))
+),
+all_spans AS (
+    SELECT doc_id, string_agg(kind || ':' || pos || ':' || upto, ',' ORDER BY pos, rank) AS spans
+    FROM (SELECT * FROM parts WHERE rank < 3 UNION ALL SELECT * FROM linked) GROUP BY doc_id
+)
+SELECT read.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(told, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM read LEFT JOIN sure USING (doc_id) LEFT JOIN all_spans USING (doc_id)
+"""
+
+_TOKENS = r"[^\x20\x09-\x0D]+"
+ORACLES["op2_ngram_join"] = rf"""
+WITH RECURSIVE read AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '{_TOKENS}') AS w FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+        END AS s FROM read
+),
+items AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM items AS a JOIN items AS b ON a.h = b.h AND a.doc_id <> b.doc_id
+    WHERE b.n BETWEEN 0.85 * a.n AND a.n / 0.85
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reached AS (
+    SELECT doc_id AS x, doc_id AS least FROM sets
+    UNION
+    SELECT l.y, r.least FROM reached AS r JOIN links AS l ON l.x = r.x
+)
+SELECT doc_id, len(s) AS n_shingles, (SELECT min(least) FROM reached WHERE x = doc_id) AS component_id
+FROM sets
+"""
