@@ -126,4 +126,4 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     stay = stay.toDF("stay_id", "stay_sha256")
     text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), BLANKS, " ")
     same = (F.sha2(text, 256) == F.col("stay_sha256")) & F.col("doc_id").eqNullSafe(F.col("stay_id"))
-    return docs.join(stay, same, "left_semi")
+    return docs.join(stay.hint("merge"), same, "left_semi")

@@ -252,7 +252,8 @@ def _trees(docs: DataFrame, planned: DataFrame, n: int) -> DataFrame:
                     [*_PLACE, "shingles"],
                 )
 
-    told = _keyed(docs).join(planned, "key").select("text", *_PLACE)
+    # What is wanted grows with the input: it is never broadcast, small as it may be.
+    told = _keyed(docs).join(planned.hint("merge"), "key").select("text", *_PLACE)
     schema = "root long, band long, part long, large boolean, member long, shingles binary"
     return written(told.mapInArrow(run, schema), "trees")
 
@@ -448,7 +449,7 @@ def drop_near_copies(docs: DataFrame, percent: int = 80, words_each: int = 5) ->
     named = named.select(F.col("key").alias("stays")).distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text))
-    return docs.join(named, key == F.col("stays"), "left_semi")
+    return docs.join(named.hint("merge"), key == F.col("stays"), "left_semi")
 
 
 def _joined(docs: DataFrame, percent: int, words_each: int) -> DataFrame:
