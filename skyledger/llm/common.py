@@ -40,7 +40,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return held[starts[0] : starts[-1]], starts - starts[0]
 
 
-def pieces(batch: pa.RecordBatch, most: int = 8 << 20):
+def pieces(batch: pa.RecordBatch, most: int = 2 << 20):
     """Slices of a batch whose texts hold about ``most`` bytes, so that what is
     worked out per byte stays bounded whatever the batch; one text is never cut."""
     _, starts = utf8(batch.column("text"))
