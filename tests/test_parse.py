@@ -25,7 +25,7 @@ FULL_CITY = {
 
 def landed(spark, body, kind="current", url="https://api.example/x?lat=1.500000&lon=-2.250000"):
     body = body if body is None or isinstance(body, str) else json.dumps(body)
-    return spark.createDataFrame([(kind, "asked", url, 200, body, None)], LANDING)
+    return spark.createDataFrame([(kind, "asked", url, 200, body, None, None)], LANDING)
 
 
 @pytest.fixture
