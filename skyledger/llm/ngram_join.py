@@ -36,10 +36,10 @@ BAND = 1.05
 #: its emptiest groups out.  An empty group is no group: a linked pair escapes if all its
 #: other groups differ, which has a chance below 1e-6 for sets of ten and far less for
 #: larger ones.
-SPARE, SPARE_SHARE = 6, 0.2
-#: Shingles that more than one in so many texts has, and more than this many texts, weigh
-#: nothing.  Their number is bounded by the mean text length times ``ONE_IN``.
-ONE_IN, COMMON = 2000, 25
+SPARE, SPARE_SHARE = 6, 0.5
+#: The most frequent shingles weigh nothing: so many at most, and those of more than
+#: ``OFTEN`` texts only.  Stretches of so many shingles are counted by one task.
+COMMON, OFTEN, COUNTED = 200_000, 8, 4_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -148,6 +148,7 @@ def _points(docs: DataFrame, n: int) -> DataFrame:
     row; and, with shingle not null, how many texts of a stretch of the input have it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
             for piece in pieces(batch):
                 sets = list(shingle_sets(*utf8(piece.column("text")), n))
@@ -156,11 +157,18 @@ def _points(docs: DataFrame, n: int) -> DataFrame:
                     doc_id=piece.column("doc_id"), key=piece.column("key"),
                     member=pa.array(names, pa.int64()), n_shingles=pa.array(list(map(len, sets)), pa.int64()),
                 )
-                shingle, times = np.unique(np.concatenate(sets), return_counts=True)
-                many = times > 2
-                yield told(
-                    shingle=pa.array(shingle[many].view(np.int64)), times=pa.array(times[many])
-                )
+                held += sets
+                if sum(map(len, held)) > COUNTED:
+                    yield frequent(held)
+                    held = []
+        yield frequent(held)
+
+    def frequent(sets: list[np.ndarray]) -> pa.RecordBatch:
+        shingle, times = np.unique(
+            np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True
+        )
+        many = times > 2
+        return told(shingle=pa.array(shingle[many].view(np.int64)), times=pa.array(times[many]))
 
     def told(**columns: pa.Array) -> pa.RecordBatch:
         size = len(next(iter(columns.values())))
@@ -172,12 +180,18 @@ def _points(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _common(points: DataFrame) -> np.ndarray:
-    """Sorted hashes of shingles that many texts have, as far as stretches of the input
+    """Sorted hashes of the shingles that most texts have, as far as stretches of the input
     show it.  They only steer which groups are told; any list gives the same links."""
-    texts_seen = points.filter("shingle IS NULL").count()
-    least = max(COMMON, texts_seen // ONE_IN)
     seen = points.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("times").alias("times"))
-    rows = seen.filter(F.col("times") > least).select("shingle").collect()
+    seen = written(seen.filter(F.col("times") > OFTEN), "frequent-shingles")
+    step = F.floor(F.log2(F.col("times").cast("double")) * 64)
+    lowest, taken = None, 0
+    # A row for each step of a sixty-fourth octave: a few thousand whatever the corpus.
+    for row in sorted(seen.groupBy(step.alias("step")).count().collect(), reverse=True):
+        if taken + row["count"] > COMMON:
+            break
+        lowest, taken = row["step"], taken + row["count"]
+    rows = [] if lowest is None else seen.filter(step >= lowest).select("shingle").collect()
     return np.sort(np.array([r["shingle"] for r in rows], np.int64).view(np.uint64))
 
 
