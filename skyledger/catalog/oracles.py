@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from skyledger.catalog.observations import OBS
 
+# Fixed values in what follows: bounds and labels of the categories, texts of the reports.
+
 # Rows the stored table refuses (NULL breaks no range).
 _REASONS = """concat_ws(',',
   CASE WHEN wind_direction NOT BETWEEN 0 AND 360 THEN 'wind_direction out of range' END,

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from skyledger.functions import casts, rules
 
-# The 20-column report projection: (source column, report column).
+# The 20-column report projection (source column, report column), and below
+# it the columns that the second profile stores.
 REPORT_SOURCES = (
     ("city", "city_name"),
     ("country", "country"),

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+# The columns a report shows of a sample.
 SAMPLE_COLUMNS = (
     "city_name",
     "temperature",

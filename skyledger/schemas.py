@@ -22,7 +22,7 @@ def _fields(*pairs: tuple[str, T.DataType]) -> list[T.StructField]:
     return [T.StructField(name, kind, True) for name, kind in pairs]
 
 
-# The stored record, in column order.
+# Names and types of the stored record, in column order.
 RECORD = T.StructType(
     _fields(
         ("id", T.LongType()),
