@@ -1,18 +1,21 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine, weighted votes.
 
-The labels choose the terms: words that toxic examples have clearly more often.  Each
-example becomes a unit vector of term weights in an inverted index whose postings are
-kept in blocks with the largest weight of each.  Blocks that cannot reach the nearest
-examples found so far are skipped, so the nearest ones are exact.
+Every term of every example counts; those that the labels favour weigh more.  Each
+example is a unit vector of term weights in an inverted index.  The lists of common terms
+are left out wherever bounds (their largest weights in blocks of examples, and lengths of
+vectors) tell that they cannot bring an example among the nearest, so these are exact.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,16 +23,14 @@ from skyledger.llm.common import texts
 
 #: Labelled rows that are learned from: at most so many, chosen by a hash of their ids.
 EXAMPLES = 40_000
-#: A term is taken with this chi-square between word and label, in this share of the
-#: toxic examples (three at least), and if this share of the examples with it are toxic.
-CHI_SQUARE = 50.0
-TOXIC_SHARE = 0.02
-TERM_TOXIC = 0.3
 #: Bytes of a word that are its beginning.
 STEM = 5
 #: Examples of one block, and neighbours that vote.
 BLOCK = 128
 NEIGHBOURS = 15
+#: Terms in over a share of 1 / COMMON of the examples are common.  Their lists are read
+#: STEP at a time until at most CANDIDATES examples could be among the nearest.
+COMMON, STEP, CANDIDATES = 50, 16, 1000
 #: Weight of the prior beside the neighbours' similarities.
 PRIOR_WEIGHT = 0.5
 THRESHOLD = 0.3
@@ -49,87 +50,187 @@ def terms(text: str) -> list[bytes]:
     return words + [b"%s-%d" % (w, k) for w, n in begun.items() for k in (1, 2, 4) if n >= k]
 
 
+def hashed(words: Iterable[bytes]) -> np.ndarray:
+    """64-bit hash of each word, as signed numbers."""
+    return np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in words), np.int64)
+
+
 @dataclass
 class Index:
-    """Examples' unit vectors, as postings in blocks."""
+    """Examples' unit vectors one behind the other; what searches need is made from them
+    where it is first asked for."""
 
     ids: np.ndarray
     toxic: np.ndarray
     prior: float
-    idf: dict[bytes, float]
-    #: Term -> (largest weight of each block, where each block's postings start, slots, weights).
-    postings: dict[bytes, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
-    blocks: int
+    #: Hashes of all terms in order, and their weights.
+    words: np.ndarray
+    weights: np.ndarray
+    #: Where each example's terms start (and the end), their positions in ``words``, values.
+    starts: np.ndarray
+    terms: np.ndarray
+    values: np.ndarray
+    _lists: _Lists | None = field(default=None, repr=False)
+
+    @property
+    def blocks(self) -> int:
+        return -(-len(self.ids) // BLOCK)
+
+    @property
+    def lists(self) -> _Lists:
+        if self._lists is None:
+            self._lists = _Lists(self.starts, self.terms, self.values, len(self.words), self.blocks)
+            self.terms = self.values = None
+        return self._lists
+
+    def _known(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are terms, and their positions."""
+        at = np.searchsorted(self.words, words)
+        known = np.flatnonzero(at < len(self.words))
+        known = known[self.words[at[known]] == words[known]]
+        return known, at[known]
+
+    def unit(self, words: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unit vector, (1 + log tf) weight, of distinct hashes: known ones, terms, values."""
+        known, at = self._known(words)
+        raw = (1 + np.log(times[known])) * self.weights[at]
+        length = np.sqrt((raw * raw).sum())
+        return known, at, raw / length if length else raw
 
     def vector(self, words: Iterable[bytes]) -> dict[bytes, float]:
-        """Unit vector: (1 + log tf) idf."""
-        counts: dict[bytes, int] = {}
-        for w in words:
-            if w in self.idf:
-                counts[w] = counts.get(w, 0) + 1
-        raw = {w: (1 + np.log(n)) * self.idf[w] for w, n in counts.items()}
-        length = np.sqrt(sum(x * x for x in raw.values()))
-        return {w: x / length for w, x in raw.items()} if length else {}
+        """Unit vector of a text's words."""
+        counts = Counter(words)
+        own = list(counts)
+        known, _, values = self.unit(hashed(own), np.fromiter(counts.values(), float, len(own)))
+        return {own[k]: float(x) for k, x in zip(known, values, strict=True)}
 
     def nearest(self, query: dict[bytes, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples, ties by position."""
-        found = [(self.postings[w], x) for w, x in query.items() if w in self.postings]
-        bound = np.zeros(self.blocks)
-        for (most, *_), x in found:
-            bound += most * x
-        best_at, best = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bound, kind="stable"):
+        known, at = self._known(hashed(query))
+        return self._nearest(at, np.fromiter(query.values(), float, len(query))[known], k)
+
+    def _nearest(self, at: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        n = len(self.ids)
+        if not n or not len(at):
+            return np.empty(0, np.int64), np.empty(0)
+        lists = self.lists
+        number = lists.number[at]
+        scores = lists.sums(at[number < 0], x[number < 0], n)
+        # Common terms, those with the largest weights in the query first.
+        left = np.flatnonzero(number >= 0)
+        left = left[np.lexsort((at[left], -x[left]))]
+        while True:
+            least = np.partition(scores, n - k)[n - k] if n > k else 0.0
+            # What is left of the query is no longer than this, an example's common part
+            # no longer than its length; and no product is above the block's largest.
+            length = np.sqrt((x[left] ** 2).sum())
+            in_block = x[left] @ lists.most[number[left]]
+            bound = np.minimum(length * lists.common_length, np.repeat(in_block, BLOCK)[:n])
             # The margin covers rounding: sums of bounds and of products differ by less.
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[-1] - 1e-9:
+            able = np.flatnonzero((scores + bound >= least - 1e-9) & (scores + bound > 0))
+            if len(able) <= max(CANDIDATES, k) or not len(left):
                 break
-            scores = np.zeros(BLOCK)
-            for (_, starts, slots, weights), x in found:
-                own = slice(starts[block], starts[block + 1])
-                scores[slots[own]] += weights[own] * x
-            hit = np.flatnonzero(scores)
-            best_at = np.concatenate([best_at, block * BLOCK + hit])
-            best = np.concatenate([best, scores[hit]])
-            order = np.lexsort((best_at, -best))[:k]
-            best_at, best = best_at[order], best[order]
-        return best_at, best
+            now, left = left[:STEP], left[STEP:]
+            scores += lists.sums(at[now], x[now], n)
+        full = scores[able]
+        if len(left) and len(able):
+            full = full + lists.rest(able, number[left], x[left])
+        order = np.lexsort((able, -full))[:k]
+        order = order[full[order] > 0]
+        return able[order], full[order]
 
     def score(self, text: str) -> tuple[float, list[int]]:
         """Share of toxic votes, each neighbour's vote weighing its cosine; and their ids."""
-        query = self.vector(terms(text))
-        if not query:
+        counts = Counter(terms(text))
+        _, at, x = self.unit(hashed(counts), np.fromiter(counts.values(), float, len(counts)))
+        if not len(at):
             return self.prior, []
-        at, cosine = self.nearest(query, NEIGHBOURS)
-        votes = float((cosine * self.toxic[at]).sum() + PRIOR_WEIGHT * self.prior)
-        return votes / (float(cosine.sum()) + PRIOR_WEIGHT), self.ids[at].tolist()
+        near, cosine = self._nearest(at, x, NEIGHBOURS)
+        votes = float((cosine * self.toxic[near]).sum() + PRIOR_WEIGHT * self.prior)
+        return votes / (float(cosine.sum()) + PRIOR_WEIGHT), self.ids[near].tolist()
+
+
+class _Lists:
+    """Postings by term, and the common terms of each example with their bounds."""
+
+    def __init__(self, starts, terms, values, n_terms: int, blocks: int):
+        n = len(starts) - 1
+        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
+        size = np.bincount(terms, minlength=n_terms)
+        common = np.flatnonzero(size * COMMON > n)
+        #: Number of each common term, -1 for the others.
+        self.number = np.full(n_terms, -1, np.int32)
+        self.number[common] = np.arange(len(common))
+        own = np.flatnonzero(self.number[terms] >= 0)
+        self._own, self._own_values = self.number[terms[own]], values[own]
+        self._own_starts = np.searchsorted(owner[own], np.arange(n + 1))
+        squares = np.bincount(owner[own], self._own_values.astype(float) ** 2, n)
+        self.common_length = np.sqrt(squares)
+        self.most = np.zeros((len(common), blocks))
+        np.maximum.at(self.most, (self._own, owner[own] // BLOCK), self._own_values)
+        order = np.argsort(terms, kind="stable")
+        self._starts = np.concatenate([[0], np.cumsum(size)])
+        self._owner, self._values = owner[order], values[order]
+
+    def sums(self, at: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
+        """Products of the query's terms ``at`` with every example."""
+        first, count = self._starts[at], self._starts[at + 1] - self._starts[at]
+        runs = _runs(first, count)
+        return np.bincount(self._owner[runs], self._values[runs] * np.repeat(x, count), n).astype(float)
+
+    def rest(self, examples: np.ndarray, number: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Products of the common terms ``number`` with some examples."""
+        dense = np.zeros(len(self.most))
+        dense[number] = x
+        first = self._own_starts[examples]
+        count = self._own_starts[examples + 1] - first
+        runs = _runs(first, count)
+        products = self._own_values[runs] * dense[self._own[runs]]
+        products = np.bincount(np.repeat(np.arange(len(examples)), count), products, len(examples))
+        return products.astype(float)
+
+
+def _runs(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """firsts[0], firsts[0]+1, … (counts[0] of them), firsts[1], …"""
+    return np.arange(int(counts.sum())) + np.repeat(firsts - (np.cumsum(counts) - counts), counts)
+
+
+def _built(
+    examples: Iterable[tuple[int, int, np.ndarray, np.ndarray]], words: np.ndarray,
+    weights: np.ndarray, prior: float,
+) -> Index:
+    """``examples``: id, label, distinct hashes and their counts; ``words`` in order."""
+    nothing = np.empty(0, np.int64)
+    index = Index(nothing, np.empty(0), prior, words, weights, np.zeros(1, np.int64), nothing, np.empty(0))
+    vectors = []
+    for i, y, own, times in examples:
+        _, at, values = index.unit(own, times)
+        strongest = int(at[np.lexsort((at, -values))[0]]) if len(at) else -1
+        vectors.append((strongest, i, y, at.astype(np.int32), values.astype(np.float32)))
+    # Examples with the same strongest term lie together: block maxima are then close.
+    vectors.sort(key=lambda v: v[:2])
+    if vectors:
+        index.ids = np.array([v[1] for v in vectors], np.int64)
+        index.toxic = np.array([v[2] for v in vectors], float)
+        index.starts = np.concatenate([[0], np.cumsum([len(v[3]) for v in vectors])])
+        index.terms = np.concatenate([v[3] for v in vectors])
+        index.values = np.concatenate([v[4] for v in vectors])
+    return index
 
 
 def build_index(
     examples: list[tuple[int, int, dict[bytes, int]]], n: int, document_counts: dict[bytes, int],
     prior: float,
 ) -> Index:
-    """``examples``: id, label and term counts of those that have a term; ``n``: of all."""
-    idf = {w: float(np.log((1 + n) / (1 + c)) + 1) for w, c in document_counts.items()}
-    index = Index(np.empty(0, np.int64), np.empty(0), prior, idf, {}, 0)
-    vectors = [
-        (i, y, index.vector(w for w, c in counts.items() for _ in range(c)))
+    """``examples``: id, label and term counts; ``n``: of all.  Terms weigh their idf."""
+    idf = np.array([np.log((1 + n) / (1 + c)) + 1 for c in document_counts.values()])
+    words = hashed(document_counts)
+    order = np.argsort(words)
+    own = (
+        (i, y, hashed(counts), np.fromiter(counts.values(), float, len(counts)))
         for i, y, counts in examples
-    ]
-    # Examples with the same strongest term lie together: block maxima are then close.
-    vectors.sort(key=lambda v: (max(v[2].items(), key=lambda x: (x[1], x[0])), v[0]))
-    index.ids = np.array([v[0] for v in vectors], np.int64)
-    index.toxic = np.array([v[1] for v in vectors], float)
-    index.blocks = -(-len(vectors) // BLOCK)
-    lists: dict[bytes, list[tuple[int, float]]] = {}
-    for at, (_, _, vector) in enumerate(vectors):
-        for w, x in vector.items():
-            lists.setdefault(w, []).append((at, x))
-    for w, posted in lists.items():
-        at, weight = np.array([p[0] for p in posted]), np.array([p[1] for p in posted])
-        starts = np.searchsorted(at, np.arange(index.blocks + 1) * BLOCK)
-        most = np.zeros(index.blocks)
-        np.maximum.at(most, at // BLOCK, weight)
-        index.postings[w] = (most, starts, at % BLOCK, weight)
-    return index
+    )
+    return _built(own, words[order], idf[order], prior)
 
 
 def held_out() -> Column:
@@ -151,7 +252,14 @@ def _chosen(labels: DataFrame, examples: int) -> DataFrame:
 
 def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index:
     """Index of labelled examples.  Texts that occur several times count once; a text
-    whose labels differ is toxic.  Without labels the index is empty and the prior 0."""
+    whose labels differ is toxic.
+
+    A term weighs its idf times 1 + the root of chi-square, if toxic examples have it more
+    often: a rare word's root tells how sure the labels are and does not change with the
+    number of other examples.  No term is left out.  Fewer than ``NEIGHBOURS`` examples
+    would all vote on every text: the index is empty then, the prior their toxic share
+    (0 without labels).
+    """
     chosen = F.broadcast(_chosen(labels, examples))
     rows = texts(docs).join(chosen, "doc_id").groupBy(F.sha2("text", 256)).agg(
         F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"), F.first("text").alias("text")
@@ -159,56 +267,60 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index
 
     def words_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [terms(t.as_py()) for t in batch.column("text")]
-            tallies = [dict(zip(*np.unique(np.array(w, object), return_counts=True), strict=True)) if w else {} for w in found]
-            lists = pa.array([list(t.items()) for t in tallies], pa.map_(pa.binary(), pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), lists],
-                ["doc_id", "toxic", "counts"],
-            )
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                tallies = [Counter(terms(t.as_py())) for t in part.column("text")]
+                own = [hashed(t) for t in tallies]
+                times = [np.fromiter(t.values(), np.int32, len(t)) for t in tallies]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), part.column("toxic"),
+                        pa.array(own, pa.list_(pa.int64())),
+                        pa.array([w.tobytes() for w in own], pa.binary()),
+                        pa.array([t.tobytes() for t in times], pa.binary()),
+                    ],
+                    ["doc_id", "toxic", "words", "packed", "times"],
+                )
 
-    # At most EXAMPLES texts: kept while terms are chosen and vectors made.
+    # At most EXAMPLES texts: kept while terms are counted and vectors made.
     counted = rows.select("doc_id", "toxic", "text").mapInArrow(
-        words_of, "doc_id long, toxic int, counts map<binary,bigint>"
-    ).persist()
+        words_of, "doc_id long, toxic int, words array<bigint>, packed binary, times binary"
+    ).persist(StorageLevel.DISK_ONLY)
     try:
         totals = counted.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
         n, n_toxic = totals["n"], totals["toxic"] or 0
+        prior = n_toxic / n if n else 0.0
+        if n < NEIGHBOURS:
+            return build_index([], n, {}, prior)
         per_term = (
-            counted.select("toxic", F.explode("counts").alias("word", "times"))
+            counted.select("toxic", F.explode("words").alias("word"))
             .groupBy("word")
             .agg(F.sum("toxic").alias("a"), F.count("*").alias("docs"))
+            .toArrow()
         )
-        a, b = F.col("a"), F.col("docs") - F.col("a")
-        rest_a, rest_b = n_toxic - a, (n - n_toxic) - b
-        chi = (
-            n * F.pow((a * rest_b - b * rest_a).cast("double"), 2)
-            / ((a + b) * (rest_a + rest_b) * F.lit(float(n_toxic)) * F.lit(float(n - n_toxic)))
+        word, a, docs_of = (per_term.column(c).to_numpy() for c in ("word", "a", "docs"))
+        del per_term
+        order = np.argsort(word)
+        word, a, docs_of = word[order], a[order].astype(float), docs_of[order].astype(float)
+        sure = (a * n - docs_of * n_toxic) ** 2 * n
+        sure /= np.maximum(docs_of * (n - docs_of) * n_toxic * (n - n_toxic), 1.0)
+        sure[a * n <= docs_of * n_toxic] = 0.0
+        weights = (np.log((1 + n) / (1 + docs_of)) + 1) * (1 + np.sqrt(sure))
+        found = (
+            (r["doc_id"], r["toxic"], np.frombuffer(r["packed"], np.int64),
+             np.frombuffer(r["times"], np.int32).astype(float))
+            for r in counted.drop("words").toLocalIterator()
         )
-        wanted = {}
-        if 0 < n_toxic < n:
-            least = max(3.0, TOXIC_SHARE * n_toxic)
-            more_often = (a * (n - n_toxic) > b * n_toxic) & (a >= TERM_TOXIC * (a + b))
-            told = per_term.filter((a >= least) & more_often & (chi >= CHI_SQUARE)).collect()
-            wanted = {bytes(r["word"]): r["docs"] for r in told}
-        held = F.map_filter("counts", lambda w, _: w.isin([F.lit(x) for x in wanted] or [None]))
-        vectors = counted.select("doc_id", "toxic", held.alias("counts")).filter("size(counts) > 0")
-        found = [
-            (r["doc_id"], r["toxic"], {bytes(w): c for w, c in r["counts"].items()})
-            for r in (vectors.collect() if wanted else [])
-        ]
+        return _built(found, word, weights, prior)
     finally:
         counted.unpersist()
-    plain = n - len(found)
-    prior = (n_toxic - sum(y for _, y, _ in found)) / plain if plain else 0.0
-    return build_index(found, n, wanted, prior)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (ids of the nearest examples).
 
-    Scores depend on the text alone.  A text without any chosen term, so an empty or null
-    one, scores the toxic share of the examples without one.  Repeated rows are scored
+    Scores depend on the text alone.  A text without any term of the examples, so an empty
+    or null one, scores their toxic share.  Repeated rows are scored
     each; no rows give no rows; other columns are left.
     """
     index = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, examples))

@@ -30,6 +30,23 @@ def test_nearest_is_exact():
         assert [cosine[i] for i in index.ids[at]] == pytest.approx(expected)
 
 
+def test_rare_wording_counts(spark):
+    """Toxic words in under 2% of the toxic examples, and clean examples, are learned from."""
+    common = "some plain words that all of the texts have"
+    learned = [k for k in range(4000) if zlib.crc32(str(k).encode()) % 4 != 2][:1000]
+    texts = {k: f"{common} clean{k % 7}" if k % 10 else f"{common} loser{k % 3}" for k in learned}
+    for k in learned[::10][:2]:
+        texts[k] = f"{common} zyxwv qponm"
+    toxic = {k: int("clean" not in t) for k, t in texts.items()}
+    docs = frame(spark, [*((k, f"{t} own{k}") for k, t in texts.items()), (9001, "zyxwv qponm"), (9002, "clean3")])
+    labels = spark.createDataFrame([(k, 0, y) for k, y in toxic.items()], "doc_id long, quality int, toxic int")
+    index = learn(docs, labels)
+    assert len(index.ids) == 1000 and sorted(index.toxic) == sorted(map(float, toxic.values()))
+    rows = {r["doc_id"]: r for r in score_toxicity(docs, labels).filter("doc_id > 9000").collect()}
+    assert set(learned[::10][:2]) == set(rows[9001]["evidence"]) and rows[9001]["predicted"]
+    assert len(rows[9002]["evidence"]) == 15 and not rows[9002]["predicted"]
+
+
 def test_terms():
     assert terms("LOSER, l'Été x1y") == [b"loser", b"l", "été".encode(), b"x", b"y"]
     assert terms("nothing noth") == [b"nothing", b"noth", b"nothi-1"]
