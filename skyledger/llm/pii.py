@@ -16,8 +16,10 @@ from skyledger.llm.common import texts
 
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double,match:string>>"
 
-#: Code points before a span that are searched for context words.
+#: Code points before and after a span that are searched for context words.
 NEAR = 40
+#: So many gaps and matches behind a match cover ``NEAR``: no match has under 4 code points.
+NEXT = 10
 #: An added span is reported from this score on; base spans always are.
 REPORTED = 0.5
 #: What a context word nearby adds to a score.
@@ -71,12 +73,31 @@ class Kind:
     score: float
     context: str
     hint: str | None = None
+    #: What of a match is the span, NULL if nothing; the whole match by default.
+    cut: Callable[[Column], Column] | None = None
+    #: Kind of its spans, by default ``name``.
+    label: str | None = None
 
 
 def _between(low: int, high: int) -> Callable[[Column], Column]:
     return lambda match: F.length(_digits(match)).between(low, high)
 
 
+def _iban(match: Column) -> Column:
+    bare = F.translate(match, " ", "")
+    return F.length(bare).between(15, 34) & mod97(bare)
+
+
+def _groups(match: Column) -> Column:
+    """The longest beginning of whole groups that is an IBAN."""
+    groups = F.split(match, " ")
+    beginnings = F.transform(
+        F.sequence(F.size(groups), F.lit(3), F.lit(-1)),
+        lambda n: F.array_join(F.slice(groups, F.lit(1), n), " "),
+    )
+    return F.get(F.filter(beginnings, _iban), 0)
+
+
 # Possessive repeats and the look-behinds change no match: they only stop Java's matcher
 # from trying every start and every length of a long run, and from recursing into it.
 BASE = (
@@ -118,7 +139,7 @@ ADDED = (
     Kind(
         "iban",
         r"[A-Z]{2}[0-9]{2}[A-Z0-9]++",
-        lambda match: F.length(match).between(15, 34) & mod97(match),
+        _iban,
         0.8,
         "iban|account|bank",
     ),
@@ -131,6 +152,16 @@ ADDED = (
         "-",
     ),
 )
+#: IBANs as they are printed, in groups of four; their spans are of the kind iban.
+PRINTED = Kind(
+    "iban_printed",
+    r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20[A-Z0-9]{4}(?![A-Z0-9])){2,7}(?:\x20[A-Z0-9]{1,3}(?![A-Z0-9]))?",
+    _iban,
+    0.8,
+    "iban|account|bank",
+    cut=_groups,
+    label="iban",
+)
 
 
 def _proposed(kind: Kind) -> Column:
@@ -150,28 +181,48 @@ def _confirmed(kind: Kind, always: bool) -> Column:
     matches, gaps = F.col(f"{kind.name}.matches"), F.col(f"{kind.name}.gaps")
 
     def step(state: Column, i: Column) -> Column:
-        match, gap = F.get(matches, i), F.get(gaps, i)
+        whole, gap = F.get(matches, i), F.get(gaps, i)
+        match = kind.cut(whole) if kind.cut else whole
         start = state["at"] + F.length(gap)
-        near = F.lower(F.right(gap, F.lit(NEAR))).rlike(kind.context)
+        before = F.right(F.concat(state["before"], gap), F.lit(NEAR))
+        left = F.substring(whole, F.length(match) + 1, F.length(whole))
+        behind = F.transform(
+            F.sequence(i + 1, i + NEXT),
+            lambda j: F.concat(
+                F.left(F.coalesce(F.get(gaps, j), F.lit("")), F.lit(NEAR)),
+                F.left(F.coalesce(F.get(matches, j), F.lit("")), F.lit(NEAR)),
+            ),
+        )
+        after = F.left(F.concat(left, F.array_join(behind, "")), F.lit(NEAR))
+        near = F.lower(before).rlike(kind.context) | F.lower(after).rlike(kind.context)
         span = F.struct(
-            F.lit(kind.name).alias("kind"),
+            F.lit(kind.label or kind.name).alias("kind"),
             start.alias("start"),
             (start + F.length(match)).alias("end"),
             F.when(near, kind.score + CONTEXT).otherwise(kind.score).alias("score"),
             match.alias("match"),
         )
-        holds = kind.holds(match)
+        holds = F.coalesce(kind.holds(match), F.lit(False))
+        # What is before a span reaches back to the previous one that holds.
+        passed = F.right(F.concat(before, whole), F.lit(NEAR))
         if not always:
             holds = holds & (span["score"] >= REPORTED)
-        more = F.when(holds, F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct((start + F.length(match)).alias("at"), more.alias("spans"))
+        return F.struct(
+            (start + F.length(whole)).alias("at"),
+            F.when(holds, F.lit("")).otherwise(passed).alias("before"),
+            F.when(holds, F.array_append(state["spans"], span))
+            .otherwise(state["spans"])
+            .alias("spans"),
+        )
 
     nothing = F.from_json(F.lit("[]"), SPAN)
-    start = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("spans"))
+    start = F.struct(
+        F.lit(0).cast("long").alias("at"), F.lit("").alias("before"), nothing.alias("spans")
+    )
     walked = F.aggregate(
         F.sequence(F.lit(0), F.size(matches) - 1),
         start,
-        lambda state, i: step(state, i).cast(f"struct<at:bigint,spans:{SPAN}>"),
+        lambda state, i: step(state, i).cast(f"struct<at:bigint,before:string,spans:{SPAN}>"),
         lambda state: state["spans"],
     )
     return F.when(F.col(kind.name).isNotNull(), walked).otherwise(nothing)
@@ -179,18 +230,21 @@ def _confirmed(kind: Kind, always: bool) -> Column:
 
 def _with_spans(read: DataFrame) -> DataFrame:
     """``read`` (text and columns named row and raw) with the spans of every kind."""
-    kinds = [*BASE, *ADDED]
+    kinds = [*BASE, *ADDED, PRINTED]
     proposed = read.select("*", *(_proposed(k).alias(k.name) for k in kinds))
-    return proposed.select(
+    confirmed = proposed.select(
         *read.columns, *(_confirmed(k, k in BASE).alias(k.name) for k in kinds)
     )
+    both = F.array_sort(F.concat("iban", PRINTED.name))
+    return confirmed.withColumn("iban", both).drop(PRINTED.name)
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """doc_id, text and one column of spans per kind (email, ip, card, phone, iban, ssn).
 
-    Base kinds keep every match their check confirms; an IBAN needs its checksum, and a
-    social security number a context word within ``NEAR`` code points before it.  Spans
+    Base kinds keep every match their check confirms; an IBAN (one run, or groups of four)
+    needs its checksum, and a social security number a context word within ``NEAR`` code
+    points before it (back to the previous number found) or after it.  Spans
     count code points, ends exclusive, and are ordered by start.  A null or empty text
     has empty arrays; repeated rows are searched each for itself; other columns are left;
     no rows give no rows.

@@ -81,6 +81,27 @@ def test_added_spans(found):
     ]
 
 
+def test_context_and_printed_ibans(spark):
+    printed = "GB82 WEST 1234 5698 7654 32"
+    rows = [
+        (1, "SSN as of 2024-01-02: 123-45-6789."),
+        (2, "123-45-6789 is my ssn; " + "z" * 60 + " 111-22-3333"),
+        (3, "😀 123-45-6789, 1-2-3, 4-5-6 SSN"),
+        (4, f"to {printed} AND {printed[:-1]}3 or ES91 2100 0418 4502 0005 1332 BANK"),
+        (5, "123-45-6789 " + "z" * 40 + " ssn"),
+    ]
+    text = dict(rows)
+    got = {r["doc_id"]: [x for x in r["spans"].split(",") if x] for r in digest_pii(frame(spark, rows)).collect()}
+    span = lambda i, kind, part: f"{kind}:{text[i].index(part)}:{text[i].index(part) + len(part)}"
+    assert got[1] == [span(1, "ssn", "123-45-6789")]
+    assert got[2] == [span(2, "ssn", "123-45-6789")]
+    assert got[3] == [span(3, "ssn", "123-45-6789")]
+    assert [x for x in got[4] if x.startswith("iban")] == [
+        span(4, "iban", printed), span(4, "iban", "ES91 2100 0418 4502 0005 1332")
+    ]
+    assert got[5] == []
+
+
 def test_redacted(spark):
     rows = find_pii(frame(spark, ROWS)).select("doc_id", "text", redacted().alias("clean")).collect()
     clean = {r["doc_id"]: r["clean"] for r in rows}
