@@ -38,21 +38,59 @@ class Band:
     chars_per_token: tuple[float, float]
     fallback_share: float
     entropy: float
+    #: Most blanks among the code points; beyond it a text is padding.
+    blank_share: float = 0.5
 
 
 #: By script.  The lower bound of characters per token finds text that is no language to
-#: the vocabulary, the upper one blank padding; entropy (bits) finds repetition.
+#: the vocabulary; it lies between clean text of the script and its known letters at
+#: random (tests/llm/clean.py).  Thai and Hangul have hardly a merge in the vocabulary, so
+#: there only letters that it lacks tell, as in scripts without a band of their own, which
+#: "other" has.  Entropy (bits) finds repetition.
 BANDS = {
     "latin": Band((1.6, 9.0), 0.10, 3.5),
+    "cyrillic": Band((0.75, 9.0), 0.20, 3.5),
+    "greek": Band((0.75, 9.0), 0.20, 3.5),
+    "hebrew": Band((0.76, 9.0), 0.20, 3.5),
+    "arabic": Band((0.80, 9.0), 0.20, 3.5),
+    "devanagari": Band((0.60, 9.0), 0.20, 3.5),
+    "thai": Band((0.40, 9.0), 0.20, 3.5),
+    "hangul": Band((0.38, 9.0), 0.30, 3.5),
+    "kana": Band((0.60, 9.0), 0.20, 3.5),
+    "han": Band((0.45, 9.0), 0.20, 3.5),
     "other": Band((0.25, 9.0), 0.60, 3.5),
 }
+#: Code points of each script: first, and first behind.
+SCRIPTS = (
+    ("greek", 0x370, 0x400), ("cyrillic", 0x400, 0x530), ("hebrew", 0x590, 0x600),
+    ("arabic", 0x600, 0x780), ("devanagari", 0x900, 0x980), ("thai", 0xE00, 0xE80),
+    ("hangul", 0x1100, 0x1200), ("greek", 0x1F00, 0x2000), ("kana", 0x3040, 0x3100),
+    ("hangul", 0x3130, 0x3190), ("han", 0x3400, 0x4DC0), ("han", 0x4E00, 0xA000),
+    ("hangul", 0xAC00, 0xD7B0), ("han", 0xF900, 0xFB00), ("arabic", 0xFB50, 0xFE00),
+    ("arabic", 0xFE70, 0xFF00), ("kana", 0xFF66, 0xFFA0), ("han", 0x20000, 0x32000),
+)
 
 MEASURES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-    "n_tokens long, chars_per_token double, fallback_share double, entropy double, latin_share double"
+    "n_tokens long, chars_per_token double, fallback_share double, entropy double, "
+    "latin_share double, blank_share double, script string"
 )
 
 
+def script_of(wide: np.ndarray) -> str:
+    """Script of most of the code points beyond Latin.  Japanese has Han with its kana, so a
+    tenth of kana among both is kana."""
+    edges = np.array([x for _, *own in SCRIPTS for x in own])
+    at = np.searchsorted(edges, wide, "right")
+    counts = np.bincount(at, minlength=len(edges) + 1)
+    tally = {"other": int(counts[::2].sum())}
+    for k, (name, _, _) in enumerate(SCRIPTS):
+        tally[name] = tally.get(name, 0) + int(counts[2 * k + 1])
+    if 10 * tally["kana"] >= tally["kana"] + tally["han"]:
+        tally["kana"] += tally.pop("han")
+    return max(tally, key=tally.get)
+
+
 @functools.cache
 def known_characters(pieces_file: str = PIECES) -> np.ndarray:
     """For every code point, whether the vocabulary has it as a piece of its own."""
@@ -185,7 +223,7 @@ def measure(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
     entropy = np.where(n_tokens > 0, np.log2(some) - logs / some, 0.0)
 
     # Characters that only bytes can spell, and letters of Latin script.
-    fallback, latin = np.zeros(n), np.ones(n)
+    fallback, latin, script = np.zeros(n), np.ones(n), np.full(n, "latin", object)
     letters = np.bincount(owner_of(np.flatnonzero(data >= 0x80)), minlength=n)[:n]
     known = known_characters()
     for k in np.flatnonzero(letters):
@@ -195,6 +233,9 @@ def measure(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
         strange = wide[~known[wide]]
         fallback[k] = (2 + (strange >= 0x800) + (strange >= 0x10000)).sum()
         latin[k] = 1 - (wide >= 0x250).sum() / len(chars)
+        if latin[k] < 0.5:
+            script[k] = script_of(wide[wide >= 0x250])
+    n_points = np.diff(points[starts])
     return {
         "n_words": n_words,
         "word_chars": word_chars.astype(np.int64),
@@ -206,6 +247,8 @@ def measure(data: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
         "fallback_share": fallback / np.maximum(size, 1),
         "entropy": entropy,
         "latin_share": latin,
+        "blank_share": 1 - word_chars / np.maximum(n_points, 1),
+        "script": script,
     }
 
 
@@ -245,7 +288,8 @@ def judge(docs: DataFrame, bands: dict[str, Band] = BANDS) -> DataFrame:
     failed = (F.col("n_words") < LEAST_WORDS) | (
         100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     )
-    script = F.when(F.col("latin_share") >= 0.5, "latin").otherwise("other")
+    # A script without a band goes by that of "other".
+    script = F.when(F.col("script").isin(*bands), F.col("script")).otherwise("other")
     inside = F.lit(False)
     for name, band in bands.items():
         low, high = band.chars_per_token
@@ -253,6 +297,7 @@ def judge(docs: DataFrame, bands: dict[str, Band] = BANDS) -> DataFrame:
             F.col("chars_per_token").between(low, high)
             & (F.col("fallback_share") <= band.fallback_share)
             & (F.col("entropy") >= band.entropy)
+            & (F.col("blank_share") <= band.blank_share)
         )
         inside = F.when(script == name, good).otherwise(inside)
     return measured.select(

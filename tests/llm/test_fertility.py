@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -8,8 +9,9 @@ import pytest
 import sentencepiece
 from public_tokenizers import path
 
-from skyledger.llm.fertility import Band, judge_texts
+from skyledger.llm.fertility import Band, SCRIPTS, judge_texts, known_characters
 from skyledger.llm.tokens import encoder
+from tests.llm.clean import CLEAN
 from tests.llm.corpus import AWKWARD, frame
 
 SOME = " ".join(f"word{k}" for k in range(60))
@@ -74,5 +76,23 @@ def test_bands_decide(spark, found):
     assert not again[100]["base_failed"] and not again[100]["kept"]
 
 
+def test_scripts_have_bands(spark):
+    known, rng, rows = known_characters(), random.Random(1), []
+    for k, (script, text) in enumerate(CLEAN.items()):
+        letters = [chr(c) for s, a, b in SCRIPTS if s == script for c in range(a, b) if chr(c).isalpha()]
+        if script not in ("thai", "hangul"):
+            letters = [c for c in letters if known[ord(c)]]
+        junk = " ".join("".join(rng.choice(letters) for _ in w) for w in text.split())
+        rows += [(2 * k, text), (2 * k + 1, junk)]
+    rows += [(100, SOME), (101, SOME.replace(" ", " " * 20))]
+    got = {r["doc_id"]: r for r in judge_texts(frame(spark, rows)).collect()}
+    for k, script in enumerate(CLEAN):
+        assert got[2 * k]["script"] == script and got[2 * k]["in_band"], got[2 * k]
+        # Random letters of Devanagari and kana that the vocabulary has measure like clean text.
+        if script not in ("devanagari", "kana"):
+            assert not got[2 * k + 1]["in_band"], got[2 * k + 1]
+    assert got[100]["in_band"] and not got[101]["in_band"]
+
+
 def test_empty(spark):
     assert judge_texts(frame(spark, ROWS).limit(0)).count() == 0
