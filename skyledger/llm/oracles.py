@@ -159,3 +159,46 @@ reached AS (
 SELECT doc_id, len(s) AS n_shingles, (SELECT min(least) FROM reached WHERE x = doc_id) AS component_id
 FROM sets
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op11_collocations"] = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), listed AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), runs AS (
+    SELECT lang, size, array_to_string(ws[i:i + size - 1], ' ') AS phrase
+    FROM (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i
+          FROM listed, (SELECT unnest([1, 2, 3]) AS size) AS sizes)
+), f AS (
+    SELECT lang, size, phrase, CAST(count(*) AS HUGEINT) AS f FROM runs GROUP BY ALL
+), n AS (
+    SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE size > 1 AND f >= 10
+), cuts AS (
+    SELECT c.lang, c.phrase, c.size, c.a, c.k, x.f AS l, y.f AS r,
+           (1000000 * c.a * c.a) // (x.f * y.f) AS score
+    FROM (SELECT *, array_to_string(ws[1:k], ' ') AS first_part, array_to_string(ws[k + 1:], ' ') AS rest
+          FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)) AS c
+    JOIN f AS x ON x.lang = c.lang AND x.phrase = c.first_part
+    JOIN f AS y ON y.lang = c.lang AND y.phrase = c.rest
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+    SELECT lang, part, max(a) AS a
+    FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part
+          FROM candidates WHERE size = 3)
+    GROUP BY ALL
+)
+SELECT lowest.lang,
+       row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, lowest.a DESC, phrase) AS rank,
+       phrase, CAST(lowest.a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM lowest JOIN n ON n.lang = lowest.lang
+LEFT JOIN longer ON longer.lang = lowest.lang AND longer.part = lowest.phrase
+WHERE longer.a IS NULL OR 100 * longer.a < 50 * lowest.a
+QUALIFY rank <= 2000
+"""

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.llm.bpe import digest_bpe
+from skyledger.llm.collocations import collocations
 from skyledger.llm.common import documents
 from skyledger.llm.exact_dedup import deduplicate
 from skyledger.llm.fertility import judge_texts
@@ -91,3 +92,9 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 400-byte strings that occur more than once."""
     return remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of each language."""
+    return collocations(documents(spark, sf_dir))

@@ -17,4 +17,4 @@ def test_same_as_sql(spark, name):
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in CORPUS_QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in CORPUS_QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in CORPUS_QUERIES
