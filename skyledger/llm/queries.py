@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from skyledger.llm.bpe import digest_bpe
 from skyledger.llm.collocations import collocations
 from skyledger.llm.common import documents
+from skyledger.llm.conversations import damage, repair
 from skyledger.llm.exact_dedup import deduplicate
 from skyledger.llm.fertility import judge_texts
 from skyledger.llm.ngram_join import join_ngrams
 from skyledger.llm.packing import pack
+from skyledger.llm.pfor import digest_ids
 from skyledger.llm.pii import digest_pii
 from skyledger.llm.repeats import remove_repeats
 from skyledger.llm.secrets import digest_secrets
@@ -98,3 +100,15 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collocations of each language."""
     return collocations(documents(spark, sf_dir))
+
+
+@query
+def op12_pfor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written to packed files and read back."""
+    return digest_ids(documents(spark, sf_dir))
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule, with its cheapest repair."""
+    return repair(damage(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
