@@ -31,7 +31,7 @@ BEST = 2000
 #: A longer candidate with this percentage of a shorter one's count takes its place.
 COVERED = 50
 #: Texts are worked on in stretches of about so many bytes, cut between pieces.
-STRETCH = 6 << 20
+STRETCH = 2 << 20
 #: Bytes of text whose runs make up one hash partition.
 PARTITION = 6 << 20
 #: Bits of the filter (16 MB): for up to about 10 million frequent runs hardly anything else
