@@ -202,3 +202,99 @@ LEFT JOIN longer ON longer.lang = lowest.lang AND longer.part = lowest.phrase
 WHERE longer.a IS NULL OR 100 * longer.a < 50 * lowest.a
 QUALIFY rank <= 2000
 """
+
+
+def _repair_sql() -> str:
+    """Cheapest edits row by row from the last one up, for the four states of the order."""
+
+    def cell(cost: str, audit: str, text: str) -> str:
+        return f"{{'c': {cost}, 'a': {audit}, 't': {text}}}"
+
+    def least(*ways: str) -> str:
+        return f"list_sort(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))[1]"
+
+    def put(letter: str, state: str, cost: str, role: str, text: str) -> str:
+        line = f"chr(10) || {role} || ':' || {text}"
+        return cell(f"{state}.c + {cost}", f"'{letter}' || {state}.a", f"{line} || {state}.t")
+
+    more = "CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END"
+
+    def edited(state: str) -> str:
+        new, role = ("va", "'assistant'") if state == "vu" else ("vu", "'user'")
+        ways = [cell(f"{state}.c + 3", f"'D' || {state}.a", f"{state}.t")]
+        for initial, after in (("s", "vs"), ("u", "vu"), ("a", "va")):
+            if (state, initial) in {("v0", "s"), ("v0", "u"), ("vs", "u"), ("vu", "a"), ("va", "u")}:
+                kept = put("K", after, more, "role", "text")
+                ways.append(f"CASE WHEN may AND left(role, 1) = '{initial}' THEN {kept} END")
+        ways.append(f"CASE WHEN may THEN {put('R', new, f'2 + {more}', role, 'text')} END")
+        return least(*ways)
+
+    def added(state: str, new: str, role: str) -> str:
+        return least(state, put("I", new, "2", f"'{role}'", "''"))
+
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return rf"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name
+    FROM conversations
+), hits AS (
+    SELECT *, xor(list_reduce(
+        list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(range(1, length(name) + 1),
+            lambda i: [CAST(ascii(name[i]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384)
+                          ELSE c >> 1 END), 4294967295) % 20 AS hit
+    FROM named
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+           CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN hit = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hits WHERE hit <> 0
+), placed AS (
+    SELECT conv_id, turn, role, text, rtrim(text, {blanks}) AS solid,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+    FROM damaged
+), told AS (
+    SELECT conv_id, turn, role, text, place,
+           CASE WHEN solid = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+           lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) || left(role, 1) AS pair
+    FROM placed
+), counts AS (
+    SELECT conv_id, count(*) AS n, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM told GROUP BY conv_id
+), derived AS (
+    SELECT conv_id, n + 1 AS place, {cell("CAST(0 AS BIGINT)", "''", "''")} AS v0,
+           {cell("CAST(4 AS BIGINT)", "'II'", "chr(10) || 'user:' || chr(10) || 'assistant:'")} AS vs,
+           {cell("CAST(2 AS BIGINT)", "'I'", "chr(10) || 'assistant:'")} AS vu,
+           {cell("CAST(0 AS BIGINT)", "''", "''")} AS va
+    FROM counts
+    UNION ALL
+    SELECT conv_id, place, {added("b0", "vu", "user")} AS v0, {added("bs", "vu", "user")} AS vs, vu, va
+    FROM (
+        SELECT conv_id, place, b0, bs, {added("bu", "ba", "assistant")} AS vu, {added("ba", "bu", "user")} AS va
+        FROM (
+            SELECT told.conv_id, told.place, fault NOT IN ('blank', 'duplicate') AS may,
+                   {edited("v0")} AS b0, {edited("vs")} AS bs, {edited("vu")} AS bu, {edited("va")} AS ba
+            FROM derived JOIN told
+              ON told.conv_id IS NOT DISTINCT FROM derived.conv_id AND told.place = derived.place - 1
+        )
+    )
+), best AS (
+    SELECT conv_id, v0.c AS cost, v0.a AS audit, v0.t[2:] AS repaired FROM derived WHERE place = 1
+)
+SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+       sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS every
+LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM every.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM every.conv_id
+"""
+
+
+ORACLES["op13_repair"] = _repair_sql()
