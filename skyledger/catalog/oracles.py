@@ -422,6 +422,41 @@ ORACLES: dict[str, str] = {
       FROM j GROUP BY 1""",
     "stream_landed_cycles": f"""{_READ} SELECT city, CAST(recorded_at AS DATE) AS cycle,
         v AS uv_index, COUNT(*) AS row_count FROM f {_JOIN_UV_CYCLE} WHERE stored GROUP BY 1, 2, 3""",
+    "dense_ids": f"""{_O} SELECT COUNT(*) AS row_count, CAST(1 AS BIGINT) AS first_id, COUNT(*) AS last_id
+      FROM o WHERE {_REASONS} = ''""",
+    "summary_total": f"{_O} SELECT COUNT(*) AS total_records FROM o WHERE {_REASONS} = ''",
+    "summary_city_coverage": f"""{_O} SELECT c.city, COUNT(t.city) AS row_count
+      FROM (SELECT unnest(['London', 'Delhi', 'Tokyo', 'Paris', 'Sydney', 'Mumbai', 'Berlin',
+        'Toronto', 'Singapore', 'Dubai', 'Oslo']) AS city) c
+      LEFT JOIN (SELECT city FROM o WHERE {_REASONS} = '') t ON t.city = c.city GROUP BY c.city""",
+    "summary_count_by_city": f"""{_O} SELECT COUNT(*) AS city_records FROM o
+      WHERE city = 'Tokyo' AND {_REASONS} = ''""",
+    "stored_temp_stats": f"""{_O} SELECT city, {_mean('temperature')} AS avg_temperature,
+        CAST(MIN(temperature) AS DOUBLE) AS min_temperature,
+        CAST(MAX(temperature) AS DOUBLE) AS max_temperature,
+        ROUND(STDDEV_SAMP(CAST(temperature AS DOUBLE)), 6) AS temp_stddev
+      FROM o WHERE {_REASONS} = '' GROUP BY city""",
+    "stored_describe": f"{_O}, v AS (SELECT * FROM o WHERE {_REASONS} = '') "
+    + " UNION ALL ".join(
+        f"""SELECT '{name}' AS measure, COUNT({name}) AS n, {_mean(name)} AS mean,
+          ROUND(STDDEV_SAMP(CAST({name} AS DOUBLE)), 6) AS stddev,
+          CAST(MIN({name}) AS DOUBLE) AS min, CAST(MAX({name}) AS DOUBLE) AS max FROM v"""
+        for name in ("temperature", "humidity", "pressure", "wind_speed")
+    ),
+    "stored_latest_per_city": f"""{_O} SELECT city, CAST(temperature AS DOUBLE) AS temperature,
+        weather_description, api_timestamp AS recorded_at FROM o WHERE {_REASONS} = ''
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY city ORDER BY api_timestamp DESC, obs_id DESC) <= 3""",
+    "stream_cycle_stats": f"""{_READ} SELECT CAST(CAST(recorded_at AS DATE) AS VARCHAR) AS day, city,
+        CAST(COUNT(*) AS BIGINT) AS row_count, {_mean('temperature')} AS avg_temperature,
+        CAST(MIN(temperature) AS DOUBLE) AS min_temperature,
+        CAST(MAX(temperature) AS DOUBLE) AS max_temperature,
+        ROUND(STDDEV_SAMP(CAST(temperature AS DOUBLE)), 6) AS temp_stddev FROM j GROUP BY 1, 2""",
+    "stream_dead_letters": f"""{_READ} SELECT outcome, CAST(n AS BIGINT) AS row_count FROM (
+        SELECT 'dead' AS outcome, COUNT(*) AS n FROM o WHERE city = 'Tokyo'
+        UNION ALL SELECT 'valid', COUNT(*) FROM f WHERE stored AND city <> 'Tokyo'
+        UNION ALL SELECT 'rejected', COUNT(*) FROM f WHERE NOT stored AND city <> 'Tokyo'
+        UNION ALL SELECT 'failed', (SELECT COUNT(*) FROM o WHERE city <> 'Tokyo')
+          - (SELECT COUNT(*) FROM f WHERE city <> 'Tokyo')) c""",
     "stored_latest_by_city": f"""{_O} SELECT city, CAST(temperature AS DOUBLE) AS temperature,
         weather_description, api_timestamp AS recorded_at FROM o
       WHERE city = 'London' AND {_REASONS} = ''

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -13,7 +14,7 @@ from skyledger.catalog.observations import (
     table,
 )
 from skyledger.functions import casts, text
-from skyledger.operators import enrich as profiles, latest, lookup, parse, quality, stats
+from skyledger.operators import enrich as profiles, latest, lookup, moments, parse, quality, stats
 from skyledger.operators.enrich import enrich
 from skyledger.plans import jobs
 from skyledger.shared import prefer_compiled, scratch_table
@@ -22,7 +23,8 @@ from skyledger.sinks import table as sink
 from skyledger.sinks.conform import conform
 from skyledger.sources import landing, stored, views
 from skyledger.sources.cities import DEPLOYED_CITIES, explode_list
-from skyledger.streaming.cycle import flush, start_cycles
+from skyledger.streaming import reports
+from skyledger.streaming.cycle import dead_letters, flush, start_cycles
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -258,6 +260,57 @@ def surrogate_keys(spark, sf_dir):
     )
 
 
+@query
+def dense_ids(spark, sf_dir):
+    """Three batches, the first one again: ids without a gap, however tasks are cut."""
+    rows = stored.read_all(spark, stored_in_parts(spark, sf_dir)).filter(F.col("outcome") == stored.VALID)
+    return rows.agg(stats.row_count(), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+def stored_in_parts(spark: SparkSession, sf_dir: str, parts: int = 3) -> str:
+    """A table of several batches that share the observations; the first is written twice."""
+    root = scratch_table(spark, "parts")
+    obs = with_record_time(spread_observations(spark, sf_dir))
+    for k in [*range(parts), 0]:
+        sink.write_batch(obs.filter(F.col("obs_id") % parts == k), root, f"part{k}")
+    return root
+
+
+@query
+def summary_total(spark, sf_dir):
+    """Rows of the table, from what its batches told the ledger."""
+    return moments.total_count(stored.read_cities(spark, stored_in_parts(spark, sf_dir)))
+
+
+@query
+def summary_city_coverage(spark, sf_dir):
+    parts = stored.read_cities(spark, stored_in_parts(spark, sf_dir))
+    return lookup.city_coverage(spark, parts, DEPLOYED_CITIES + ", Oslo ", F.col("row_count"))
+
+
+@query
+def summary_count_by_city(spark, sf_dir):
+    return moments.count_by_city(stored.read_cities(spark, stored_in_parts(spark, sf_dir)), "Tokyo")
+
+
+@query
+def stored_temp_stats(spark, sf_dir):
+    """Temperature per city over all batches, from their moments."""
+    return moments.temperature_stats(stored.read_cities(spark, stored_in_parts(spark, sf_dir)))
+
+
+@query
+def stored_describe(spark, sf_dir):
+    return moments.describe(stored.read_cities(spark, stored_in_parts(spark, sf_dir)))
+
+
+@query
+def stored_latest_per_city(spark, sf_dir):
+    """The newest records of every city at once."""
+    found = stored.stored_latest_per_city(spark, stored_by_day(spark, sf_dir), 3)
+    return found.select("city", "temperature", "weather_description", "recorded_at")
+
+
 def stored_by_day(spark: SparkSession, sf_dir: str) -> str:
     """A table of two batches, half of the observations each."""
     root = scratch_table(spark, "days")
@@ -619,17 +672,17 @@ def landed_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def stream_once(spark: SparkSession, sf_dir: str, on_result=None) -> str:
-    """Read landed files as a stream, two a micro-batch, run the cycle job on each, stop."""
+def stream_once(spark: SparkSession, sf_dir: str) -> str:
+    """Read landed files as a stream, two a micro-batch, run the cycle job on each, end it."""
     root = scratch_table(spark, "stream")
-    files = landing.stream_landing(spark, landed_files(spark, sf_dir), files_per_batch=2)
-    cycles = start_cycles(
-        files, root, f"{root}.checkpoint", interval=None, cities=DEPLOYED_CITIES, on_result=on_result
-    )
+    path = landed_files(spark, sf_dir)
+
+    def files() -> DataFrame:
+        return landing.stream_landing(spark, path, files_per_batch=2)
+
+    cycles = start_cycles(files(), root, f"{root}.checkpoint", interval=None, cities=DEPLOYED_CITIES)
     cycles.awaitTermination()
-    flushed = flush(spark, root, cities=DEPLOYED_CITIES)
-    if on_result is not None and flushed.counts is not None:
-        on_result(flushed)
+    flush(files(), root, f"{root}.checkpoint", cities=DEPLOYED_CITIES)
     return root
 
 
@@ -654,12 +707,52 @@ def stream_failures(spark, sf_dir):
     return rows.groupBy("outcome").agg(stats.row_count())
 
 
+def streamed_cells(spark: SparkSession, sf_dir: str) -> str:
+    """Cells of all cycles.  The files hold times in any order, so windows stay open for
+    longer than the table's years and are closed at the end."""
+    path = scratch_table(spark, "cells")
+    landed_at = landed_files(spark, sf_dir)
+    options = {"lateness": timedelta(days=36500), "every": "1 day"}
+
+    def files() -> DataFrame:
+        return landing.stream_landing(spark, landed_at, files_per_batch=6)
+
+    reports.start_reports(files(), path, f"{path}.checkpoint", interval=None, **options).awaitTermination()
+    reports.close_reports(files(), path, f"{path}.checkpoint", **options)
+    return path
+
+
 @query
 def stream_cycle_report(spark, sf_dir):
-    """A report over each cycle's own records, added up."""
-    found = []
-    stream_once(spark, sf_dir, on_result=lambda run: found.append(run.reports["comfort_distribution"]))
-    every = found[0]
-    for one in found[1:]:
-        every = every.unionByName(one)
-    return every.groupBy("comfort_level").agg(F.sum("row_count").alias("row_count"))
+    """Comfort levels per cycle, added up."""
+    found = reports.cycle_comfort(spark, streamed_cells(spark, sf_dir))
+    return found.groupBy("comfort_level").agg(F.sum("row_count").alias("row_count"))
+
+
+@query
+def stream_cycle_stats(spark, sf_dir):
+    """Temperatures per day and city from the cells of all cycles."""
+    cells = reports.read_cells(spark, streamed_cells(spark, sf_dir))
+    day = F.substring("cycle", 1, 10).alias("day")
+    merged = moments.merged(cells.select("*", day), "day", "city", measures=("temperature",))
+    return merged.select("day", "city", "row_count", *moments.temperature_columns())
+
+
+@query
+def stream_dead_letters(spark, sf_dir):
+    """A database that refuses the rows of some files: those are dead letters, all others
+    are stored."""
+    root, path = scratch_table(spark, "stream"), scratch_table(spark, "landed")
+    raw = responses(spread_observations(spark, sf_dir), landing.FORECAST)
+    for own in (F.col("city") == "Tokyo", F.col("city") != "Tokyo"):
+        landing.write_landing(raw.filter(own).repartition(2, "obs_id"), path)
+
+    def refuse(rows: DataFrame) -> None:
+        if not rows.filter(F.col("city") == "Tokyo").isEmpty():
+            raise ValueError("refused")
+
+    files = landing.stream_landing(spark, path)
+    flush(files, root, f"{root}.checkpoint", cities=DEPLOYED_CITIES, database=refuse, attempts=1)
+    rows = stored.read_all(spark, root).select("outcome")
+    dead = dead_letters(spark, root).select(F.lit("dead").alias("outcome"))
+    return rows.unionByName(dead).groupBy("outcome").agg(stats.row_count())

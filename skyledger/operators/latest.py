@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # The columns a report shows of a sample.
 SAMPLE_COLUMNS = (
@@ -34,6 +34,16 @@ def latest_by_city(
     return latest(records.filter(F.col(column) == city), n, at, tie)
 
 
+def latest_per_key(
+    records: DataFrame, key: str, n: int, at: str = "recorded_at", tie: str = "id"
+) -> DataFrame:
+    """Newest ``n`` rows of every key.  The filter on the rank becomes a limit within each
+    task before the shuffle, up to the optimizer's threshold for it (1000)."""
+    newest = Window.partitionBy(key).orderBy(F.col(at).desc_nulls_first(), F.col(tie).desc())
+    ranked = records.withColumn("_place", F.row_number().over(newest))
+    return ranked.filter(F.col("_place") <= n).drop("_place")
+
+
 def sample(
     records: DataFrame,
     n: int = 20,

@@ -77,20 +77,31 @@ def lookup_join(
     return found.unionByName(rest.withColumns(empty).select(found.columns))
 
 
+def _tenths() -> Column:
+    near = F.greatest(F.least(F.col("uv_index"), F.lit(_FARTHEST)), F.lit(-_FARTHEST))
+    return F.round(near.cast("decimal(10,4)") * 10, 0)
+
+
+def reading_rows(uv: DataFrame, *more: Column) -> DataFrame:
+    """Key and value of every reading that has both."""
+    value = (_tenths() / F.lit(10)).cast("decimal(5,1)").alias("uv_index")
+    kept = uv.filter(F.col("uv_index").isNotNull())
+    return kept.select(*key_columns(uv.columns), value, *more).filter(_complete())
+
+
 def readings(uv: DataFrame) -> DataFrame:
     """One row per place and cycle: the last reading, ties to the higher value."""
-    near = F.greatest(F.least(F.col("uv_index"), F.lit(_FARTHEST)), F.lit(-_FARTHEST))
-    tenths = F.round(near.cast("decimal(10,4)") * 10, 0).cast("long") + _TENTHS // 2
+    tenths = _tenths().cast("long") + _TENTHS // 2
     start = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', fetched_at)"
     at = F.coalesce(F.expr(start), F.lit(0))
     kept = uv.filter(F.col("uv_index").isNotNull())
-    keyed = kept.select(*_key(uv.columns), (at * _TENTHS + tenths).alias("_packed"))
+    keyed = kept.select(*key_columns(uv.columns), (at * _TENTHS + tenths).alias("_packed"))
     last = keyed.filter(_complete()).groupBy(*KEY).agg(F.max("_packed").alias("_packed"))
     value = (F.pmod("_packed", F.lit(_TENTHS)) - _TENTHS // 2).cast("decimal(5,0)") / F.lit(10)
     return last.select(*KEY, value.cast("decimal(5,1)").alias("uv_index"))
 
 
-def _key(columns: Sequence[str]) -> list[Column]:
+def key_columns(columns: Sequence[str]) -> list[Column]:
     """Place to six decimals, and the cycle; input without cycles is one cycle."""
     cycle = F.coalesce("cycle", F.lit("")) if "cycle" in columns else F.lit("")
     return [
@@ -106,7 +117,7 @@ def _complete() -> Column:
 
 def join_uv(records: DataFrame, lookup: DataFrame, **join_options) -> DataFrame:
     """Add ``uv_index`` from a lookup made by :func:`readings`."""
-    keyed = records.drop("uv_index").select("*", *_key(records.columns))
+    keyed = records.drop("uv_index").select("*", *key_columns(records.columns))
     return lookup_join(keyed, lookup, KEY, **join_options).drop(*KEY)
 
 
@@ -120,8 +131,10 @@ def uv_enrich(records: DataFrame, uv: DataFrame, **join_options) -> DataFrame:
     return join_uv(records, written(readings(uv), "uv"), **join_options)
 
 
-def city_coverage(spark: SparkSession, records: DataFrame, cities: str) -> DataFrame:
-    """Rows stored per configured city, zero included.
+def city_coverage(
+    spark: SparkSession, records: DataFrame, cities: str, weight: Column | None = None
+) -> DataFrame:
+    """Rows stored per configured city, zero included.  A row counts ``weight`` times.
 
     The IN filter reaches the scan, so the counts have at most one row per
     configured city and are safe to broadcast.
@@ -129,7 +142,7 @@ def city_coverage(spark: SparkSession, records: DataFrame, cities: str) -> DataF
     counts = (
         records.filter(F.col("city").isin(names(cities)))
         .groupBy("city")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(F.lit(1) if weight is None else weight).alias("n"))
     )
     return (
         city_dimension(spark, cities)

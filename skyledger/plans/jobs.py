@@ -9,13 +9,20 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.functions.text import redact_param
-from skyledger.operators import latest, lookup, parse, quality, stats
+from skyledger.operators import latest, lookup, moments, parse, quality, stats
 from skyledger.operators.enrich import enrich
 from skyledger.shared import compiled_projections, written
 from skyledger.sinks.table import BatchCounts, ensure_table, write_batch
 from skyledger.sources import landing as land
 from skyledger.sources.cities import DEFAULT_CITIES
-from skyledger.sources.stored import FAILED, SEEN, read_batch, read_valid, stored_latest
+from skyledger.sources.stored import (
+    FAILED,
+    SEEN,
+    read_batch,
+    read_cities,
+    read_valid,
+    stored_latest,
+)
 
 
 class Reports(Mapping):
@@ -117,15 +124,32 @@ def store_records(
     database: Callable[[DataFrame], None] | None = None,
 ) -> RunResult:
     """Join records to their UV readings, enrich, store, report."""
+    # One writer at a time per table, so one slot of scratch per table is enough.
+    lookups = written(uv, "uv", slot=hashlib.md5(root.encode()).hexdigest()[:12])
+    return store_joined(
+        lookup.join_uv(records, lookups), root, batch, profile, summary, cities, database
+    )
+
+
+def store_joined(
+    records: DataFrame,
+    root: str,
+    batch: str | None,
+    profile: str | None = "strict",
+    summary: bool = False,
+    cities: str = DEFAULT_CITIES,
+    database: Callable[[DataFrame], None] | None = None,
+    keep_empty: bool = True,
+) -> RunResult:
+    """Enrich, store, report.  Without ``keep_empty`` no rows are no batch."""
     spark = records.sparkSession
     with compiled_projections(spark):
-        # One writer at a time per table, so one slot of scratch per table is enough.
-        lookups = written(uv, "uv", slot=hashlib.md5(root.encode()).hexdigest()[:12])
-        records = lookup.join_uv(records, lookups)
         if profile is not None:
             records = enrich(records, profile)
         ensure_table(spark, root)
-        counts = write_batch(records, root, batch)
+        counts = write_batch(records, root, batch, keep_empty)
+        if not (keep_empty or counts.stored or counts.errors):
+            return RunResult(None)
         if database is not None:
             database(read_valid(spark, root, counts.batch))
     return RunResult(counts, reports(spark, root, counts.batch, profile, summary, cities))
@@ -146,15 +170,15 @@ def reports(
     spark: SparkSession, root: str, batch: str, profile: str | None, summary: bool, cities: str
 ) -> Reports:
     def every() -> DataFrame:
-        return read_valid(spark, root)
+        return read_cities(spark, root)
 
     def rows() -> DataFrame:
         return processed(spark, root, batch)
 
     required = ("temperature", "humidity", "city_name")
     found: dict[str, Callable[[], DataFrame]] = {
-        "total_count": lambda: stats.total_count(every()),
-        "city_coverage": lambda: lookup.city_coverage(spark, every(), cities),
+        "total_count": lambda: moments.total_count(every()),
+        "city_coverage": lambda: lookup.city_coverage(spark, every(), cities, F.col("row_count")),
     }
     if profile is None:
         return Reports(found)

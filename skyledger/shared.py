@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 SETTING = "spark.checkpoint.dir"
 
@@ -35,6 +35,19 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def nothing(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """No rows of a schema, made without a Python worker."""
+    return one_row(spark, schema).limit(0)
+
+
+def one_row(spark: SparkSession, schema: T.StructType | str, row: tuple | None = None) -> DataFrame:
+    """A row of plain values (NULL by default), made without a Python worker."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    values = row or (None,) * len(fields)
+    cells = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, fields, strict=True)]
+    return spark.range(0, 1, 1, 1).select(*cells)
+
+
 def written(rows: DataFrame, name: str, slot: str | None = None) -> DataFrame:
     """Write once, read back.  Later use neither recomputes the rows nor depends
     on an executor that held them, and the scan knows its exact size.  A ``slot`` is

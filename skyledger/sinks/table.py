@@ -1,23 +1,28 @@
 """Append record batches to a Parquet table, bad rows set aside.
 
 Layout: ``root/batch=<name>/outcome=valid|rejected|failed/recorded_on=<day>``, rows sorted
-by city and time within a file.  One pass writes all outcomes.  A batch owns its folder
-and its range of ids: writing it again (a retry, a replayed micro-batch) replaces its rows
-and keeps the range.  Ids are reserved in the ledger before a row is written, and a batch
-is read once its ledger entry says it is complete.
+by city and time within a file.  A batch is staged first: its files are counted, a running
+sum of their counts gives every accepted row a dense id, and a second pass, without a
+shuffle, puts the rows in place.  A batch owns its folder and its range of ids: writing it
+again (a retry, a replayed micro-batch) replaces its rows and keeps the range if they fit.
+Ids are reserved in the ledger before a row is put in place, and a batch is read once its
+ledger entry says it is complete.  The ledger also keeps what the batch adds to each city.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from skyledger.functions import casts
-from skyledger.operators import quality
+from skyledger.operators import moments, quality
+from skyledger.operators.lookup import BROADCAST_ROWS
 from skyledger.schemas import RECORD
+from skyledger.shared import nothing, one_row, written
 from skyledger.sinks.conform import conformed
 from skyledger.sources.stored import (
     FAILED,
@@ -26,19 +31,11 @@ from skyledger.sources.stored import (
     SEEN,
     STORED,
     VALID,
+    city_path,
     ledger_path,
     read_ledger,
 )
 
-# Rows of one task lie this far apart; the task's number fills the gap.  Numbers beyond
-# it (Spark's end at 2**31) go on above the rows' own bits.
-ID_STRIDE = 1 << 24
-_ROW_BITS = 33
-# A batch that is being written holds this many ids; complete, it holds a few times what
-# it used, so that a replay whose tasks are cut differently finds room.
-OPEN_RANGE = 1 << 50
-ROOM = 4
-
 
 @dataclass(frozen=True)
 class BatchCounts:
@@ -53,17 +50,8 @@ class BatchCounts:
         return self.rejected + self.failed
 
 
-def surrogate_id(start: int) -> Column:
-    """Unique ids from ``start``, with gaps, without a shuffle or a global order."""
-    raw = F.monotonically_increasing_id()
-    task = F.shiftright(raw, _ROW_BITS)
-    row = raw.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    beyond = F.shiftleft(F.floor(task / ID_STRIDE).cast("bigint"), _ROW_BITS)
-    return F.lit(start) + (row + beyond) * F.lit(ID_STRIDE) + F.pmod(task, F.lit(ID_STRIDE))
-
-
-def prepare(records: DataFrame, first_id: int = 1) -> DataFrame:
-    """Conformed columns plus ``reasons``, ``raw_record`` and ``outcome``."""
+def prepare(records: DataFrame) -> DataFrame:
+    """Conformed columns plus ``reasons``, ``raw_record`` and ``outcome``; no id yet."""
     columns = records.columns
     rules = quality.integrity_rules(columns)
     failure = F.coalesce(
@@ -78,7 +66,7 @@ def prepare(records: DataFrame, first_id: int = 1) -> DataFrame:
         stored["recorded_at"] = F.col("fetched_at").cast(RECORD["recorded_at"].dataType)
     for name in ("recorded_at", "created_at", "updated_at"):
         stored[name] = F.coalesce(stored[name], casts.utc_now())
-    stored["id"] = F.when(~is_failed & ~is_broken, surrogate_id(first_id))
+    stored["id"] = F.lit(None).cast(RECORD["id"].dataType)
 
     def differs(name: str) -> Column:
         wide = F.col(name).try_cast(SEEN[name].dataType)
@@ -101,8 +89,7 @@ def prepare(records: DataFrame, first_id: int = 1) -> DataFrame:
 
 def ensure_table(spark: SparkSession, root: str) -> None:
     """Create the table with its schema when there is none; readers then see no rows."""
-    empty = spark.createDataFrame([], STORED)
-    empty.write.mode("ignore").partitionBy("batch", "outcome", "recorded_on").parquet(root)
+    nothing(spark, STORED).write.mode("ignore").partitionBy("batch", "outcome", "recorded_on").parquet(root)
 
 
 def _head(spark: SparkSession, root: str) -> int:
@@ -119,11 +106,11 @@ def _head(spark: SparkSession, root: str) -> int:
 
 
 def _set_head(spark: SparkSession, root: str, next_id: int) -> None:
-    _put(spark, [(next_id,)], "next_id bigint", f"{ledger_path(root)}/head")
+    _put(spark, (next_id,), "next_id bigint", f"{ledger_path(root)}/head")
 
 
-def _put(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
-    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").json(path)
+def _put(spark: SparkSession, row: tuple, schema: str, path: str) -> None:
+    one_row(spark, schema, row).write.mode("overwrite").json(path)
 
 
 def _entry(spark: SparkSession, root: str, batch: str):
@@ -133,58 +120,76 @@ def _entry(spark: SparkSession, root: str, batch: str):
         return None
 
 
-def reserve(spark: SparkSession, root: str, batch: str) -> tuple[int, int]:
-    """First and last id a batch may use: those it has had before, or a new range.  The
-    head moves first, so a crash in between wastes a range and never gives it twice."""
+def reserve(spark: SparkSession, root: str, batch: str, rows: int) -> tuple[int, int]:
+    """First and last id of a batch's range: the one it has had before if its rows fit, or a
+    new one.  The head moves first, so a crash in between wastes a range and never gives it
+    twice."""
     held = _entry(spark, root, batch)
-    if held is not None:
+    if held is not None and held["reserved_to"] - held["first_id"] + 1 >= rows:
         first, last = held["first_id"], held["reserved_to"]
     else:
         first = _head(spark, root)
-        last = first + OPEN_RANGE
+        last = first + rows - 1
         _set_head(spark, root, last + 1)
     _put_entry(spark, root, (batch, first, last, False, None, None, None))
     return first, last
 
 
 def _put_entry(spark: SparkSession, root: str, entry: tuple) -> None:
-    _put(spark, [entry], LEDGER, f"{ledger_path(root)}/batches/{entry[0]}")
+    _put(spark, entry, LEDGER, f"{ledger_path(root)}/batches/{entry[0]}")
+
+
+def withdraw(spark: SparkSession, root: str, batch: str) -> None:
+    """Hide a batch; its ids stay its own, so that it can be written again."""
+    held = _entry(spark, root, batch)
+    if held is not None and held["complete"]:
+        _put_entry(spark, root, (batch, held["first_id"], held["reserved_to"], False, None, None, None))
 
 
-def write_batch(records: DataFrame, root: str, batch: str | None = None) -> BatchCounts:
-    """Write one batch and return its counts, taken while writing.
+def write_batch(
+    records: DataFrame, root: str, batch: str | None = None, keep_empty: bool = True
+) -> BatchCounts:
+    """Write one batch and return its counts.
 
-    One writer at a time per table.  Rows are dealt out by outcome and day into files of
-    even size, a day with many rows into several.
+    ``records`` are worked out once.  One writer at a time per table.  Rows are dealt out by
+    outcome and day into files of even size, a day with many rows into several.  Without
+    ``keep_empty`` a batch of no rows leaves no trace.
     """
     spark = records.sparkSession
     batch = batch or uuid.uuid4().hex
-    first, last = reserve(spark, root, batch)
+    slot = hashlib.md5(root.encode()).hexdigest()[:12]
     day = F.coalesce(F.to_date("recorded_at"), F.lit("1970-01-01").cast("date"))
-    rows = prepare(records, first).withColumn("recorded_on", day)
-    rows = rows.hint("rebalance", "outcome", "recorded_on")
-    rows = rows.sortWithinPartitions("outcome", "recorded_on", "city", "recorded_at")
-    seen = Observation()
-    is_outcome = {name: F.col("outcome") == name for name in (VALID, REJECTED, FAILED)}
-    observed = rows.observe(
-        seen,
-        *(F.count_if(test).alias(name) for name, test in is_outcome.items()),
-        F.max("id").alias("last_id"),
+    rows = prepare(records).withColumn("recorded_on", day).hint("rebalance", "outcome", "recorded_on")
+    in_order = ("outcome", "recorded_on", "city", "recorded_at")
+    staged = written(rows.sortWithinPartitions(*in_order), "staged", slot)
+
+    placed = staged.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    counted = placed.groupBy("_file").agg(
+        *(F.count_if(F.col("outcome") == name).alias(name) for name in (VALID, REJECTED, FAILED))
     )
-    folder = f"{root}/batch={batch}"
-    observed.write.mode("overwrite").partitionBy("outcome", "recorded_on").parquet(folder)
-    found = seen.get
-    used = found["last_id"] or first - 1
-    if used > last:
-        raise ValueError(f"batch {batch} no longer fits its range of ids: use another name")
-    counts = BatchCounts(batch, found[VALID], found[REJECTED], found[FAILED], used)
-    if last == first + OPEN_RANGE and _head(spark, root) == last + 1:
-        last = first + ROOM * (used - first + 1)
-        _set_head(spark, root, last + 1)
-    _put_entry(
-        spark, root, (batch, first, last, True, counts.stored, counts.rejected, counts.failed)
+    # One row per staged file.  Accepted rows are a file's last ones, so a row's number in
+    # its file, less the others and with what comes before the file, is its number in all.
+    before = Window.partitionBy().orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum(VALID).over(before), F.lit(0)) - F.col(REJECTED) - F.col(FAILED)
+    totals = (F.coalesce(F.sum(name), F.lit(0)) for name in (VALID, REJECTED, FAILED))
+    stored, rejected, failed, files = counted.agg(*totals, F.count(F.lit(1))).first()
+    if not (keep_empty or stored or rejected or failed):
+        return BatchCounts(batch, 0, 0, 0, 0)
+
+    first, last = reserve(spark, root, batch, stored)
+    shifts = counted.select("_file", shift.alias("_shift"))
+    shifts = F.broadcast(shifts) if files <= BROADCAST_ROWS else shifts
+    number = F.when(F.col("outcome") == VALID, F.lit(first) + F.col("_row") + F.col("_shift"))
+    numbered = placed.join(shifts, "_file").withColumn("id", number).drop("_file", "_row", "_shift")
+    numbered.sortWithinPartitions(*in_order).write.mode("overwrite").partitionBy(
+        "outcome", "recorded_on"
+    ).parquet(f"{root}/batch={batch}")
+    accepted = staged.filter(F.col("outcome") == VALID)
+    moments.of(accepted, "city").withColumn("batch", F.lit(batch)).write.mode("overwrite").parquet(
+        f"{city_path(root)}/{batch}"
     )
-    return counts
+    _put_entry(spark, root, (batch, first, last, True, stored, rejected, failed))
+    return BatchCounts(batch, stored, rejected, failed, first + stored - 1)
 
 
 def run_counts(spark: SparkSession, root: str) -> DataFrame:

@@ -42,12 +42,13 @@ def write_landing(responses: DataFrame, path: str, fmt: str = "json") -> None:
 def stream_landing(
     spark: SparkSession, path: str, fmt: str = "json", files_per_batch: int = 1000
 ) -> DataFrame:
-    """The same area as a stream of the files not seen before."""
+    """The same area as a stream of the files not seen before; each row names its file."""
     return (
         spark.readStream.schema(LANDING)
         .format(fmt)
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
+        .select("*", F.col("_metadata.file_path").alias("source_file"))
     )
 
 

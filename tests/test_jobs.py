@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,8 @@ from skyledger.plans import jobs
 from skyledger.schemas import LANDING
 from skyledger.sinks.table import run_counts
 from skyledger.sources import landing, stored
-from skyledger.streaming.cycle import flush, run_supervised, start_cycles
+from skyledger.streaming import reports
+from skyledger.streaming.cycle import dead_letters, flush, run_supervised, start_cycles
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -183,12 +185,16 @@ def test_readings_that_come_later_are_waited_for(spark, root, tmp_path, files_pe
     rows = stored.read_valid(spark, root).select("city", "uv_index").collect()
     expected = sorted((f"C{n}", n + k) for n in range(3) for k in range(3))
     assert sorted((r["city"], int(r["uv_index"])) for r in rows) == expected
-    assert flush(spark, root).counts.stored == 3
-    assert flush(spark, root).counts is None
+    flushed = []
+    flush(files, root, str(tmp_path / "checkpoint"), on_result=flushed.append)
+    assert [r.counts.stored for r in flushed] == [3]
+    with pytest.raises(ValueError, match="has been flushed"):
+        start_cycles(files, root, str(tmp_path / "checkpoint"), interval=None)
     rows = stored.read_valid(spark, root)
     assert rows.count() == 12 and rows.filter("uv_index IS NULL").count() == 3
     ids = rows.select("id")
     assert ids.distinct().count() == 12
+    assert not (tmp_path / "table.waiting").exists()
 
 
 def test_a_failed_cycle_starts_again_from_its_checkpoint(spark, root, tmp_path):
@@ -242,3 +248,83 @@ def test_a_cycle_reads_only_its_own_folder(spark, raw, root):
         result = jobs.run_single(raw.filter("obs_id < 60"), root, name)
     files = jobs.processed(spark, root, result.counts.batch).inputFiles()
     assert files and all("/batch=b/" in f for f in files)
+
+
+def test_a_reading_counts_once_and_rows_without_a_place_do_not_wait(spark, root, tmp_path):
+    path, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+
+    def run(rows):
+        landing.write_landing(spark.createDataFrame(rows, LANDING).coalesce(1), path)
+        start_cycles(landing.stream_landing(spark, path), root, checkpoint, interval=None).awaitTermination()
+        return sorted((r["city"], r["uv_index"]) for r in stored.read_valid(spark, root).collect())
+
+    nowhere = ("forecast", "N", "u", 200, '{"city":{"name":"N"},"list":[]}', None, "a")
+    assert run([forecast(1, "a"), nowhere]) == [("N", None)]
+    assert run([reading(1, "a", 4)]) == [("C1", 4), ("N", None)]
+    # A second reading of the same place and cycle changes and repeats nothing.
+    assert run([reading(1, "a", 5), forecast(2, "a")]) == [("C1", 4), ("N", None)]
+    assert run([reading(2, "b", 5), reading(2, "a", 6)]) == [("C1", 4), ("C2", 6), ("N", None)]
+
+
+def test_a_file_that_cannot_be_stored_does_not_end_the_stream(spark, root, tmp_path):
+    path, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    for cycle in "abcde":
+        rows = [("forecast", "N", "u", 200, f'{{"city":{{"name":"{cycle}"}},"list":[]}}', None, cycle)] * 2
+        landing.write_landing(spark.createDataFrame(rows, LANDING).coalesce(1), path)
+    tries = []
+
+    def database(rows):
+        names = {r["city"] for r in rows.collect()}
+        tries.append(names)
+        if "c" in names:
+            raise ValueError("c is refused")
+
+    def start():
+        files = landing.stream_landing(spark, path)
+        return start_cycles(files, root, checkpoint, interval=None, database=database, attempts=2)
+
+    start().awaitTermination()
+    cities = [r["city"] for r in stored.read_valid(spark, root).collect()]
+    assert sorted(cities) == sorted("abde" * 2)
+    dead = dead_letters(spark, root).collect()
+    assert len(dead) == 2 and all("c is refused" in r["error"] for r in dead)
+    assert all(json.loads(r["raw_record"])["cycle"] == "c" and r["source_file"].endswith(".json") for r in dead)
+    # The stream goes on with what comes next.
+    assert tries[0] == tries[1] == set("abcde")
+    landing.write_landing(spark.createDataFrame([("forecast", "N", "u", 500, None, None, "f")], LANDING), path)
+    start().awaitTermination()
+    assert stored.read_all(spark, root).filter("outcome = 'failed'").count() == 1
+    ids = stored.read_valid(spark, root).select("id")
+    assert ids.distinct().count() == 8
+
+
+def test_reports_of_closed_cycles_and_a_late_record(spark, tmp_path):
+    path, cells, checkpoint = (str(tmp_path / name) for name in ("landing", "cells", "checkpoint"))
+    options = {"every": "1 hour", "lateness": timedelta(hours=2)}
+
+    def run(cycle, at, *values):
+        rows = []
+        for value in values:
+            body = f'{{"city":{{"name":"A"}},"list":[{{"main":{{"temp":{value},"humidity":50}}}}]}}'
+            rows.append(("forecast", "A", "u", 200, body, at, cycle))
+        landing.write_landing(spark.createDataFrame(rows, LANDING).coalesce(1), path)
+        files = landing.stream_landing(spark, path)
+        reports.start_reports(files, cells, checkpoint, interval=None, **options).awaitTermination()
+        found = reports.cycle_temperature_stats(spark, cells).collect()
+        return {r["cycle"]: (r["avg_temperature"], r["temp_stddev"]) for r in found}
+
+    noon = datetime(2024, 3, 1, 12, 10)
+    assert run("a", noon, 18, 20) == {}
+    # Late, but within the wait: still in its cycle's report.
+    assert run("b", noon + timedelta(minutes=90), 5) == {}
+    assert run("a", noon + timedelta(minutes=5), 22) == {}
+    closed = {"a": (20.0, 2.0), "b": (5.0, None)}
+    assert run("c", noon + timedelta(hours=4), 7) == closed
+    # Too late: the report is closed and stays as it is.
+    assert run("a", noon, 90) == closed
+    reports.close_reports(landing.stream_landing(spark, path), cells, checkpoint, **options)
+    assert {r["cycle"]: r["row_count"] for r in reports.cycle_patterns(spark, cells).collect()} == {
+        "a": 3, "b": 1, "c": 1,
+    }
+    comfort = {(r["cycle"], r["comfort_level"]): r["percentage"] for r in reports.cycle_comfort(spark, cells).collect()}
+    assert comfort[("a", "Comfortable")] == 100.0

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.operators import latest, quality
+from skyledger.operators import latest, moments, quality, stats
 from skyledger.operators.enrich import enrich
 from skyledger.schemas import RECORD
 from skyledger.sinks import jdbc, table
@@ -140,13 +141,93 @@ def test_an_interrupted_batch_is_hidden_and_its_ids_stay_its_own(spark, mixed, r
     assert ids.distinct().count() == ids.count() == 3 * table.write_batch(mixed, root, "a").stored
 
 
-def test_ids_have_no_task_limit(spark):
-    rows = spark.range(0, 2000, 1, 500).select(table.surrogate_id(7).alias("id"))
-    assert rows.distinct().count() == 2000
-    many = spark.sql("SELECT CAST(20000000 AS BIGINT) AS task")
-    stride = table.ID_STRIDE
-    beyond = many.select(F.shiftleft(F.floor(F.col("task") / stride).cast("bigint"), 33)).first()[0]
-    assert beyond == 1 << 33
+@pytest.mark.parametrize("tasks", [1, 40])
+def test_ids_are_dense_however_tasks_are_cut(spark, root, tasks):
+    """One task with all rows, or many with almost none."""
+    rows = spark.range(0, 3000, 1, tasks).select(
+        F.when(F.col("id") % 7 > 0, "A").alias("city"), F.lit(AT).cast("timestamp_ntz").alias("recorded_at")
+    )
+    first = table.write_batch(rows, root, "a")
+    again = table.write_batch(rows.filter("city IS NULL OR city = 'A'").limit(2900), root, "a")
+    second = table.write_batch(rows, root, "b")
+    assert first.last_id == first.stored == 2571 and again.last_id == again.stored
+    assert second.last_id == 2 * 2571
+    ids = sorted(r["id"] for r in stored.read_valid(spark, root, "b").select("id").collect())
+    assert ids == list(range(2572, 2 * 2571 + 1))
+
+
+def test_a_larger_replay_gets_a_range_of_its_own(spark, root):
+    def rows(n):
+        return spark.range(n).select(F.lit("A").alias("city"), F.lit(AT).cast("timestamp_ntz").alias("recorded_at"))
+
+    table.write_batch(rows(5), root, "a")
+    table.write_batch(rows(5), root, "b")
+    table.write_batch(rows(8), root, "a")
+    ids = sorted(r["id"] for r in stored.read_valid(spark, root).select("id").collect())
+    assert ids == [*range(6, 11), *range(11, 19)]
+
+
+def test_a_withdrawn_batch_is_hidden(spark, mixed, root):
+    table.write_batch(mixed, root, "a")
+    table.write_batch(mixed, root, "b")
+    table.withdraw(spark, root, "a")
+    table.withdraw(spark, root, "none")
+    assert {r["batch"] for r in stored.read_all(spark, root).select("batch").collect()} == {"b"}
+    assert moments.total_count(stored.read_cities(spark, root)).first()[0] == 5
+
+
+def test_no_rows_leave_no_batch_unless_wanted(spark, mixed, root):
+    nothing = mixed.limit(0)
+    assert table.write_batch(nothing, root, "a", keep_empty=False).stored == 0
+    assert stored.read_ledger(spark, root).count() == 0
+    assert table.write_batch(nothing, root, "a").last_id == 0
+    assert table.run_counts(spark, root).count() == 1
+
+
+def test_summaries_read_no_record(spark, mixed, root):
+    for name in "abc":
+        table.write_batch(mixed, root, name)
+    parts = stored.read_cities(spark, root)
+    total = moments.total_count(parts)
+    assert total.first()[0] == 15 and moments.count_by_city(parts, "A").first()[0] == 15
+    assert moments.count_by_city(parts, "Z").first()[0] == 0
+    # Every file that is read is the ledger's; none is of the table.
+    files = total.inputFiles()
+    assert files and all(f"{root}.ledger/" in f for f in files)
+    assert "recorded_at" not in total._jdf.queryExecution().executedPlan().toString()
+
+
+def test_moments_of_parts_are_those_of_all(spark, root):
+    draw = random.Random(4)
+    rows = [
+        (draw.choice("AB"), Decimal(draw.randint(-3000, 4000)) / 100 if k % 5 else None, 1013, draw.choice([3, 50]))
+        for k in range(300)
+    ]
+    kinds = "city string, temperature decimal(5,2), pressure int, humidity int"
+    every = spark.createDataFrame(rows, kinds).withColumn("wind_speed", F.lit(None).cast("decimal(5,2)"))
+    for k in range(3):
+        part = spark.createDataFrame(rows[k::3], kinds)
+        table.write_batch(part.withColumn("recorded_at", F.lit(AT).cast("timestamp_ntz")), root, f"b{k}")
+    parts = stored.read_cities(spark, root)
+    assert sorted(moments.temperature_stats(parts).collect()) == sorted(
+        stats.temperature_stats(every, "city").collect()
+    )
+    found = {r["measure"]: tuple(r)[1:] for r in moments.describe(parts).collect()}
+    assert found == {r["measure"]: tuple(r)[1:] for r in stats.describe(every).collect()}
+    # Equal values have no deviation at all, not a rounding's worth of one.
+    assert found["pressure"][2] == 0.0 and found["wind_speed"] == (0, None, None, None, None)
+
+
+def test_newest_of_every_city(spark, root):
+    rows = [record(k, city="ABC"[k % 3 if k < 9 else 0], at=AT + datetime.timedelta(hours=k)) for k in range(40)]
+    table.write_batch(spark.createDataFrame(rows, COLUMNS), root, "only")
+    newest = stored.stored_latest_per_city(spark, root, 2)
+    hours = sorted((r["city"], (r["recorded_at"] - AT).seconds // 3600 + 24 * (r["recorded_at"] - AT).days) for r in newest.collect())
+    assert hours == [("A", 38), ("A", 39), ("B", 4), ("B", 7), ("C", 5), ("C", 8)]
+    plan = stored.stored_latest_per_city(spark, root, 2)._jdf.queryExecution().executedPlan().toString()
+    # Limited within each task, before rows are dealt out by city, and after it.
+    first, dealt, last = (plan.index(x) for x in ("Final", "Exchange hashpartitioning(city", "Partial"))
+    assert plan.count("WindowGroupLimit") == 2 and first < dealt < last
 
 
 def test_days_are_folders_and_cities_lie_together(spark, root):
@@ -186,10 +267,16 @@ def test_database_round_trip(spark, root):
     table.write_batch(rows, root, "b")
     accepted = stored.read_valid(spark, root)
     jdbc.ensure_table(spark, url, "weather_data", DERBY)
-    read = stored.read_jdbc(spark, url, "weather_data", DERBY)
+    read = stored.read_jdbc(spark, url, "weather_data", DERBY, None)
     assert read.count() == 0 and read.dtypes == stored.read_valid(spark, root).dtypes
-    jdbc.append(accepted, url, "weather_data", DERBY, connections=2)
+    jdbc.append(accepted, url, "weather_data", DERBY, "b", connections=2)
     assert read.orderBy("id").collect() == accepted.orderBy("id").collect()
+    # Sent again, as a whole or with a task's rows twice, it adds nothing.
+    jdbc.append(accepted, url, "weather_data", DERBY, "b", connections=2)
+    jdbc.stage(accepted, url, "twice", DERBY, 2)
+    jdbc.stage(accepted.filter("id % 2 = 0"), url, "twice", DERBY, 2, mode="append")
+    jdbc.take_over(spark, url, "weather_data", "twice", DERBY)
+    assert read.count() == 3000
     top = int(accepted.agg(F.max("id")).first()[0])
     parallel = stored.read_jdbc(spark, url, "weather_data", DERBY, "id", (1, top), 4)
     assert parallel.rdd.getNumPartitions() == 4 and parallel.count() == 3000
@@ -199,3 +286,46 @@ def test_database_round_trip(spark, root):
     assert newest.collect() == latest.latest_by_city(accepted, "C1", 5).collect()
     plan = newest._jdf.queryExecution().toString()
     assert "PushedFilters: [*IsNotNull(city), *EqualTo(city,C1)]" in plan.replace("CITY", "city")
+
+
+def told(spark, rows):
+    """Complete records for the database: (id, city, humidity)."""
+    wide = spark.createDataFrame(rows, "id long, city string, humidity int")
+    text = {c: F.lit("x") for c in (
+        "country", "weather_main", "weather_description", "temperature_category", "wind_category",
+        "comfort_level", "recommendation",
+    )}
+    return wide.withColumns(text)
+
+
+def test_the_database_keeps_its_own_rules(spark):
+    url = "jdbc:derby:memory:rules;create=true"
+    jdbc.ensure_table(spark, url, "obs", DERBY)
+    jdbc.ensure_table(spark, url, "obs", DERBY)
+    assert jdbc.exists(spark, url, "obs", DERBY) and not jdbc.exists(spark, url, "other", DERBY)
+    with pytest.raises(Exception, match="(?i)check constraint"):
+        jdbc.append(told(spark, [(1, "A", 50), (2, "A", 101)]), url, "obs", DERBY, "bad", connections=1)
+    read = stored.read_jdbc(spark, url, "obs", DERBY, None)
+    # All or none: the sound row of that batch is not there either.
+    assert read.count() == 0
+    with pytest.raises(Exception, match="(?i)null"):
+        jdbc.run_statement(spark, url, DERBY, 'INSERT INTO obs ("id") VALUES (9)')
+    jdbc.append(told(spark, [(1, "A", 50), (2, "A", 100)]), url, "obs", DERBY, "good", connections=1)
+    rows = read.collect()
+    assert {r["id"] for r in rows} == {1, 2} and all(r["created_at"] is not None for r in rows)
+    with pytest.raises(Exception, match="(?i)unique|primary"):
+        jdbc.run_statement(spark, url, DERBY, """INSERT INTO obs ("id", "city") VALUES (1, 'B')""")
+
+
+def test_parts_of_a_table_are_even_however_ids_lie(spark):
+    """A gap as an interrupted batch once left it, and ids far apart."""
+    url = "jdbc:derby:memory:gaps;create=true"
+    ids = [*range(1, 401), *((1 << 50) + 1000 * k for k in range(700)), *range(1 << 60, (1 << 60) + 100)]
+    jdbc.append(told(spark, [(i, "A", 1) for i in ids]), url, "obs", DERBY, connections=2)
+    rows = stored.read_jdbc(spark, url, "obs", DERBY, partitions=6)
+    sizes = rows.groupBy(F.spark_partition_id()).count().collect()
+    counts = sorted(r["count"] for r in sizes)
+    assert len(counts) == 6 and sum(counts) == len(ids) and counts[-1] <= 2 * counts[len(counts) // 2]
+    assert sorted(r["id"] for r in rows.select("id").collect()) == ids
+    few = stored.read_jdbc(spark, url, "obs", DERBY, partitions=6).filter("id <= 3")
+    assert {r["id"] for r in few.collect()} == {1, 2, 3}
