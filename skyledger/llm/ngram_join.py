@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import pieces, texts, utf8
+from skyledger.llm.common import first_of_each, numbered, numbered_texts, pieces, texts, utf8
 from skyledger.llm.graph import components
 from skyledger.llm.hashing import Stretches, mix, words
 from skyledger.shared import written
@@ -456,14 +456,15 @@ def join_ngrams(docs: DataFrame, percent: int = 85, words_each: int = 4) -> Data
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 80, words_each: int = 5) -> DataFrame:
-    """The rows of ``docs``, whatever their columns, that name their component: one
-    document of each, the one with the smallest id."""
-    found = _joined(docs, percent, words_each)
-    named = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    named = named.select(F.col("key").alias("stays")).distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text))
-    return docs.join(named.hint("merge"), key == F.col("stays"), "left_semi")
+    """One row of ``docs`` for each component, with all its columns, whatever their names.
+
+    The row with the smallest doc_id stays, a null losing to any other; of rows that repeat
+    it, the first one.  Null texts and texts without words link with nothing, so they all
+    stay.  No rows give no rows.
+    """
+    rows = numbered(docs)
+    found = _joined(numbered_texts(rows), percent, words_each)
+    return first_of_each(rows, found.select(F.col("doc_id").alias("number"), F.col("component_id").alias("grp")))
 
 
 def _joined(docs: DataFrame, percent: int, words_each: int) -> DataFrame:

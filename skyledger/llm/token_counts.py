@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import texts
 from skyledger.llm.tokens import RANKS, encode
+from skyledger.shared import written
 
 #: Lengths of one block are summed by one task; blocks are summed after that.
 BLOCK = 64
@@ -40,7 +41,8 @@ def histogram(lengths: DataFrame) -> DataFrame:
     and share_upto (share of documents of at most this length, so the q-quantile is the
     least length with share_upto >= q).  Repeated rows count each; no rows give no rows.
     """
-    counts = lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    # Written, as two branches read it: texts are encoded once.
+    counts = written(lengths.groupBy("n_tokens").agg(F.count("*").alias("n_docs")), "length-counts")
     counts = counts.withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
     tokens = F.col("n_docs") * F.col("n_tokens")
     # One row per BLOCK lengths: as many as the longest text has blocks, not documents.

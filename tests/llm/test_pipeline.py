@@ -7,6 +7,8 @@ from collections import defaultdict
 import pytest
 
 import corpus_pipeline
+from skyledger.llm.exact_dedup import drop_copies
+from skyledger.llm.ngram_join import drop_near_copies
 from tests.llm.corpus import AWKWARD, frame
 from tests.llm.test_fertility import base
 from tests.llm.test_ngram_join import noisy, shingles
@@ -82,3 +84,18 @@ def test_empty(spark):
     docs = frame(spark, AWKWARD).limit(0)
     for name, found in staged(spark, docs).items():
         assert found.count() == 0, name
+
+
+def test_one_row_of_each_group_stays(spark):
+    """A source loaded twice; columns with the names that the stages use themselves."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    for c in ("stay_id", "stays", "row", "number", "grp", "key"):
+        docs = docs.withColumn(c, docs["doc_id"])
+    for stage, left in ((drop_copies, 189), (drop_near_copies, 187)):
+        once, twice = stage(docs).collect(), stage(docs.unionByName(docs)).collect()
+        assert len(once) == len(twice) == left and sorted(once) == sorted(twice)
+    rows = [(None, "same words here now ok yes")] * 3 + [(5, "same words here  now ok yes"), (None, ""), (None, None)]
+    awkward = frame(spark, rows)
+    assert [r["doc_id"] for r in drop_copies(awkward).orderBy("doc_id").collect()] == [None, 5]
+    near = drop_near_copies(awkward).orderBy("doc_id").collect()
+    assert [r["doc_id"] for r in near] == [None, None, 5] and near[0].asDict().keys() == near[2].asDict().keys()
