@@ -4,11 +4,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.shared import written
-
 #: White space of the contracts: space, tab, line feed, vertical tab, form feed, return.
 BLANKS = r"[\x20\x09-\x0D]+"
 
@@ -25,26 +23,19 @@ def texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """Rows as a struct ``row`` with a ``number`` of their own, written so that it stays."""
-    number = F.monotonically_increasing_id().alias("number")
-    return written(docs.select(F.struct("*").alias("row"), number), "numbered")
-
-
-def numbered_texts(rows: DataFrame) -> DataFrame:
-    """Texts of numbered rows, with the number in place of the id."""
-    return rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"))
+def wrapped(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Rows as a struct ``row``, so that no column's name can clash, with keys beside it."""
+    return docs.select(F.struct("*").alias("row"), *(key.alias(name) for name, key in keys.items()))
 
 
-def first_of_each(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Exactly one row of each group, the one with the smallest doc_id (a null loses to any
-    other), of several the first one; ``groups`` has ``number`` and ``grp``."""
-    doc_id = F.col("row.doc_id").cast("long")
-    ids = rows.select("number", doc_id.isNull().alias("unnamed"), doc_id.alias("id"))
-    least = F.min(F.struct("unnamed", "id", "number"))
-    first = groups.join(ids, "number").groupBy("grp").agg(least.alias("first"))
-    stay = first.select(F.col("first.number").alias("number"))
-    return rows.join(stay.hint("merge"), "number", "left_semi").select("row.*")
+def one_of_each(rows: DataFrame, stay: DataFrame, *keys: str) -> DataFrame:
+    """Exactly one of the wrapped rows of each key that ``stay`` names, unwrapped.  Rows of
+    one key are repeated rows; the join has brought them together already."""
+    same = F.lit(True)
+    for key in keys:
+        same = same & rows[key].eqNullSafe(stay[key])
+    kept = rows.join(stay.hint("merge"), same, "left_semi")
+    return kept.dropDuplicates(list(keys)).select("row.*")
 
 
 def tasks(spark: SparkSession) -> int:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import BLANKS, first_of_each, numbered, numbered_texts, tasks, texts
+from skyledger.llm.common import BLANKS, one_of_each, tasks, texts, wrapped
 from skyledger.shared import written
 
 #: Leading key bits the directory may use: at most this many cells, whatever the input.
@@ -124,8 +124,9 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each text, with all its columns, whatever their names.
 
     The row with the smallest doc_id stays, a null losing to any other; of rows that repeat
-    it, the first one.  Null and empty texts are equal.  No rows give no rows.
+    it, one.  Null and empty texts are equal.  No rows give no rows.
     """
-    rows = numbered(docs)
-    found = deduplicate(numbered_texts(rows))
-    return first_of_each(rows, found.select(F.col("doc_id").alias("number"), F.col("keep_id").alias("grp")))
+    stay = deduplicate(docs).filter("kept").select("doc_id", "text_sha256").distinct()
+    text = F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), BLANKS, " ")
+    rows = wrapped(docs, doc_id=F.col("doc_id").cast("long"), text_sha256=F.sha2(text, 256))
+    return one_of_each(rows, stay, "doc_id", "text_sha256")

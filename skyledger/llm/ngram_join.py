@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import first_of_each, numbered, numbered_texts, pieces, texts, utf8
+from skyledger.llm.common import one_of_each, pieces, texts, utf8, wrapped
 from skyledger.llm.graph import components
 from skyledger.llm.hashing import Stretches, mix, words
 from skyledger.shared import written
@@ -459,12 +459,20 @@ def drop_near_copies(docs: DataFrame, percent: int = 80, words_each: int = 5) ->
     """One row of ``docs`` for each component, with all its columns, whatever their names.
 
     The row with the smallest doc_id stays, a null losing to any other; of rows that repeat
-    it, the first one.  Null texts and texts without words link with nothing, so they all
+    it, one.  Texts without words (or null) link with nothing, so all but repeated rows
     stay.  No rows give no rows.
     """
-    rows = numbered(docs)
-    found = _joined(numbered_texts(rows), percent, words_each)
-    return first_of_each(rows, found.select(F.col("doc_id").alias("number"), F.col("component_id").alias("grp")))
+    # Rows go by a hash of id and text here, as one id may have several texts.
+    doc_id = F.col("doc_id").cast("long")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    name = F.xxhash64(F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), text)
+    found = _joined(docs.select(name.alias("doc_id"), text.alias("text")), percent, words_each)
+    found = found.select(F.col("doc_id").alias("name"), "component_id").distinct()
+    ids = docs.select(name.alias("name"), doc_id.isNull().alias("unnamed"), doc_id.alias("id")).distinct()
+    least = F.min(F.struct("unnamed", "id", "name")).alias("least")
+    first = found.join(ids, "name").groupBy("component_id").agg(least)
+    stay = first.select(F.col("least.name").alias("name"))
+    return one_of_each(wrapped(docs, name=name), stay, "name")
 
 
 def _joined(docs: DataFrame, percent: int, words_each: int) -> DataFrame:
