@@ -69,7 +69,7 @@ _READ_TEMPERATURE = "CASE WHEN obs_id % 205 = 0 THEN NULL ELSE temperature END"
 _SECOND = "date_trunc('second', api_timestamp)"
 
 
-def _parsed() -> str:
+def _parsed(kinds: bool = False) -> str:
     values = {
         "city": "city",
         "country": "country",
@@ -91,6 +91,17 @@ def _parsed() -> str:
         "sunset_time": f"{_SECOND} + INTERVAL 6 HOUR",
         "api_timestamp": _SECOND,
     }
+    if kinds:
+        place = "CAST(CAST({0} AS DECIMAL(10,6)) AS DOUBLE)"
+        asked = {c: place.format(c) for c in ("latitude", "longitude")}
+        cells = ", ".join(
+            f"CASE WHEN kind = 'uv' THEN {asked.get(k, 'NULL')} WHEN {_CUT} THEN NULL ELSE {v} END AS {k}"
+            for k, v in values.items()
+        )
+        return f"""{_O} SELECT kind, obs_id, {cells},
+          CASE WHEN {_CUT} THEN 'malformed body' END AS parse_error,
+          CASE WHEN kind = 'uv' AND NOT ({_CUT}) THEN {_UV_VALUE} END AS uv_index
+          FROM o, (SELECT unnest(['current', 'forecast', 'current_by_coord', 'uv']) AS kind) k"""
     cells = ", ".join(f"CASE WHEN {_CUT} THEN NULL ELSE {v} END AS {k}" for k, v in values.items())
     return f"""{_O} SELECT obs_id, {cells},
       CASE WHEN {_CUT} THEN 'malformed body' END AS parse_error FROM o"""
@@ -248,6 +259,7 @@ def _long(reports: dict[str, str]) -> str:
 ORACLES: dict[str, str] = {
     "parse_current": _parsed(),
     "parse_forecast_first": _parsed(),
+    "parse_variant": _parsed(kinds=True),
     "parse_uv": f"""{_O} SELECT obs_id, CAST(CAST(latitude AS DECIMAL(10,6)) AS DOUBLE) AS latitude,
         CAST(CAST(longitude AS DECIMAL(10,6)) AS DOUBLE) AS longitude,
         CASE WHEN {_CUT} THEN NULL ELSE {_UV_VALUE} END AS uv_index,

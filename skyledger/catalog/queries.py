@@ -14,7 +14,7 @@ from skyledger.catalog.observations import (
     table,
 )
 from skyledger.functions import casts, text
-from skyledger.operators import enrich as profiles, latest, lookup, moments, parse, quality, stats
+from skyledger.operators import enrich as profiles, latest, lookup, moments, parse, quality, stats, variant
 from skyledger.operators.enrich import enrich
 from skyledger.plans import jobs
 from skyledger.shared import prefer_compiled, scratch_table
@@ -122,6 +122,16 @@ def payload_kinds(spark, sf_dir):
     )
 
 
+@query
+def parse_variant(spark, sf_dir):
+    """Every observation in all four kinds, each body parsed once, as a document."""
+    obs = spread_observations(spark, sf_dir)
+    raw = responses(obs, landing.UV)
+    for kind in landing.RECORD_KINDS:
+        raw = raw.unionByName(responses(obs, kind))
+    return conform_uv(variant.parse_documents(raw)).select("kind", *PARSED, "uv_index")
+
+
 @query
 def city_dimension(spark, sf_dir):
     """Rows per entry of the comma-separated lists built from each observation."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions import casts, text
 from skyledger.operators import parse
+from skyledger.operators.variant import parse_documents
 from skyledger.schemas import LANDING, RECORD
 from skyledger.sinks.conform import conform
 from skyledger.sources import cities
@@ -177,3 +178,25 @@ def test_now_is_utc(spark):
     row = spark.range(3).select(casts.utc_now().alias("t")).distinct().collect()
     now = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
     assert len(row) == 1 and abs((now - row[0]["t"]).total_seconds()) < 60
+
+
+def test_documents_of_any_shape(spark):
+    """Kinds in one pass; what nobody asked for is kept."""
+    bodies = [
+        ("current", '{"name":"A","main":{"temp":"1.5","humidity":"40.9"},"extra":{"depth":[7,8]}}'),
+        ("forecast", '{"city":{"name":"B","coord":{"lat":1,"lon":2}},"list":[{"main":{"temp":3}},{"main":{"temp":9}}]}'),
+        ("current", '{"name":"C","coord":{"lat":5},"city":{"coord":{"lat":1,"lon":2}},"sys":7}'),
+        ("uv", '{"value":4.25}'), ("current", "[1,"), ("current", None), ("current", "null"), ("current", "5"),
+        ("current", '{"name":"D","name":"E"}'),
+    ]
+    rows = [(k, "x", "https://x/?lat=1.25&lon=2.5", 200, b, None, str(n)) for n, (k, b) in enumerate(bodies)]
+    found = parse_documents(spark.createDataFrame(rows, LANDING))
+    got = {int(r["cycle"]): r for r in found.collect()}
+    assert (got[0]["city"], float(got[0]["temperature"]), got[0]["humidity"]) == ("A", 1.5, 40)
+    assert (got[1]["city"], float(got[1]["latitude"]), float(got[1]["temperature"])) == ("B", 1, 3)
+    # An own place hides the other even if it lacks a part.
+    assert got[2]["latitude"] is None and got[2]["parse_error"] is None
+    assert (float(got[3]["latitude"]), float(got[3]["uv_index"]), got[3]["city"]) == (1.25, 4.25, None)
+    assert [got[k]["parse_error"] for k in range(4, 9)] == ["malformed body", "malformed body", None, None, "malformed body"]
+    depth = found.filter("city = 'A'").select(F.variant_get("document", "$.extra.depth[1]", "int"))
+    assert depth.first()[0] == 8
