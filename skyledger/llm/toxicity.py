@@ -1,9 +1,10 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine, weighted votes.
 
 Every term of every example counts; those that the labels favour weigh more.  Each
-example is a unit vector of term weights in an inverted index.  The lists of common terms
-are left out wherever bounds (their largest weights in blocks of examples, and lengths of
-vectors) tell that they cannot bring an example among the nearest, so these are exact.
+example is a unit vector of term weights.  Rare terms have lists of their examples; common
+ones have a row of weights over all examples and their largest weight in each block of
+them.  Texts are searched in batches: a block is read only for the texts whose bound in it
+reaches their nearest examples found so far, so these are exact.
 """
 
 from __future__ import annotations
@@ -19,18 +20,19 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import texts
+from skyledger.llm.common import pieces, texts
 
 #: Labelled rows that are learned from: at most so many, chosen by a hash of their ids.
 EXAMPLES = 40_000
-#: Bytes of a word that are its beginning.
-STEM = 5
-#: Examples of one block, and neighbours that vote.
+#: Examples of one block, neighbours that vote, and texts of one search.
 BLOCK = 128
 NEIGHBOURS = 15
-#: Terms in over a share of 1 / COMMON of the examples are common.  Their lists are read
-#: STEP at a time until at most CANDIDATES examples could be among the nearest.
-COMMON, STEP, CANDIDATES = 50, 16, 1000
+BATCH = 32
+#: Terms in over a share of 1 / COMMON of the examples are common: their rows hold at most
+#: COMMON times what their lists would.
+COMMON = 20
+#: Covers the rounding of products in single precision.
+ROUNDING = 1e-5
 #: Weight of the prior beside the neighbours' similarities.
 PRIOR_WEIGHT = 0.5
 THRESHOLD = 0.3
@@ -40,14 +42,8 @@ _TABLE = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
 def terms(text: str) -> list[bytes]:
-    """The words, the beginnings of longer ones (inflected words share them), and for a
-    beginning met twice or four times a term that says so."""
-    words = text.lower().encode().translate(_TABLE).split()
-    begun: dict[bytes, int] = {}
-    for w in words:
-        if len(w) > STEM:
-            begun[w[:STEM]] = begun.get(w[:STEM], 0) + 1
-    return words + [b"%s-%d" % (w, k) for w, n in begun.items() for k in (1, 2, 4) if n >= k]
+    """The words of a text, in lower case."""
+    return text.lower().encode().translate(_TABLE).split()
 
 
 def hashed(words: Iterable[bytes]) -> np.ndarray:
@@ -57,32 +53,27 @@ def hashed(words: Iterable[bytes]) -> np.ndarray:
 
 @dataclass
 class Index:
-    """Examples' unit vectors one behind the other; what searches need is made from them
-    where it is first asked for."""
+    """Examples in blocks of ``BLOCK``, the last one filled up with empty ones."""
 
-    ids: np.ndarray
-    toxic: np.ndarray
     prior: float
     #: Hashes of all terms in order, and their weights.
     words: np.ndarray
     weights: np.ndarray
-    #: Where each example's terms start (and the end), their positions in ``words``, values.
-    starts: np.ndarray
-    terms: np.ndarray
-    values: np.ndarray
-    _lists: _Lists | None = field(default=None, repr=False)
+    ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
+    #: Row of each common term, -1 for the others; rows by example; largest by block.
+    number: np.ndarray | None = None
+    dense: np.ndarray | None = None
+    most: np.ndarray | None = None
+    #: Where each term's list starts (and the end), its examples and weights.
+    starts: np.ndarray | None = None
+    owner: np.ndarray | None = None
+    values: np.ndarray | None = None
 
     @property
     def blocks(self) -> int:
         return -(-len(self.ids) // BLOCK)
 
-    @property
-    def lists(self) -> _Lists:
-        if self._lists is None:
-            self._lists = _Lists(self.starts, self.terms, self.values, len(self.words), self.blocks)
-            self.terms = self.values = None
-        return self._lists
-
     def _known(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are terms, and their positions."""
         at = np.searchsorted(self.words, words)
@@ -107,87 +98,76 @@ class Index:
     def nearest(self, query: dict[bytes, float], k: int) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples, ties by position."""
         known, at = self._known(hashed(query))
-        return self._nearest(at, np.fromiter(query.values(), float, len(query))[known], k)
-
-    def _nearest(self, at: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        n = len(self.ids)
-        if not n or not len(at):
-            return np.empty(0, np.int64), np.empty(0)
-        lists = self.lists
-        number = lists.number[at]
-        scores = lists.sums(at[number < 0], x[number < 0], n)
-        # Common terms, those with the largest weights in the query first.
-        left = np.flatnonzero(number >= 0)
-        left = left[np.lexsort((at[left], -x[left]))]
-        while True:
-            least = np.partition(scores, n - k)[n - k] if n > k else 0.0
-            # What is left of the query is no longer than this, an example's common part
-            # no longer than its length; and no product is above the block's largest.
-            length = np.sqrt((x[left] ** 2).sum())
-            in_block = x[left] @ lists.most[number[left]]
-            bound = np.minimum(length * lists.common_length, np.repeat(in_block, BLOCK)[:n])
-            # The margin covers rounding: sums of bounds and of products differ by less.
-            able = np.flatnonzero((scores + bound >= least - 1e-9) & (scores + bound > 0))
-            if len(able) <= max(CANDIDATES, k) or not len(left):
-                break
-            now, left = left[:STEP], left[STEP:]
-            scores += lists.sums(at[now], x[now], n)
-        full = scores[able]
-        if len(left) and len(able):
-            full = full + lists.rest(able, number[left], x[left])
+        return self.search([(at, np.fromiter(query.values(), float, len(query))[known])], k)[0]
+
+    def search(
+        self, queries: list[tuple[np.ndarray, np.ndarray]], k: int
+    ) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of several vectors (terms and values)."""
+        if not len(self.ids):
+            return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+        width = self.blocks * BLOCK
+        rare = np.empty((len(queries), width))
+        common = np.zeros((len(queries), len(self.dense)))
+        for i, (at, x) in enumerate(queries):
+            own = self.number[at]
+            common[i, own[own >= 0]] = x[own >= 0]
+            rare[i] = self._sums(at[own < 0], x[own < 0], width)
+        bound = common @ self.most + rare.reshape(len(queries), self.blocks, BLOCK).max(2)
+        single = common.astype(np.float32)
+        scores = np.full(rare.shape, -1, np.float32)
+
+        def read(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)):
+                who, cells = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                scores[who, cells] = single[who] @ self.dense[:, cells] + rare[who, cells]
+
+        def least() -> np.ndarray:
+            """The k-th best score so far of each text."""
+            if width <= k:
+                return np.zeros(len(queries))
+            return np.maximum(np.partition(scores, width - k)[:, width - k], 0)
+
+        # The most promising blocks first, which tell what the others have to reach.
+        best = np.argsort(-bound, 1, kind="stable")[:, : 1 + k // BLOCK]
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, best, True, 1)
+        read(first)
+        read(~first & (bound + ROUNDING >= least()[:, None]))
+        able = scores >= least()[:, None] - ROUNDING
+        return [self._ordered(np.flatnonzero(able[i]), rare[i], common[i], k) for i in range(len(queries))]
+
+    def _sums(self, at: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
+        """Products of the rare terms ``at`` with every example."""
+        first, count = self.starts[at], self.starts[at + 1] - self.starts[at]
+        runs = _runs(first, count)
+        products = self.values[runs] * np.repeat(x, count)
+        return np.bincount(self.owner[runs], products, width)
+
+    def _ordered(
+        self, able: np.ndarray, rare: np.ndarray, common: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest of some examples, in double precision, whatever the batch."""
+        own = np.flatnonzero(common)
+        full = rare[able] + (self.dense[np.ix_(own, able)] * common[own, None]).sum(0)
         order = np.lexsort((able, -full))[:k]
         order = order[full[order] > 0]
         return able[order], full[order]
 
-    def score(self, text: str) -> tuple[float, list[int]]:
-        """Share of toxic votes, each neighbour's vote weighing its cosine; and their ids."""
-        counts = Counter(terms(text))
-        _, at, x = self.unit(hashed(counts), np.fromiter(counts.values(), float, len(counts)))
-        if not len(at):
-            return self.prior, []
-        near, cosine = self._nearest(at, x, NEIGHBOURS)
-        votes = float((cosine * self.toxic[near]).sum() + PRIOR_WEIGHT * self.prior)
-        return votes / (float(cosine.sum()) + PRIOR_WEIGHT), self.ids[near].tolist()
-
-
-class _Lists:
-    """Postings by term, and the common terms of each example with their bounds."""
-
-    def __init__(self, starts, terms, values, n_terms: int, blocks: int):
-        n = len(starts) - 1
-        owner = np.repeat(np.arange(n, dtype=np.int32), np.diff(starts))
-        size = np.bincount(terms, minlength=n_terms)
-        common = np.flatnonzero(size * COMMON > n)
-        #: Number of each common term, -1 for the others.
-        self.number = np.full(n_terms, -1, np.int32)
-        self.number[common] = np.arange(len(common))
-        own = np.flatnonzero(self.number[terms] >= 0)
-        self._own, self._own_values = self.number[terms[own]], values[own]
-        self._own_starts = np.searchsorted(owner[own], np.arange(n + 1))
-        squares = np.bincount(owner[own], self._own_values.astype(float) ** 2, n)
-        self.common_length = np.sqrt(squares)
-        self.most = np.zeros((len(common), blocks))
-        np.maximum.at(self.most, (self._own, owner[own] // BLOCK), self._own_values)
-        order = np.argsort(terms, kind="stable")
-        self._starts = np.concatenate([[0], np.cumsum(size)])
-        self._owner, self._values = owner[order], values[order]
-
-    def sums(self, at: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
-        """Products of the query's terms ``at`` with every example."""
-        first, count = self._starts[at], self._starts[at + 1] - self._starts[at]
-        runs = _runs(first, count)
-        return np.bincount(self._owner[runs], self._values[runs] * np.repeat(x, count), n).astype(float)
-
-    def rest(self, examples: np.ndarray, number: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """Products of the common terms ``number`` with some examples."""
-        dense = np.zeros(len(self.most))
-        dense[number] = x
-        first = self._own_starts[examples]
-        count = self._own_starts[examples + 1] - first
-        runs = _runs(first, count)
-        products = self._own_values[runs] * dense[self._own[runs]]
-        products = np.bincount(np.repeat(np.arange(len(examples)), count), products, len(examples))
-        return products.astype(float)
+    def score(self, texts: list[str]) -> list[tuple[float, list[int]]]:
+        """Of each text the share of toxic votes, each neighbour's vote weighing its
+        cosine, and the neighbours' ids."""
+        found = []
+        for first in range(0, len(texts), BATCH):
+            queries = []
+            for text in texts[first : first + BATCH]:
+                counts = Counter(terms(text))
+                times = np.fromiter(counts.values(), float, len(counts))
+                queries.append(self.unit(hashed(counts), times)[1:])
+            for near, cosine in self.search(queries, NEIGHBOURS):
+                votes = float((cosine * self.toxic[near]).sum() + PRIOR_WEIGHT * self.prior)
+                found.append((votes / (float(cosine.sum()) + PRIOR_WEIGHT), self.ids[near].tolist()))
+        return found
 
 
 def _runs(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -200,21 +180,34 @@ def _built(
     weights: np.ndarray, prior: float,
 ) -> Index:
     """``examples``: id, label, distinct hashes and their counts; ``words`` in order."""
-    nothing = np.empty(0, np.int64)
-    index = Index(nothing, np.empty(0), prior, words, weights, np.zeros(1, np.int64), nothing, np.empty(0))
+    index = Index(prior, words, weights)
     vectors = []
     for i, y, own, times in examples:
         _, at, values = index.unit(own, times)
         strongest = int(at[np.lexsort((at, -values))[0]]) if len(at) else -1
         vectors.append((strongest, i, y, at.astype(np.int32), values.astype(np.float32)))
+    if not vectors:
+        return index
     # Examples with the same strongest term lie together: block maxima are then close.
     vectors.sort(key=lambda v: v[:2])
-    if vectors:
-        index.ids = np.array([v[1] for v in vectors], np.int64)
-        index.toxic = np.array([v[2] for v in vectors], float)
-        index.starts = np.concatenate([[0], np.cumsum([len(v[3]) for v in vectors])])
-        index.terms = np.concatenate([v[3] for v in vectors])
-        index.values = np.concatenate([v[4] for v in vectors])
+    index.ids = np.array([v[1] for v in vectors], np.int64)
+    index.toxic = np.array([v[2] for v in vectors], float)
+    owner = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[3]) for v in vectors])
+    at = np.concatenate([v[3] for v in vectors])
+    values = np.concatenate([v[4] for v in vectors])
+    del vectors
+    size = np.bincount(at, minlength=len(words))
+    width = index.blocks * BLOCK
+    common = size * COMMON > width
+    index.number = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
+    index.dense = np.zeros((int(common.sum()), width), np.float32)
+    own = common[at]
+    index.dense[index.number[at[own]], owner[own]] = values[own]
+    index.most = index.dense.reshape(len(index.dense), index.blocks, BLOCK).max(2).astype(float)
+    index.starts = np.concatenate([[0], np.cumsum(np.where(common, 0, size))])
+    at, owner, values = at[~own], owner[~own], values[~own]
+    order = np.argsort(at, kind="stable")
+    index.owner, index.values = owner[order], values[order]
     return index
 
 
@@ -256,9 +249,8 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index
 
     A term weighs its idf times 1 + the root of chi-square, if toxic examples have it more
     often: a rare word's root tells how sure the labels are and does not change with the
-    number of other examples.  No term is left out.  Fewer than ``NEIGHBOURS`` examples
-    would all vote on every text: the index is empty then, the prior their toxic share
-    (0 without labels).
+    number of other examples.  No term is left out.  With fewer than ``NEIGHBOURS``
+    examples those that share a term vote; the prior is the toxic share, 0 without labels.
     """
     chosen = F.broadcast(_chosen(labels, examples))
     rows = texts(docs).join(chosen, "doc_id").groupBy(F.sha2("text", 256)).agg(
@@ -290,8 +282,6 @@ def learn(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index
         totals = counted.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
         n, n_toxic = totals["n"], totals["toxic"] or 0
         prior = n_toxic / n if n else 0.0
-        if n < NEIGHBOURS:
-            return build_index([], n, {}, prior)
         per_term = (
             counted.select("toxic", F.explode("words").alias("word"))
             .groupBy("word")
@@ -328,15 +318,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES)
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
-            found = [own.score(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([s for s, _ in found], pa.float64()),
-                    pa.array([e for _, e in found], pa.list_(pa.int64())),
-                ],
-                ["doc_id", "score", "evidence"],
-            )
+            for part in pieces(batch):
+                found = own.score(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array([s for s, _ in found], pa.float64()),
+                        pa.array([e for _, e in found], pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "score", "evidence"],
+                )
 
     scored = texts(docs).mapInArrow(run, "doc_id long, score double, evidence array<bigint>")
     return scored.select(
