@@ -20,6 +20,10 @@ SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double,match:stri
 NEAR = 40
 #: So many gaps and matches behind a match cover ``NEAR``: no match has under 4 code points.
 NEXT = 10
+#: Values that are added up one by one; runs of them are then added up likewise.
+RUN = 128
+#: Code points of a slice of a text that parts are cut from.
+SLICE = 1024
 #: An added span is reported from this score on; base spans always are.
 REPORTED = 0.5
 #: What a context word nearby adds to a score.
@@ -176,56 +180,98 @@ def _proposed(kind: Kind) -> Column:
     return F.when(there, found)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _before(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """What ``step`` makes, from 0 on, of all values before each one.  Appending copies an
+    array, so it is done within runs and for the runs' results."""
+
+    def through(array: Column) -> Column:
+        return F.aggregate(
+            array,
+            F.array(F.lit(0).cast("long")),
+            lambda done, x: F.array_append(done, step(F.element_at(done, -1), x)),
+        )
+
+    last = F.floor((F.size(values) - 1) / RUN).cast("int")
+    runs = F.transform(
+        F.sequence(F.lit(0), last), lambda r: through(F.slice(values, r * RUN + 1, F.lit(RUN)))
+    )
+    return _let(
+        runs,
+        lambda runs: _let(
+            through(F.transform(runs, lambda run: F.element_at(run, -1))),
+            lambda firsts: F.flatten(
+                F.transform(
+                    runs,
+                    lambda run, r: F.transform(
+                        F.slice(run, F.lit(1), F.size(run) - 1),
+                        lambda x: step(F.get(firsts, r), x),
+                    ),
+                )
+            ),
+        ),
+    )
+
+
 def _confirmed(kind: Kind, always: bool) -> Column:
     """Spans of the matches that hold, with their scores."""
     matches, gaps = F.col(f"{kind.name}.matches"), F.col(f"{kind.name}.gaps")
 
-    def step(state: Column, i: Column) -> Column:
-        whole, gap = F.get(matches, i), F.get(gaps, i)
-        match = kind.cut(whole) if kind.cut else whole
-        start = state["at"] + F.length(gap)
-        before = F.right(F.concat(state["before"], gap), F.lit(NEAR))
-        left = F.substring(whole, F.length(match) + 1, F.length(whole))
-        behind = F.transform(
-            F.sequence(i + 1, i + NEXT),
-            lambda j: F.concat(
-                F.left(F.coalesce(F.get(gaps, j), F.lit("")), F.lit(NEAR)),
-                F.left(F.coalesce(F.get(matches, j), F.lit("")), F.lit(NEAR)),
+    def piece(array: Column, j: Column, side: Callable) -> Column:
+        return side(F.coalesce(F.get(array, j), F.lit("")), F.lit(NEAR))
+
+    def around(first: Column, last: Column, side: Callable) -> Column:
+        return F.array_join(
+            F.transform(
+                F.sequence(first, last),
+                lambda j: F.concat(piece(gaps, j, side), piece(matches, j, side)),
             ),
+            "",
         )
-        after = F.left(F.concat(left, F.array_join(behind, "")), F.lit(NEAR))
-        near = F.lower(before).rlike(kind.context) | F.lower(after).rlike(kind.context)
-        span = F.struct(
+
+    def span(i: Column, at: Column, match: Column) -> Column:
+        whole = F.get(matches, i)
+        start = F.get(at, i) + F.length(F.get(gaps, i))
+        left = F.substring(whole, F.length(match) + 1, F.length(whole))
+        before = F.concat(around(i - NEXT, i - 1, F.right), piece(gaps, i, F.right))
+        after = F.concat(left, around(i + 1, i + NEXT, F.left))
+        near = F.lower(F.right(before, F.lit(NEAR))).rlike(kind.context)
+        near = near | F.lower(F.left(after, F.lit(NEAR))).rlike(kind.context)
+        return F.struct(
             F.lit(kind.label or kind.name).alias("kind"),
             start.alias("start"),
             (start + F.length(match)).alias("end"),
             F.when(near, kind.score + CONTEXT).otherwise(kind.score).alias("score"),
             match.alias("match"),
         )
-        holds = F.coalesce(kind.holds(match), F.lit(False))
-        # What is before a span reaches back to the previous one that holds.
-        passed = F.right(F.concat(before, whole), F.lit(NEAR))
-        if not always:
-            holds = holds & (span["score"] >= REPORTED)
-        return F.struct(
-            (start + F.length(whole)).alias("at"),
-            F.when(holds, F.lit("")).otherwise(passed).alias("before"),
-            F.when(holds, F.array_append(state["spans"], span))
-            .otherwise(state["spans"])
-            .alias("spans"),
+
+    def cut(i: Column) -> Column:
+        whole = F.get(matches, i)
+        match = kind.cut(whole) if kind.cut else whole
+        return F.when(F.coalesce(kind.holds(match), F.lit(False)), match)
+
+    def spans(at: Column) -> Column:
+        cuts = F.transform(
+            F.sequence(F.lit(0), F.size(matches) - 1),
+            lambda i: F.struct(i.alias("i"), cut(i).alias("match")),
         )
+        held = F.filter(cuts, lambda c: c["match"].isNotNull())
+        return F.transform(held, lambda c: span(c["i"], at, c["match"]))
 
-    nothing = F.from_json(F.lit("[]"), SPAN)
-    start = F.struct(
-        F.lit(0).cast("long").alias("at"), F.lit("").alias("before"), nothing.alias("spans")
+    lengths = F.transform(
+        matches, lambda m, i: (F.length(F.get(gaps, i)) + F.length(m)).cast("long")
     )
-    walked = F.aggregate(
-        F.sequence(F.lit(0), F.size(matches) - 1),
-        start,
-        lambda state, i: step(state, i).cast(f"struct<at:bigint,before:string,spans:{SPAN}>"),
-        lambda state: state["spans"],
+    found = _let(
+        lengths, lambda lengths: _let(_before(lengths, lambda total, x: total + x), spans)
     )
-    return F.when(F.col(kind.name).isNotNull(), walked).otherwise(nothing)
+    if not always:
+        found = F.filter(found, lambda s: s["score"] >= REPORTED)
+    nothing = F.from_json(F.lit("[]"), SPAN)
+    return F.when(F.col(kind.name).isNotNull(), found.cast(SPAN)).otherwise(nothing)
 
 
 def _with_spans(read: DataFrame) -> DataFrame:
@@ -244,7 +290,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
     Base kinds keep every match their check confirms; an IBAN (one run, or groups of four)
     needs its checksum, and a social security number a context word within ``NEAR`` code
-    points before it (back to the previous number found) or after it.  Spans
+    points before or after it, whatever numbers lie between.  Spans
     count code points, ends exclusive, and are ordered by start.  A null or empty text
     has empty arrays; repeated rows are searched each for itself; other columns are left;
     no rows give no rows.
@@ -290,34 +336,53 @@ def redacted() -> Column:
     """The text with every span of ``find_pii`` replaced by its kind in brackets.
 
     Spans of different kinds may overlap; what any span covers goes, once, under the
-    kind of the span that starts first.
+    kind of the span that starts first, the longest of these.
     """
+    kinds = (*BASE, *ADDED)
     spans = F.array_sort(
-        F.concat(*(F.col(k.name) for k in (*BASE, *ADDED))),
-        lambda a, b: F.when(a["start"] < b["start"], -1)
-        .when(a["start"] > b["start"], 1)
-        .otherwise((b["end"] - a["end"]).cast("int")),
-    )
-
-    def step(state: Column, span: Column) -> Column:
-        plain = F.substring(
-            F.col("text"), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int")
+        F.concat(
+            *(
+                F.transform(
+                    k.name,
+                    lambda s, rank=rank: F.struct(
+                        s["start"].alias("start"), (-s["end"]).alias("back"),
+                        F.lit(rank).alias("rank"), s["kind"].alias("kind"),
+                    ),
+                )
+                for rank, k in enumerate(kinds)
+            )
         )
-        inside = span["start"] < state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(inside, state["out"])
-            .otherwise(F.concat(state["out"], plain, F.lit("["), span["kind"], F.lit("]")))
-            .alias("out"),
-        ).cast("struct<at:bigint,out:string>")
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    return F.aggregate(
-        spans,
-        start,
-        step,
-        lambda state: F.concat(
-            state["out"],
-            F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.length("text")),
+    )
+    return F.when(F.size(spans) == 0, F.col("text")).otherwise(_let(spans, _replaced))
+
+
+def _replaced(spans: Column) -> Column:
+    text = F.col("text")
+    slices = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SLICE}}}"), F.lit(0))
+    ends = F.transform(spans, lambda s: -s["back"])
+
+    def part(slices: Column, start: Column, end: Column) -> Column:
+        """Code points from start to end, of the slices that hold them."""
+        first = F.floor(start / SLICE).cast("int")
+        count = F.floor((end - 1) / SLICE).cast("int") - first + 1
+        held = F.array_join(F.slice(slices, first + 1, count), "")
+        inside = F.substring(held, (start % SLICE + 1).cast("int"), (end - start).cast("int"))
+        return F.when(end > start, inside).otherwise("")
+
+    def joined(slices: Column, at: Column) -> Column:
+        parts = F.transform(
+            spans,
+            lambda s, i: F.when(
+                s["start"] >= F.get(at, i),
+                F.concat(part(slices, F.get(at, i), s["start"]), F.lit("["), s["kind"], F.lit("]")),
+            ).otherwise(""),
+        )
+        rest = part(slices, F.array_max(ends), F.length(text).cast("long"))
+        return F.concat(F.array_join(parts, ""), rest)
+
+    return _let(
+        slices,
+        lambda slices: _let(
+            ends, lambda ends: _let(_before(ends, F.greatest), lambda at: joined(slices, at))
         ),
     )

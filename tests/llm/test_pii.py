@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from skyledger.llm.pii import digest_pii, find_pii, redacted
+from skyledger.llm.pii import digest_pii, find_pii, redact_pii, redacted
 from tests.llm.corpus import AWKWARD, frame
 
 PATTERNS = {
@@ -74,10 +74,10 @@ def test_base_spans(found, row):
 def test_added_spans(found):
     text = dict(ROWS)[104]
     at = text.index(IBAN)
-    first = text.index("123-45")
+    first, second = text.index("123-45"), text.index("987-65")
     added = [x for x in found[104]["spans"].split(",") if x.startswith(("iban", "ssn"))]
     assert added == [
-        f"iban:{at}:{at + len(IBAN)}", f"ssn:{first}:{first + 11}"
+        f"iban:{at}:{at + len(IBAN)}", f"ssn:{first}:{first + 11}", f"ssn:{second}:{second + 11}"
     ]
 
 
@@ -112,5 +112,15 @@ def test_redacted(spark):
     assert len(rows) == len(ROWS)
 
 
+def test_many_matches(spark):
+    """100,000 addresses in one text, in time that follows its length."""
+    text = "".join(f"😀 a{k}@b.cd\n" for k in range(100_000))
+    row = digest_pii(frame(spark, [(1, text)])).first()
+    joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base(text))
+    assert row["n_email"] == 100_000 and row["spans"] == joined
+    clean = redact_pii(frame(spark, [(1, text)])).first()["text"]
+    assert clean == "😀 [email]\n" * 100_000
+
+
 def test_empty(spark):
     assert digest_pii(frame(spark, ROWS).limit(0)).count() == 0
