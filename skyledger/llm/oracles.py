@@ -25,15 +25,15 @@ def _spans(kind: str, pattern: str, holds: str) -> str:
     points before it and as many after it, parted by a line feed."""
     return f"""
     (SELECT list(printf('{kind}:%d:%d', s.at, s.at + length(s.m)) ORDER BY s.at)
-     FROM (SELECT x.m, x.at, right(text[1:x.at], 40) || chr(10) || left(text[x.at + length(x.m) + 1:], 40) AS near FROM (
+     FROM (SELECT x.m, x.at, right(left(text, x.at), 40) || chr(10) || left(substr(text, x.at + length(x.m) + 1), 40) AS near FROM (
         SELECT ms[i] AS m,
-               coalesce(list_sum(list_transform(gs[1:i], lambda x: length(x))), 0)
-               + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS at
+               CAST(coalesce(list_sum(list_transform(gs[1:i], lambda x: length(x))), 0)
+               + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS at
         FROM (
             SELECT ms, gs, unnest(range(1, len(ms) + 1)) AS i
             FROM (SELECT regexp_extract_all(text, '{pattern}') AS ms,
                          string_split_regex(text, '{pattern}') AS gs)
-        ) AS x) AS s WHERE {holds})"""
+        )) AS x) AS s WHERE {holds})"""
 
 
 _NUMBER = "regexp_replace(m, '[^0-9]', '', 'g')"
