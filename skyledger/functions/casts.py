@@ -10,8 +10,10 @@ MAX_EPOCH = 253402300799
 
 
 def to_whole(number: Column) -> Column:
-    """Decimal to int: fractions are cut off, what does not fit is NULL."""
-    return number.try_cast("int")
+    """Decimal to int: fractions are cut off, what does not fit is NULL.  They are cut off
+    before the cast, which takes a wide decimal through its text and a double: that is slow
+    and rounds 0.999999999999999999 up."""
+    return F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("int")
 
 
 def epoch_to_utc(number: Column) -> Column:

@@ -200,3 +200,22 @@ def test_documents_of_any_shape(spark):
     assert [got[k]["parse_error"] for k in range(4, 9)] == ["malformed body", "malformed body", None, None, "malformed body"]
     depth = found.filter("city = 'A'").select(F.variant_get("document", "$.extra.depth[1]", "int"))
     assert depth.first()[0] == 8
+
+
+def test_whole_numbers_are_cut_off(spark):
+    """Also those that a double would round up."""
+    numbers = "'12.999999999999999999', '-12.999999999999999999', '0.5', '2147483647.9', '2147483648', NULL"
+    rows = spark.sql(f"SELECT EXPLODE(ARRAY({numbers})) AS t").select(F.col("t").cast("decimal(38,18)").alias("n"))
+    assert [r[0] for r in rows.select(casts.to_whole(F.col("n"))).collect()] == [12, -12, 0, 2147483647, None, None]
+
+
+def test_documents_are_walked_once(spark):
+    """One read of a document per object, not per leaf; misfits spoil no sibling."""
+    body = '{"name":"A","main":{"temp":"x","humidity":7,"pressure":{}},"wind":3,"weather":[5],"sys":{},"city":{"sunset":9}}'
+    rows = [("current", "x", "https://x", 200, body, None, "c"), (None, "x", "https://x", 200, body, None, "c")]
+    found = parse_documents(spark.createDataFrame(rows, LANDING))
+    got = found.collect()[0]
+    assert (got["temperature"], got["humidity"], got["pressure"], got["wind_speed"]) == (None, 7, None, None)
+    assert (got["weather_main"], got["sunset_time"], found.collect()[1]["city"]) == (None, None, None)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.count("variant_get(") < 10
