@@ -45,15 +45,17 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a lookup with one fixed-width row per key.
 
-    A lookup of checked size is broadcast, so the facts do not move.  Beyond that, facts
-    with a NULL in the key match nothing and stay out of the join, and keys that hold more
-    than ``hot_rows`` facts are found by a count: those alone are joined on key and salt,
-    with as many salts as their facts need.  ``spread_by`` names columns that tell rows
-    apart; by default all, which makes the scan read them all.
+    A lookup of checked size is broadcast, so the facts do not move.  Beyond that the facts
+    are written first, since they are looked at twice: a count finds the keys that hold more
+    than ``hot_rows`` of them, and those are joined on key and salt, with as many salts as
+    their facts need.  Facts with a NULL in the key match nothing and are dealt out evenly.
+    ``spread_by`` names columns that tell rows apart; by default all.
     """
     on = list(on)
     if fits_broadcast(lookup, broadcast_rows):
         return facts.join(F.broadcast(lookup), on, "left")
+    spark = facts.sparkSession
+    facts = written(facts, "facts")
     keyed = F.lit(True)
     for name in on:
         keyed = keyed & F.col(name).isNotNull()
@@ -63,18 +65,14 @@ def lookup_join(
     hot = written(counted.select(*on, salts), "hot-keys")
     if fits_broadcast(hot, broadcast_rows):
         hot = F.broadcast(hot)
-    matched = facts.filter(keyed).join(hot, on, "left")
-    salted = matched.withColumn(
-        "_salt", spread(spread_by or facts.columns, F.coalesce("_salts", F.lit(1)))
-    ).drop("_salts")
+    nowhere = F.lit(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = F.when(keyed, F.coalesce("_salts", F.lit(1))).otherwise(nowhere)
+    salted = facts.join(hot, on, "left")
+    salted = salted.withColumn("_salt", spread(spread_by or facts.columns, parts)).drop("_salts")
     copies = lookup.join(hot, on, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
     )
-    found = salted.join(copies.drop("_salts").hint("merge"), [*on, "_salt"], "left").drop("_salt")
-    rest = facts.filter(~keyed)
-    values = [f for f in lookup.schema.fields if f.name not in on]
-    empty = {f.name: F.lit(None).cast(f.dataType) for f in values}
-    return found.unionByName(rest.withColumns(empty).select(found.columns))
+    return salted.join(copies.drop("_salts").hint("merge"), [*on, "_salt"], "left").drop("_salt")
 
 
 def _tenths() -> Column:

@@ -90,3 +90,16 @@ def test_each_record_takes_its_own_cycle(spark):
     uv = spark.createDataFrame(rows, schema + ", fetched_at timestamp_ntz, uv_index decimal(38,18)")
     got = {r["cycle"]: r["uv_index"] for r in lookup.uv_enrich(records, uv).collect()}
     assert {c: v and int(v) for c, v in got.items()} == {"a": 1, "b": 2, "c": None, None: 9}
+
+
+def test_facts_of_a_large_join_are_worked_out_once(spark, facts, uv):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    joined = lookup.uv_enrich(facts.mapInArrow(counted, facts.schema), uv, broadcast_rows=0, hot_rows=500)
+    assert as_dict(joined.collect()) == {i: expected(i) for i in range(9000)}
+    assert seen.value == 9000
