@@ -3,8 +3,8 @@
 Every term of every example counts; those that the labels favour weigh more.  Each
 example is a unit vector of term weights.  Rare terms have lists of their examples; common
 ones have a row of weights over all examples and their largest weight in each block of
-them.  Texts are searched in batches: a block is read only for the texts whose bound in it
-reaches their nearest examples found so far, so these are exact.
+them.  Texts are searched in batches: a block is read if the bound of any of them in it
+reaches its nearest examples found so far, so these are exact.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
@@ -27,7 +28,7 @@ EXAMPLES = 40_000
 #: Examples of one block, neighbours that vote, and texts of one search.
 BLOCK = 128
 NEIGHBOURS = 15
-BATCH = 32
+BATCH = 64
 #: Terms in over a share of 1 / COMMON of the examples are common: their rows hold at most
 #: COMMON times what their lists would.
 COMMON = 20
@@ -46,9 +47,17 @@ def terms(text: str) -> list[bytes]:
     return text.lower().encode().translate(_TABLE).split()
 
 
+@lru_cache(1 << 16)
+def _digest(word: bytes) -> bytes:
+    return blake2b(word, digest_size=8).digest()
+
+
 def hashed(words: Iterable[bytes]) -> np.ndarray:
     """64-bit hash of each word, as signed numbers."""
-    return np.frombuffer(b"".join(blake2b(w, digest_size=8).digest() for w in words), np.int64)
+    # A long word is not kept in mind.
+    return np.frombuffer(
+        b"".join(_digest(w) if len(w) < 64 else _digest.__wrapped__(w) for w in words), np.int64
+    )
 
 
 @dataclass
@@ -61,7 +70,8 @@ class Index:
     weights: np.ndarray
     ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
-    #: Row of each common term, -1 for the others; rows by example; largest by block.
+    #: Row of each common term, -1 for the others; weights by block, row and example of the
+    #: block; the largest by row and block.
     number: np.ndarray | None = None
     dense: np.ndarray | None = None
     most: np.ndarray | None = None
@@ -108,7 +118,7 @@ class Index:
             return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
         width = self.blocks * BLOCK
         rare = np.empty((len(queries), width))
-        common = np.zeros((len(queries), len(self.dense)))
+        common = np.zeros((len(queries), len(self.most)))
         for i, (at, x) in enumerate(queries):
             own = self.number[at]
             common[i, own[own >= 0]] = x[own >= 0]
@@ -117,39 +127,48 @@ class Index:
         single = common.astype(np.float32)
         scores = np.full(rare.shape, -1, np.float32)
 
-        def read(wanted: np.ndarray) -> None:
-            for b in np.flatnonzero(wanted.any(0)):
-                who, cells = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
-                scores[who, cells] = single[who] @ self.dense[:, cells] + rare[who, cells]
-
-        def least() -> np.ndarray:
-            """The k-th best score so far of each text."""
-            if width <= k:
-                return np.zeros(len(queries))
-            return np.maximum(np.partition(scores, width - k)[:, width - k], 0)
-
-        # The most promising blocks first, which tell what the others have to reach.
-        best = np.argsort(-bound, 1, kind="stable")[:, : 1 + k // BLOCK]
-        first = np.zeros(bound.shape, bool)
-        np.put_along_axis(first, best, True, 1)
+        def read(blocks: np.ndarray) -> None:
+            for b in blocks:
+                cells = slice(b * BLOCK, (b + 1) * BLOCK)
+                scores[:, cells] = single @ self.dense[b] + rare[:, cells]
+
+        # The most promising blocks first, which tell what the others have to reach: the k-th
+        # best score of each text so far.
+        first = np.unique(np.argsort(-bound, 1, kind="stable")[:, : 1 + k // BLOCK])
         read(first)
-        read(~first & (bound + ROUNDING >= least()[:, None]))
-        able = scores >= least()[:, None] - ROUNDING
-        return [self._ordered(np.flatnonzero(able[i]), rare[i], common[i], k) for i in range(len(queries))]
+        least = np.zeros(len(queries))
+        if width > k:
+            found = scores.reshape(len(queries), self.blocks, BLOCK)[:, first].reshape(len(queries), -1)
+            place = found.shape[1] - k
+            least = np.maximum(np.partition(found, place)[:, place], 0)
+        wanted = (bound + ROUNDING >= least[:, None]).any(0)
+        wanted[first] = False
+        read(np.flatnonzero(wanted))
+        nearest = []
+        for i in range(len(queries)):
+            able = np.flatnonzero(scores[i] >= least[i] - ROUNDING)
+            if len(able) > k:
+                own = scores[i, able]
+                able = able[own >= np.partition(own, len(own) - k)[len(own) - k] - ROUNDING]
+            nearest.append(self._ordered(able, rare[i], common[i], k))
+        return nearest
 
     def _sums(self, at: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
         """Products of the rare terms ``at`` with every example."""
-        first, count = self.starts[at], self.starts[at + 1] - self.starts[at]
-        runs = _runs(first, count)
-        products = self.values[runs] * np.repeat(x, count)
-        return np.bincount(self.owner[runs], products, width)
+        first, end = self.starts[at], self.starts[at + 1]
+        lists = [slice(a, b) for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+        if not lists:
+            return np.zeros(width)
+        products = np.concatenate([self.values[own] for own in lists]) * np.repeat(x, end - first)
+        return np.bincount(np.concatenate([self.owner[own] for own in lists]), products, width)
 
     def _ordered(
         self, able: np.ndarray, rare: np.ndarray, common: np.ndarray, k: int
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest of some examples, in double precision, whatever the batch."""
         own = np.flatnonzero(common)
-        full = rare[able] + (self.dense[np.ix_(own, able)] * common[own, None]).sum(0)
+        cells = self.dense[able // BLOCK, own[:, None], able % BLOCK]
+        full = rare[able] + (cells * common[own, None]).sum(0)
         order = np.lexsort((able, -full))[:k]
         order = order[full[order] > 0]
         return able[order], full[order]
@@ -170,11 +189,6 @@ class Index:
         return found
 
 
-def _runs(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """firsts[0], firsts[0]+1, … (counts[0] of them), firsts[1], …"""
-    return np.arange(int(counts.sum())) + np.repeat(firsts - (np.cumsum(counts) - counts), counts)
-
-
 def _built(
     examples: Iterable[tuple[int, int, np.ndarray, np.ndarray]], words: np.ndarray,
     weights: np.ndarray, prior: float,
@@ -200,10 +214,10 @@ def _built(
     width = index.blocks * BLOCK
     common = size * COMMON > width
     index.number = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
-    index.dense = np.zeros((int(common.sum()), width), np.float32)
+    index.dense = np.zeros((index.blocks, int(common.sum()), BLOCK), np.float32)
     own = common[at]
-    index.dense[index.number[at[own]], owner[own]] = values[own]
-    index.most = index.dense.reshape(len(index.dense), index.blocks, BLOCK).max(2).astype(float)
+    index.dense[owner[own] // BLOCK, index.number[at[own]], owner[own] % BLOCK] = values[own]
+    index.most = np.ascontiguousarray(index.dense.max(2).T, float)
     index.starts = np.concatenate([[0], np.cumsum(np.where(common, 0, size))])
     at, owner, values = at[~own], owner[~own], values[~own]
     order = np.argsort(at, kind="stable")

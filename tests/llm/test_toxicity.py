@@ -113,3 +113,23 @@ def test_awkward(spark):
     assert score_toxicity(docs, labels.limit(0)).filter("score != 0").count() == 0
     assert score_toxicity(docs.limit(0), labels).count() == 0
     assert learn(docs, labels).blocks == 1
+
+
+def test_a_block_lies_together_and_more_neighbours_than_a_block_are_exact():
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}".replace("0", "o").encode() for i in range(400)]
+    counts = [Counter(vocabulary[i] for i in rng.zipf(1.3, 30) % 400) for _ in range(5 * BLOCK)]
+    documents = Counter(w for c in counts for w in c)
+    index = build_index([(i, 0, c) for i, c in enumerate(counts)], len(counts), documents, 0.0)
+    assert all(block.flags.c_contiguous for block in index.dense)
+    assert index.dense.shape == (index.blocks, len(index.most), BLOCK)
+    k = BLOCK + 20
+    order = {i: at for at, i in enumerate(index.ids.tolist())}
+    vectors = [index.vector(c.elements()) for c in counts]
+    for own in vectors[:3]:
+        near, cosines = index.nearest(own, k)
+        plain = np.zeros(len(counts))
+        for i, other in enumerate(vectors):
+            plain[order[i]] = sum(x * other.get(w, 0.0) for w, x in own.items())
+        assert np.allclose(np.sort(plain)[::-1][: len(cosines)], cosines, atol=1e-5)
+        assert len(near) == min(k, int((plain > 0).sum()))
