@@ -17,7 +17,7 @@ from skyledger.operators.enrich import enrich
 from skyledger.plans.jobs import record_rows
 from skyledger.schemas import LANDING
 from skyledger.sources import landing as land
-from skyledger.streaming.cycle import DEFAULT_INTERVAL, LATENESS, end_stream, ends
+from skyledger.streaming.cycle import DEFAULT_INTERVAL, LATENESS, end_stream, ends, state_parts
 
 _AT = "_at"
 _LABELS = ("weather_description", "temperature_category", "comfort_level")
@@ -56,16 +56,17 @@ def start_reports(
     once, also over restarts."""
     trigger = {"availableNow": True} if interval is None else {"processingTime": f"{interval} seconds"}
     marks = ends(responses.sparkSession, checkpoint)
-    return (
-        cells(responses.select(*LANDING.fieldNames()), marks, every, lateness, profile)
-        .writeStream.queryName(stream)
-        .format("parquet")
-        .outputMode("append")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    with state_parts(responses.sparkSession):
+        return (
+            cells(responses.select(*LANDING.fieldNames()), marks, every, lateness, profile)
+            .writeStream.queryName(stream)
+            .format("parquet")
+            .outputMode("append")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**trigger)
+            .start()
+        )
 
 
 def close_reports(responses: DataFrame, path: str, checkpoint: str, **options) -> None:

@@ -197,6 +197,25 @@ def test_readings_that_come_later_are_waited_for(spark, root, tmp_path, files_pe
     assert not (tmp_path / "table.waiting").exists()
 
 
+def test_state_has_few_parts_and_rows_of_a_day_share_a_file(spark, raw, root, tmp_path):
+    path, checkpoint = str(tmp_path / "landing"), tmp_path / "checkpoint"
+    landing.write_landing(raw.repartition(8, "obs_id"), path)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        files = landing.stream_landing(spark, path)
+        start_cycles(files, root, str(checkpoint), interval=None).awaitTermination()
+        flush(files, root, str(checkpoint))
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    parts = [p.name for p in (checkpoint / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(parts) == 2 * spark.sparkContext.defaultParallelism
+    kept = stored.read_all(spark, root)
+    assert kept.count() == 1000
+    files = [p for p in (tmp_path / "table").glob("batch=*/outcome=*/*/*.parquet")]
+    assert len(files) == kept.select("batch", "outcome", "recorded_on").distinct().count() > 8
+
+
 def test_a_failed_cycle_starts_again_from_its_checkpoint(spark, root, tmp_path):
     path = str(tmp_path / "landing")
     landing.write_landing(spark.createDataFrame([("forecast", "A", "u", 500, None, None, "a")], LANDING), path)
