@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from hashlib import blake2b
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ BATCH = 64
 COMMON = 20
 #: Covers the rounding of products in single precision.
 ROUNDING = 1e-5
+#: Words whose places are kept in mind, at most so many, of under 64 bytes each.
+REMEMBERED = 1 << 18
 #: Weight of the prior beside the neighbours' similarities.
 PRIOR_WEIGHT = 0.5
 THRESHOLD = 0.3
@@ -79,6 +82,8 @@ class Index:
     starts: np.ndarray | None = None
     owner: np.ndarray | None = None
     values: np.ndarray | None = None
+    #: Positions of words met so far, -1 for those that are no terms.
+    places: dict[bytes, int] = field(default_factory=dict)
 
     @property
     def blocks(self) -> int:
@@ -91,18 +96,33 @@ class Index:
         known = known[self.words[at[known]] == words[known]]
         return known, at[known]
 
-    def unit(self, words: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Unit vector, (1 + log tf) weight, of distinct hashes: known ones, terms, values."""
-        known, at = self._known(words)
-        raw = (1 + np.log(times[known])) * self.weights[at]
+    def positions(self, words: list[bytes]) -> np.ndarray:
+        """Position of each of some distinct words, -1 for those that are no terms."""
+        found = np.fromiter(map(self.places.get, words, repeat(-2)), np.int64, len(words))
+        new = np.flatnonzero(found == -2)
+        if len(new):
+            own = [words[k] for k in new]
+            known, at = self._known(hashed(own))
+            found[new] = -1
+            found[new[known]] = at
+            if len(self.places) + len(own) > REMEMBERED:
+                self.places.clear()
+            short = ((w, at) for w, at in zip(own, found[new].tolist(), strict=True) if len(w) < 64)
+            self.places.update(short if len(own) <= REMEMBERED else ())
+        return found
+
+    def unit(self, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """Values of the unit vector, (1 + log tf) weight, of the terms ``at``."""
+        raw = (1 + np.log(times)) * self.weights[at]
         length = np.sqrt((raw * raw).sum())
-        return known, at, raw / length if length else raw
+        return raw / length if length else raw
 
     def vector(self, words: Iterable[bytes]) -> dict[bytes, float]:
         """Unit vector of a text's words."""
         counts = Counter(words)
         own = list(counts)
-        known, _, values = self.unit(hashed(own), np.fromiter(counts.values(), float, len(own)))
+        known, at = self._known(hashed(own))
+        values = self.unit(at, np.fromiter(counts.values(), float, len(own))[known])
         return {own[k]: float(x) for k, x in zip(known, values, strict=True)}
 
     def nearest(self, query: dict[bytes, float], k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -124,13 +144,15 @@ class Index:
             common[i, own[own >= 0]] = x[own >= 0]
             rare[i] = self._sums(at[own < 0], x[own < 0], width)
         bound = common @ self.most + rare.reshape(len(queries), self.blocks, BLOCK).max(2)
-        single = common.astype(np.float32)
+        single, light = common.astype(np.float32), rare.astype(np.float32)
         scores = np.full(rare.shape, -1, np.float32)
+        product = np.empty((len(queries), BLOCK), np.float32)
 
         def read(blocks: np.ndarray) -> None:
             for b in blocks:
                 cells = slice(b * BLOCK, (b + 1) * BLOCK)
-                scores[:, cells] = single @ self.dense[b] + rare[:, cells]
+                np.matmul(single, self.dense[b], out=product)
+                np.add(product, light[:, cells], out=scores[:, cells])
 
         # The most promising blocks first, which tell what the others have to reach: the k-th
         # best score of each text so far.
@@ -182,7 +204,9 @@ class Index:
             for text in texts[first : first + BATCH]:
                 counts = Counter(terms(text))
                 times = np.fromiter(counts.values(), float, len(counts))
-                queries.append(self.unit(hashed(counts), times)[1:])
+                at = self.positions(list(counts))
+                known = at >= 0
+                queries.append((at[known], self.unit(at[known], times[known])))
             for near, cosine in self.search(queries, NEIGHBOURS):
                 votes = float((cosine * self.toxic[near]).sum() + PRIOR_WEIGHT * self.prior)
                 found.append((votes / (float(cosine.sum()) + PRIOR_WEIGHT), self.ids[near].tolist()))
@@ -197,7 +221,8 @@ def _built(
     index = Index(prior, words, weights)
     vectors = []
     for i, y, own, times in examples:
-        _, at, values = index.unit(own, times)
+        known, at = index._known(own)
+        values = index.unit(at, times[known])
         strongest = int(at[np.lexsort((at, -values))[0]]) if len(at) else -1
         vectors.append((strongest, i, y, at.astype(np.int32), values.astype(np.float32)))
     if not vectors:

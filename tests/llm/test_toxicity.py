@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from skyledger.llm import toxicity
 from skyledger.llm.toxicity import BLOCK, build_index, learn, score_toxicity, terms
 from tests.llm.corpus import AWKWARD, frame
 
@@ -133,3 +134,18 @@ def test_a_block_lies_together_and_more_neighbours_than_a_block_are_exact():
             plain[order[i]] = sum(x * other.get(w, 0.0) for w, x in own.items())
         assert np.allclose(np.sort(plain)[::-1][: len(cosines)], cosines, atol=1e-5)
         assert len(near) == min(k, int((plain > 0).sum()))
+
+
+def test_remembered_words_are_bounded_and_change_no_score(monkeypatch):
+    texts = [f"plain w{'abcdefgh'[k % 8]} v{'klmnop'[k % 6]} {'z' * (60 + k % 9)}" for k in range(90)]
+    examples = [(k, k % 2, Counter(terms(t))) for k, t in enumerate(texts[:60])]
+    counts = Counter(w for _, _, own in examples for w in own)
+    plain = build_index(examples, 60, counts, 0.5)
+    expected = plain.score(texts)
+    assert plain.score(texts) == expected
+    assert set(plain.places) == {w for t in texts for w in terms(t) if len(w) < 64}
+    monkeypatch.setattr(toxicity, "REMEMBERED", 5)
+    few = build_index(examples, 60, counts, 0.5)
+    for k, text in enumerate(texts):
+        assert few.score([text]) == expected[k : k + 1]
+        assert len(few.places) <= 5
