@@ -146,6 +146,16 @@ def withdraw(spark: SparkSession, root: str, batch: str) -> None:
         _put_entry(spark, root, (batch, held["first_id"], held["reserved_to"], False, None, None, None))
 
 
+def _numbered(placed: DataFrame, shifts: DataFrame, first: int, files: int) -> DataFrame:
+    """Staged rows with their ids.  The first id comes with the few rows of ``shifts``: as a
+    literal beside the records it would be part of the code that Spark generates for them, and
+    each batch would run code of its own that the JVM has not compiled yet."""
+    shifts = shifts.withColumn("_shift", F.col("_shift") + F.lit(first).cast("bigint"))
+    shifts = F.broadcast(shifts) if files <= BROADCAST_ROWS else shifts
+    number = F.when(F.col("outcome") == VALID, F.col("_row") + F.col("_shift"))
+    return placed.join(shifts, "_file").withColumn("id", number).drop("_file", "_row", "_shift")
+
+
 def write_batch(
     records: DataFrame, root: str, batch: str | None = None, keep_empty: bool = True
 ) -> BatchCounts:
@@ -177,10 +187,7 @@ def write_batch(
         return BatchCounts(batch, 0, 0, 0, 0)
 
     first, last = reserve(spark, root, batch, stored)
-    shifts = counted.select("_file", shift.alias("_shift"))
-    shifts = F.broadcast(shifts) if files <= BROADCAST_ROWS else shifts
-    number = F.when(F.col("outcome") == VALID, F.lit(first) + F.col("_row") + F.col("_shift"))
-    numbered = placed.join(shifts, "_file").withColumn("id", number).drop("_file", "_row", "_shift")
+    numbered = _numbered(placed, counted.select("_file", shift.alias("_shift")), first, files)
     numbered.sortWithinPartitions(*in_order).write.mode("overwrite").partitionBy(
         "outcome", "recorded_on"
     ).parquet(f"{root}/batch={batch}")

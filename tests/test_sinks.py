@@ -329,3 +329,16 @@ def test_parts_of_a_table_are_even_however_ids_lie(spark):
     assert sorted(r["id"] for r in rows.select("id").collect()) == ids
     few = stored.read_jdbc(spark, url, "obs", DERBY, partitions=6).filter("id <= 3")
     assert {r["id"] for r in few.collect()} == {1, 2, 3}
+
+
+def test_the_first_id_is_no_part_of_the_code_for_the_records(spark):
+    """Batches whose ids start elsewhere run the same generated code."""
+    placed = spark.range(6).selectExpr(
+        "CAST(id % 2 AS STRING) AS _file", "id DIV 2 AS _row", "IF(id < 4, 'valid', 'failed') AS outcome"
+    )
+    shifts = spark.createDataFrame([("0", 0), ("1", 2)], "_file string, _shift bigint")
+    numbered = table._numbered(placed, shifts, 987654, 2)
+    assert sorted(r["id"] for r in numbered.filter("outcome = 'valid'").collect()) == [987654, 987655, 987656, 987657]
+    assert numbered.filter("outcome = 'failed' AND id IS NOT NULL").isEmpty()
+    above, below = numbered._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)
+    assert "987654" in below and "987654" not in above
