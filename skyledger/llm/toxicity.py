@@ -1,10 +1,12 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine, weighted votes.
 
 Every term of every example counts; those that the labels favour weigh more.  Each
-example is a unit vector of term weights.  Rare terms have lists of their examples; common
-ones have a row of weights over all examples and their largest weight in each block of
-them.  Texts are searched in batches: a block is read if the bound of any of them in it
-reaches its nearest examples found so far, so these are exact.
+example is a unit vector of term weights.  Examples of like wording (of one language, say)
+form a group and lie together in blocks.  Terms common in a group have a row of weights in
+each of its blocks, and their largest weight in it; the rest of each term is a list of
+examples.  Texts are searched in batches, those of like wording together: a block is read
+for the texts whose bound in it reaches their nearest examples found so far, so these are
+exact.
 """
 
 from __future__ import annotations
@@ -12,7 +14,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from hashlib import blake2b
 from itertools import repeat
 
@@ -29,10 +30,21 @@ EXAMPLES = 40_000
 #: Examples of one block, neighbours that vote, and texts of one search.
 BLOCK = 128
 NEIGHBOURS = 15
-BATCH = 64
-#: Terms in over a share of 1 / COMMON of the examples are common: their rows hold at most
-#: COMMON times what their lists would.
-COMMON = 20
+#: Blocks that a text reads at first.
+FIRST = 16
+BATCH = 256
+#: Terms in over a share of 1 / COMMON of a group's examples are common there: their rows
+#: hold at most COMMON times what their lists would.
+COMMON = 16
+#: Groups at most, examples that each has on average at least, and what groups are told by:
+#: the most frequent terms, for centres so many examples and rounds.
+GROUPS = 8
+GROUPED = 8 * BLOCK
+FREQUENT = 1024
+SAMPLE = 4096
+ROUNDS = 8
+#: Bytes of the texts among which those of like wording are put together.
+PIECE = 8 << 20
 #: Covers the rounding of products in single precision.
 ROUNDING = 1e-5
 #: Words whose places are kept in mind, at most so many, of under 64 bytes each.
@@ -50,17 +62,9 @@ def terms(text: str) -> list[bytes]:
     return text.lower().encode().translate(_TABLE).split()
 
 
-@lru_cache(1 << 16)
-def _digest(word: bytes) -> bytes:
-    return blake2b(word, digest_size=8).digest()
-
-
 def hashed(words: Iterable[bytes]) -> np.ndarray:
     """64-bit hash of each word, as signed numbers."""
-    # A long word is not kept in mind.
-    return np.frombuffer(
-        b"".join(_digest(w) if len(w) < 64 else _digest.__wrapped__(w) for w in words), np.int64
-    )
+    return np.frombuffer(b"".join([blake2b(w, digest_size=8).digest() for w in words]), np.int64)
 
 
 @dataclass
@@ -73,22 +77,46 @@ class Index:
     weights: np.ndarray
     ids: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     toxic: np.ndarray = field(default_factory=lambda: np.empty(0))
-    #: Row of each common term, -1 for the others; weights by block, row and example of the
-    #: block; the largest by row and block.
+    #: Where each group's blocks and rows start (and the end).
+    bounds: list[int] = field(default_factory=list)
+    rows: list[int] = field(default_factory=list)
+    #: By term and group the row of a common term, -1 for the others; the mean weight of
+    #: each row (of none, at last).
     number: np.ndarray | None = None
-    dense: np.ndarray | None = None
-    most: np.ndarray | None = None
-    #: Where each term's list starts (and the end), its examples and weights.
+    centre: np.ndarray | None = None
+    #: Of each group the weights by block, row and example of the block; the largest by row
+    #: and block.
+    cells: list[np.ndarray] = field(default_factory=list)
+    tops: list[np.ndarray] = field(default_factory=list)
+    #: Where each term's list starts (and the end), and the lists: examples of groups in
+    #: which it isn't common, each (upper half) with its weight in one 64-bit cell.
     starts: np.ndarray | None = None
-    owner: np.ndarray | None = None
-    values: np.ndarray | None = None
+    lists: np.ndarray | None = None
     #: Positions of words met so far, -1 for those that are no terms.
     places: dict[bytes, int] = field(default_factory=dict)
 
+    def __setstate__(self, state: dict) -> None:
+        # Arrays that numpy sets up itself lie in large pages, those of a pickle don't.
+        for name, value in state.items():
+            state[name] = value.copy() if isinstance(value, np.ndarray) else value
+        self.__dict__.update(state)
+        self.cells = [np.ascontiguousarray(c).copy() for c in self.cells]
+
     @property
     def blocks(self) -> int:
         return -(-len(self.ids) // BLOCK)
 
+    @property
+    def dense(self) -> np.ndarray:
+        """Weights of all blocks in one array, rows filled up to the most of a group."""
+        rows = max(np.diff(self.rows))
+        return np.concatenate([np.pad(c, ((0, 0), (0, rows - c.shape[1]), (0, 0))) for c in self.cells])
+
+    @property
+    def most(self) -> np.ndarray:
+        """The largest weights by row and block, in the rows of ``dense``."""
+        return self.dense.max(2).T
+
     def _known(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are terms, and their positions."""
         at = np.searchsorted(self.words, words)
@@ -97,18 +125,21 @@ class Index:
         return known, at[known]
 
     def positions(self, words: list[bytes]) -> np.ndarray:
-        """Position of each of some distinct words, -1 for those that are no terms."""
+        """Position of each word, -1 for those that are no terms."""
         found = np.fromiter(map(self.places.get, words, repeat(-2)), np.int64, len(words))
         new = np.flatnonzero(found == -2)
         if len(new):
-            own = [words[k] for k in new]
+            unseen = [words[k] for k in new.tolist()]
+            own = list(dict.fromkeys(unseen))
             known, at = self._known(hashed(own))
-            found[new] = -1
-            found[new[known]] = at
+            place = np.full(len(own), -1)
+            place[known] = at
+            places = dict(zip(own, place.tolist(), strict=True))
+            found[new] = np.fromiter(map(places.__getitem__, unseen), np.int64, len(unseen))
             if len(self.places) + len(own) > REMEMBERED:
                 self.places.clear()
-            short = ((w, at) for w, at in zip(own, found[new].tolist(), strict=True) if len(w) < 64)
-            self.places.update(short if len(own) <= REMEMBERED else ())
+            if len(own) <= REMEMBERED:
+                self.places.update((w, at) for w, at in places.items() if len(w) < 64)
         return found
 
     def unit(self, at: np.ndarray, times: np.ndarray) -> np.ndarray:
@@ -137,82 +168,139 @@ class Index:
         if not len(self.ids):
             return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
         width = self.blocks * BLOCK
+        group = np.repeat(np.arange(len(self.cells)), np.diff(self.bounds))
+        rows = [slice(a, b) for a, b in zip(self.rows, self.rows[1:], strict=False)]
         rare = np.empty((len(queries), width))
-        common = np.zeros((len(queries), len(self.most)))
+        common = np.zeros((len(queries), self.rows[-1]))
         for i, (at, x) in enumerate(queries):
-            own = self.number[at]
-            common[i, own[own >= 0]] = x[own >= 0]
-            rare[i] = self._sums(at[own < 0], x[own < 0], width)
-        bound = common @ self.most + rare.reshape(len(queries), self.blocks, BLOCK).max(2)
-        single, light = common.astype(np.float32), rare.astype(np.float32)
+            places = self.number[at]
+            own = places >= 0
+            common[i, places[own]] = np.repeat(x, own.sum(1))
+            rare[i] = self._sums(at, x, width)
+        bound = rare.reshape(len(queries), self.blocks, BLOCK).max(2)
+        for g, top in enumerate(self.tops):
+            bound[:, self.bounds[g] : self.bounds[g + 1]] += common[:, rows[g]] @ top
+        single = common.astype(np.float32)
         scores = np.full(rare.shape, -1, np.float32)
-        product = np.empty((len(queries), BLOCK), np.float32)
 
-        def read(blocks: np.ndarray) -> None:
-            for b in blocks:
+        def read(wanted: np.ndarray) -> None:
+            """``wanted``: texts that need a block, by text and block."""
+            needed = wanted.sum(0)
+            for b in np.flatnonzero(needed).tolist():
                 cells = slice(b * BLOCK, (b + 1) * BLOCK)
-                np.matmul(single, self.dense[b], out=product)
-                np.add(product, light[:, cells], out=scores[:, cells])
+                # A few products too many cost less than taking the others apart.
+                some = slice(None) if 4 * needed[b] > 3 * len(queries) else np.flatnonzero(wanted[:, b])
+                weights = self.cells[g := group[b]][b - self.bounds[g]]
+                scores[some, cells] = single[some, rows[g]] @ weights + rare[some, cells]
 
         # The most promising blocks first, which tell what the others have to reach: the k-th
         # best score of each text so far.
-        first = np.unique(np.argsort(-bound, 1, kind="stable")[:, : 1 + k // BLOCK])
-        read(first)
+        first = np.argsort(-bound, 1, kind="stable")[:, : max(FIRST, 1 + k // BLOCK)]
+        promising = np.zeros(bound.shape, bool)
+        np.put_along_axis(promising, first, True, 1)
+        read(promising)
         least = np.zeros(len(queries))
         if width > k:
-            found = scores.reshape(len(queries), self.blocks, BLOCK)[:, first].reshape(len(queries), -1)
+            found = np.take_along_axis(
+                scores.reshape(bound.shape + (BLOCK,)), first[:, :, None], 1
+            ).reshape(len(queries), -1)
             place = found.shape[1] - k
             least = np.maximum(np.partition(found, place)[:, place], 0)
-        wanted = (bound + ROUNDING >= least[:, None]).any(0)
-        wanted[first] = False
-        read(np.flatnonzero(wanted))
+        read((bound + ROUNDING >= least[:, None]) & ~promising)
         nearest = []
         for i in range(len(queries)):
             able = np.flatnonzero(scores[i] >= least[i] - ROUNDING)
             if len(able) > k:
                 own = scores[i, able]
                 able = able[own >= np.partition(own, len(own) - k)[len(own) - k] - ROUNDING]
-            nearest.append(self._ordered(able, rare[i], common[i], k))
+            nearest.append(self._ordered(able, group[able // BLOCK], rare[i], common[i], k))
         return nearest
 
     def _sums(self, at: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
-        """Products of the rare terms ``at`` with every example."""
+        """Products of the lists of the terms ``at`` with every example."""
         first, end = self.starts[at], self.starts[at + 1]
-        lists = [slice(a, b) for a, b in zip(first.tolist(), end.tolist(), strict=True)]
-        if not lists:
-            return np.zeros(width)
-        products = np.concatenate([self.values[own] for own in lists]) * np.repeat(x, end - first)
-        return np.bincount(np.concatenate([self.owner[own] for own in lists]), products, width)
+        held = [self.lists[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+        cells = np.concatenate([*held, np.empty(0, np.int64)])
+        products = cells.view(np.float32)[::2] * np.repeat(x, end - first)
+        return np.bincount(cells >> 32, products, width)
 
     def _ordered(
-        self, able: np.ndarray, rare: np.ndarray, common: np.ndarray, k: int
+        self, able: np.ndarray, group: np.ndarray, rare: np.ndarray, common: np.ndarray, k: int
     ) -> tuple[np.ndarray, np.ndarray]:
         """The k nearest of some examples, in double precision, whatever the batch."""
-        own = np.flatnonzero(common)
-        cells = self.dense[able // BLOCK, own[:, None], able % BLOCK]
-        full = rare[able] + (cells * common[own, None]).sum(0)
+        full = rare[able]
+        for g in set(group.tolist()):
+            some, first, end = np.flatnonzero(group == g), self.rows[g], self.rows[g + 1]
+            own = np.flatnonzero(common[first:end])
+            block = (able[some] // BLOCK - self.bounds[g]) * (end - first)
+            cells = self.cells[g].reshape(-1).take((block + own[:, None]) * BLOCK + able[some] % BLOCK)
+            full[some] += (cells * common[first + own, None]).sum(0)
         order = np.lexsort((able, -full))[:k]
         order = order[full[order] > 0]
         return able[order], full[order]
 
+    def _alike(self, at: np.ndarray, x: np.ndarray) -> int:
+        """The group whose mean a vector is closest to."""
+        return int((x @ self.centre[self.number[at]]).argmax())
+
     def score(self, texts: list[str]) -> list[tuple[float, list[int]]]:
         """Of each text the share of toxic votes, each neighbour's vote weighing its
         cosine, and the neighbours' ids."""
-        found = []
+        queries = []
         for first in range(0, len(texts), BATCH):
-            queries = []
-            for text in texts[first : first + BATCH]:
-                counts = Counter(terms(text))
-                times = np.fromiter(counts.values(), float, len(counts))
-                at = self.positions(list(counts))
-                known = at >= 0
-                queries.append((at[known], self.unit(at[known], times[known])))
-            for near, cosine in self.search(queries, NEIGHBOURS):
+            words = [terms(text) for text in texts[first : first + BATCH]]
+            text_of = np.repeat(np.arange(len(words)), [len(own) for own in words])
+            at = self.positions([w for own in words for w in own])
+            known = at >= 0
+            met, times = np.unique(text_of[known] * len(self.words) + at[known], return_counts=True)
+            ends = np.searchsorted(met, np.arange(len(words) + 1) * len(self.words)).tolist()
+            at = met % max(len(self.words), 1)
+            for a, b in zip(ends, ends[1:], strict=False):
+                queries.append((at[a:b], self.unit(at[a:b], times[a:b])))
+        order = list(range(len(texts)))
+        if len(self.ids):
+            alike = [self._alike(*query) for query in queries]
+            order.sort(key=alike.__getitem__)
+        found: list[tuple[float, list[int]]] = [(0.0, [])] * len(texts)
+        for first in range(0, len(texts), BATCH):
+            batch = order[first : first + BATCH]
+            for i, (near, cosine) in zip(batch, self.search([queries[i] for i in batch], NEIGHBOURS), strict=True):
                 votes = float((cosine * self.toxic[near]).sum() + PRIOR_WEIGHT * self.prior)
-                found.append((votes / (float(cosine.sum()) + PRIOR_WEIGHT), self.ids[near].tolist()))
+                found[i] = votes / (float(cosine.sum()) + PRIOR_WEIGHT), self.ids[near].tolist()
         return found
 
 
+def _grouped(vectors: list[tuple[np.ndarray, np.ndarray]], size: np.ndarray) -> np.ndarray:
+    """Group of each vector (terms and values) by spherical k-means over the most frequent
+    terms.  Groups settle where examples lie, never what is found."""
+    groups = min(GROUPS, len(vectors) // GROUPED)
+    if groups < 2:
+        return np.zeros(len(vectors), int)
+    frequent = np.argsort(-size, kind="stable")[:FREQUENT]
+    column = np.full(len(size), -1)
+    column[frequent] = np.arange(len(frequent))
+
+    def rows(part: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        own = np.concatenate([column[at] for at, _ in part])
+        row = np.repeat(np.arange(len(part)), [len(at) for at, _ in part])
+        made = np.zeros((len(part), len(frequent)), np.float32)
+        made[row[own >= 0], own[own >= 0]] = np.concatenate([x for _, x in part])[own >= 0]
+        return made / np.maximum(np.linalg.norm(made, axis=1, keepdims=True), 1e-9)
+
+    sample = rows(vectors[:: -(-len(vectors) // SAMPLE)])
+    rng = np.random.default_rng(0)
+    centres = sample[:1]
+    for _ in range(groups - 1):
+        far = np.maximum(1 - (sample @ centres.T).max(1), 0).astype(float) ** 2 + 1e-12
+        centres = np.vstack([centres, sample[rng.choice(len(sample), p=far / far.sum())]])
+    for _ in range(ROUNDS):
+        nearest = (sample @ centres.T).argmax(1)
+        sums = np.stack([sample[nearest == g].sum(0) for g in range(groups)])
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+    parts = (vectors[first : first + SAMPLE] for first in range(0, len(vectors), SAMPLE))
+    return np.concatenate([(rows(part) @ centres.T).argmax(1) for part in parts])
+
+
 def _built(
     examples: Iterable[tuple[int, int, np.ndarray, np.ndarray]], words: np.ndarray,
     weights: np.ndarray, prior: float,
@@ -227,26 +315,58 @@ def _built(
         vectors.append((strongest, i, y, at.astype(np.int32), values.astype(np.float32)))
     if not vectors:
         return index
-    # Examples with the same strongest term lie together: block maxima are then close.
-    vectors.sort(key=lambda v: v[:2])
+    # Examples of a group lie together, in it those with the same strongest term: block
+    # maxima are then close.
+    vectors.sort(key=lambda v: v[1])
+    size = np.bincount(np.concatenate([v[3] for v in vectors]), minlength=len(words))
+    group = _grouped([v[3:] for v in vectors], size)
+    order = sorted(range(len(vectors)), key=lambda k: (group[k], vectors[k][:2]))
+    vectors = [vectors[k] for k in order]
     index.ids = np.array([v[1] for v in vectors], np.int64)
     index.toxic = np.array([v[2] for v in vectors], float)
-    owner = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[3]) for v in vectors])
+    # A block with examples of two groups goes with its first one.
+    blocks_of = group[order][::BLOCK]
+    edges = np.flatnonzero(np.diff(blocks_of)) + 1
+    index.bounds = [0, *edges.tolist(), index.blocks]
+    lengths = np.array([len(v[3]) for v in vectors])
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    owner = np.repeat(np.arange(len(vectors), dtype=np.int32), lengths)
     at = np.concatenate([v[3] for v in vectors])
     values = np.concatenate([v[4] for v in vectors])
     del vectors
-    size = np.bincount(at, minlength=len(words))
-    width = index.blocks * BLOCK
-    common = size * COMMON > width
-    index.number = np.where(common, np.cumsum(common) - 1, -1).astype(np.int32)
-    index.dense = np.zeros((index.blocks, int(common.sum()), BLOCK), np.float32)
-    own = common[at]
-    index.dense[owner[own] // BLOCK, index.number[at[own]], owner[own] % BLOCK] = values[own]
-    index.most = np.ascontiguousarray(index.dense.max(2).T, float)
-    index.starts = np.concatenate([[0], np.cumsum(np.where(common, 0, size))])
-    at, owner, values = at[~own], owner[~own], values[~own]
+    parts = [
+        slice(ends[a * BLOCK], ends[min(b * BLOCK, len(lengths))])
+        for a, b in zip(index.bounds, index.bounds[1:], strict=False)
+    ]
+    index.number = np.full((len(words), len(parts)), -1, np.int32)
+    index.rows = [0]
+    centres = []
+    size = np.zeros(len(words), int)
+    listed = np.ones(len(at), bool)
+    for g, part in enumerate(parts):
+        blocks = index.bounds[g + 1] - index.bounds[g]
+        own = np.bincount(at[part], minlength=len(words))
+        common = np.flatnonzero(own * COMMON > blocks * BLOCK)
+        index.number[common, g] = np.arange(len(common)) + index.rows[g]
+        row = index.number[at[part], g] - index.rows[g]
+        k = np.flatnonzero(row >= 0)
+        listed[part] = row < 0
+        row, example, x = row[k], owner[part][k] - index.bounds[g] * BLOCK, values[part][k]
+        cells = np.zeros((blocks, len(common), BLOCK), np.float32)
+        cells[example // BLOCK, row, example % BLOCK] = x
+        mean = np.bincount(row, x, len(common))
+        centres.append(mean / (np.linalg.norm(mean) or 1))
+        index.cells.append(cells)
+        index.tops.append(np.ascontiguousarray(cells.max(2).T, float))
+        index.rows.append(index.rows[g] + len(common))
+        own[common] = 0
+        size += own
+    index.centre = np.concatenate([*centres, [0.0]])
+    index.starts = np.concatenate([[0], np.cumsum(size)])
+    at, owner, values = at[listed], owner[listed], values[listed]
     order = np.argsort(at, kind="stable")
-    index.owner, index.values = owner[order], values[order]
+    index.lists = np.empty(len(at), np.int64)
+    index.lists.view(np.int32)[1::2], index.lists.view(np.float32)[::2] = owner[order], values[order]
     return index
 
 
@@ -357,7 +477,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES)
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, PIECE):
                 found = own.score(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import zlib
 from collections import Counter
 
@@ -149,3 +150,46 @@ def test_remembered_words_are_bounded_and_change_no_score(monkeypatch):
     for k, text in enumerate(texts):
         assert few.score([text]) == expected[k : k + 1]
         assert len(few.places) <= 5
+
+
+def _two_languages(monkeypatch):
+    """Index of texts of two vocabularies, some words shared, with rows for each group."""
+    monkeypatch.setattr(toxicity, "GROUPED", BLOCK)
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefghij"))
+    words = [["".join(letters[rng.integers(0, 10, 4)]) + end for _ in range(300)] for end in ("x", "y")]
+    words[1][:9] = words[0][:9]
+    texts = [" ".join(words[k % 2][i] for i in rng.zipf(1.3, 40) % 300) for k in range(9 * BLOCK + 5)]
+    counts = [Counter(terms(t)) for t in texts]
+    documents = Counter(w for own in counts for w in own)
+    examples = [(k, k % 3 == 0, own) for k, own in enumerate(counts)]
+    return build_index(examples, len(texts), documents, 0.3), texts, counts
+
+
+def test_groups_have_rows_of_their_own_and_stay_exact(monkeypatch):
+    index, texts, counts = _two_languages(monkeypatch)
+    assert len(index.cells) > 1 and index.bounds[-1] == index.blocks
+    for cells in index.cells:
+        # A group has no rows for terms that are common elsewhere alone.
+        assert all((cells[:, row] > 0).any() for row in range(cells.shape[1]))
+    vectors = [index.vector(own.elements()) for own in counts]
+    order = {i: at for at, i in enumerate(index.ids.tolist())}
+    for own in [*vectors[:6], {**vectors[0], **vectors[1]}]:
+        plain = np.zeros(len(texts))
+        for i, other in enumerate(vectors):
+            plain[order[i]] = sum(x * other.get(w, 0.0) for w, x in own.items())
+        near, cosines = index.nearest(own, 15)
+        assert np.allclose(np.sort(plain)[::-1][:15], cosines, atol=1e-5)
+        assert np.allclose(plain[near], cosines, atol=1e-5)
+
+
+def test_scores_are_the_same_whatever_the_batch_and_the_groups(monkeypatch):
+    index, texts, _ = _two_languages(monkeypatch)
+    expected = index.score(texts[:40])
+    assert [index.score([t])[0] for t in texts[:40]] == expected
+    assert pickle.loads(pickle.dumps(index)).score(texts[:40]) == expected
+    monkeypatch.setattr(toxicity, "GROUPS", 1)
+    plain, _, _ = _two_languages(monkeypatch)
+    assert len(plain.cells) == 1
+    scores = [s for s, _ in plain.score(texts[:40])]
+    assert scores == pytest.approx([s for s, _ in expected], abs=1e-6)
