@@ -49,6 +49,7 @@ PIECE = 8 << 20
 ROUNDING = 1e-5
 #: Words whose places are kept in mind, at most so many, of under 64 bytes each.
 REMEMBERED = 1 << 18
+LONG = 32
 #: Weight of the prior beside the neighbours' similarities.
 PRIOR_WEIGHT = 0.5
 THRESHOLD = 0.3
@@ -80,12 +81,14 @@ class Index:
     #: Where each group's blocks and rows start (and the end).
     bounds: list[int] = field(default_factory=list)
     rows: list[int] = field(default_factory=list)
-    #: By term and group the row of a common term, -1 for the others; the mean weight of
-    #: each row (of none, at last).
+    #: Of each term its line in ``number``, the first one for terms that are common nowhere;
+    #: by line and group the row, or -1; the mean weight of each row (of none, at last).
+    line: np.ndarray | None = None
     number: np.ndarray | None = None
     centre: np.ndarray | None = None
-    #: Of each group the weights by block, row and example of the block; the largest by row
-    #: and block.
+    #: Of each group the shape, and the places and weights that aren't 0, until these are
+    #: laid out: weights by block, row and example of the block; the largest by row and block.
+    filled: list[tuple[tuple[int, ...], np.ndarray, np.ndarray]] = field(default_factory=list)
     cells: list[np.ndarray] = field(default_factory=list)
     tops: list[np.ndarray] = field(default_factory=list)
     #: Where each term's list starts (and the end), and the lists: examples of groups in
@@ -94,13 +97,27 @@ class Index:
     lists: np.ndarray | None = None
     #: Positions of words met so far, -1 for those that are no terms.
     places: dict[bytes, int] = field(default_factory=dict)
+    #: Lists met so far of over ``LONG`` examples; room for the sums and scores of a batch.
+    kept: dict[int, np.ndarray] = field(default_factory=dict)
+    room: tuple[np.ndarray, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"places": {}, "kept": {}, "room": None}
 
     def __setstate__(self, state: dict) -> None:
         # Arrays that numpy sets up itself lie in large pages, those of a pickle don't.
         for name, value in state.items():
             state[name] = value.copy() if isinstance(value, np.ndarray) else value
         self.__dict__.update(state)
-        self.cells = [np.ascontiguousarray(c).copy() for c in self.cells]
+
+    def lay_out(self) -> None:
+        """Blocks from what isn't 0 in them, which is what workers are sent."""
+        for shape, place, x in self.filled:
+            cells = np.zeros(shape, np.float32)
+            cells.reshape(-1)[place] = x
+            self.cells.append(cells)
+            self.tops.append(np.ascontiguousarray(cells.max(2).T, float))
+        self.filled = []
 
     @property
     def blocks(self) -> int:
@@ -109,6 +126,7 @@ class Index:
     @property
     def dense(self) -> np.ndarray:
         """Weights of all blocks in one array, rows filled up to the most of a group."""
+        self.lay_out()
         rows = max(np.diff(self.rows))
         return np.concatenate([np.pad(c, ((0, 0), (0, rows - c.shape[1]), (0, 0))) for c in self.cells])
 
@@ -167,13 +185,17 @@ class Index:
         """``nearest`` of several vectors (terms and values)."""
         if not len(self.ids):
             return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+        self.lay_out()
         width = self.blocks * BLOCK
         group = np.repeat(np.arange(len(self.cells)), np.diff(self.bounds))
         rows = [slice(a, b) for a, b in zip(self.rows, self.rows[1:], strict=False)]
-        rare = np.empty((len(queries), width))
+        if self.room is None or len(self.room[0]) < len(queries):
+            self.room = np.empty((len(queries), width)), np.empty((len(queries), width), np.float32)
+        rare, scores = (held[: len(queries)] for held in self.room)
+        scores.fill(-1)
         common = np.zeros((len(queries), self.rows[-1]))
         for i, (at, x) in enumerate(queries):
-            places = self.number[at]
+            places = self.number[self.line[at]]
             own = places >= 0
             common[i, places[own]] = np.repeat(x, own.sum(1))
             rare[i] = self._sums(at, x, width)
@@ -181,7 +203,6 @@ class Index:
         for g, top in enumerate(self.tops):
             bound[:, self.bounds[g] : self.bounds[g + 1]] += common[:, rows[g]] @ top
         single = common.astype(np.float32)
-        scores = np.full(rare.shape, -1, np.float32)
 
         def read(wanted: np.ndarray) -> None:
             """``wanted``: texts that need a block, by text and block."""
@@ -209,7 +230,7 @@ class Index:
         read((bound + ROUNDING >= least[:, None]) & ~promising)
         nearest = []
         for i in range(len(queries)):
-            able = np.flatnonzero(scores[i] >= least[i] - ROUNDING)
+            able = np.flatnonzero(scores[i] >= np.float32(least[i] - ROUNDING))
             if len(able) > k:
                 own = scores[i, able]
                 able = able[own >= np.partition(own, len(own) - k)[len(own) - k] - ROUNDING]
@@ -217,13 +238,20 @@ class Index:
         return nearest
 
     def _sums(self, at: np.ndarray, x: np.ndarray, width: int) -> np.ndarray:
-        """Products of the lists of the terms ``at`` with every example."""
+        """Sums of products of the lists of the terms ``at`` with every example."""
         first, end = self.starts[at], self.starts[at + 1]
-        held = [self.lists[a:b] for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+        kept = self.kept
+        held = [kept[t] if t in kept else self._list(t) for t in at.tolist()]
         cells = np.concatenate([*held, np.empty(0, np.int64)])
         products = cells.view(np.float32)[::2] * np.repeat(x, end - first)
         return np.bincount(cells >> 32, products, width)
 
+    def _list(self, term: int) -> np.ndarray:
+        own = self.lists[self.starts[term] : self.starts[term + 1]]
+        if len(own) > LONG and len(self.kept) < REMEMBERED:
+            self.kept[term] = own
+        return own
+
     def _ordered(
         self, able: np.ndarray, group: np.ndarray, rare: np.ndarray, common: np.ndarray, k: int
     ) -> tuple[np.ndarray, np.ndarray]:
@@ -241,7 +269,7 @@ class Index:
 
     def _alike(self, at: np.ndarray, x: np.ndarray) -> int:
         """The group whose mean a vector is closest to."""
-        return int((x @ self.centre[self.number[at]]).argmax())
+        return int((x @ self.centre[self.number[self.line[at]]]).argmax())
 
     def score(self, texts: list[str]) -> list[tuple[float, list[int]]]:
         """Of each text the share of toxic votes, each neighbour's vote weighing its
@@ -338,29 +366,35 @@ def _built(
         slice(ends[a * BLOCK], ends[min(b * BLOCK, len(lengths))])
         for a, b in zip(index.bounds, index.bounds[1:], strict=False)
     ]
-    index.number = np.full((len(words), len(parts)), -1, np.int32)
     index.rows = [0]
-    centres = []
+    commons, centres = [], []
     size = np.zeros(len(words), int)
     listed = np.ones(len(at), bool)
     for g, part in enumerate(parts):
         blocks = index.bounds[g + 1] - index.bounds[g]
         own = np.bincount(at[part], minlength=len(words))
         common = np.flatnonzero(own * COMMON > blocks * BLOCK)
-        index.number[common, g] = np.arange(len(common)) + index.rows[g]
-        row = index.number[at[part], g] - index.rows[g]
+        row_of = np.full(len(words), -1, np.int32)
+        row_of[common] = np.arange(len(common))
+        row = row_of[at[part]]
         k = np.flatnonzero(row >= 0)
         listed[part] = row < 0
         row, example, x = row[k], owner[part][k] - index.bounds[g] * BLOCK, values[part][k]
-        cells = np.zeros((blocks, len(common), BLOCK), np.float32)
-        cells[example // BLOCK, row, example % BLOCK] = x
+        shape = (blocks, len(common), BLOCK)
+        place = (example.astype(np.int64) // BLOCK * len(common) + row) * BLOCK + example % BLOCK
+        index.filled.append((shape, place.astype(np.min_scalar_type(int(np.prod(shape)))), x))
         mean = np.bincount(row, x, len(common))
         centres.append(mean / (np.linalg.norm(mean) or 1))
-        index.cells.append(cells)
-        index.tops.append(np.ascontiguousarray(cells.max(2).T, float))
+        commons.append(common)
         index.rows.append(index.rows[g] + len(common))
         own[common] = 0
         size += own
+    anywhere = np.unique(np.concatenate(commons))
+    index.line = np.zeros(len(words), np.int32)
+    index.line[anywhere] = np.arange(len(anywhere)) + 1
+    index.number = np.full((len(anywhere) + 1, len(parts)), -1, np.int32)
+    for g, common in enumerate(commons):
+        index.number[index.line[common], g] = np.arange(len(common)) + index.rows[g]
     index.centre = np.concatenate([*centres, [0.0]])
     index.starts = np.concatenate([[0], np.cumsum(size)])
     at, owner, values = at[listed], owner[listed], values[listed]

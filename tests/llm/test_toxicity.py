@@ -168,7 +168,11 @@ def _two_languages(monkeypatch):
 
 def test_groups_have_rows_of_their_own_and_stay_exact(monkeypatch):
     index, texts, counts = _two_languages(monkeypatch)
+    sent = len(pickle.dumps(index))
+    index.lay_out()
     assert len(index.cells) > 1 and index.bounds[-1] == index.blocks
+    # What isn't 0 alone is sent to workers.
+    assert sent < len(pickle.dumps(index))
     for cells in index.cells:
         # A group has no rows for terms that are common elsewhere alone.
         assert all((cells[:, row] > 0).any() for row in range(cells.shape[1]))
@@ -190,6 +194,6 @@ def test_scores_are_the_same_whatever_the_batch_and_the_groups(monkeypatch):
     assert pickle.loads(pickle.dumps(index)).score(texts[:40]) == expected
     monkeypatch.setattr(toxicity, "GROUPS", 1)
     plain, _, _ = _two_languages(monkeypatch)
-    assert len(plain.cells) == 1
     scores = [s for s, _ in plain.score(texts[:40])]
+    assert len(plain.cells) == 1
     assert scores == pytest.approx([s for s, _ in expected], abs=1e-6)
