@@ -81,6 +81,49 @@ def test_scores_are_bm25():
         assert index.scores(seed) == pytest.approx(expected)
 
 
+def test_ranking_goes_on_past_the_best():
+    """Ninety rests share the seed's token, every second one; none else gets into its window."""
+    rests = [np.array([7] if k % 2 == 0 else [8], np.uint32) for k in range(200)]
+    first = next(packing.fill(rests, 90))
+    assert [r for r, _, _ in first] == [2 * k for k in range(90)]
+
+
+def test_every_token_of_the_query_counts():
+    """What tells the neighbours apart is the commonest of forty shared tokens."""
+    own = list(range(100, 140))
+    rests = [np.array([1, 2, *own], np.uint32), *(np.array([t, 3], np.uint32) for t in own)]
+    rests += [np.array([1, 3], np.uint32)] * 3 + [np.array([4, 3], np.uint32)] * 3
+    scores = packing.ShardIndex(rests).scores(0)
+    assert all(scores[1:44] > 0) and all(scores[44:] == 0)
+
+
+def test_dense_rows_score_as_postings(monkeypatch):
+    rng = np.random.default_rng(2)
+    rests = [rng.integers(0, 60, rng.integers(1, 80)).astype(np.uint32) for _ in range(300)]
+    index = packing.ShardIndex(rests)
+    monkeypatch.setattr(packing, "DENSE_SHARE", 1)
+    plain = packing.ShardIndex(rests)
+    assert len(index._dense) and not len(plain._dense)
+    for seed in range(20):
+        assert index.scores(seed) == pytest.approx(plain.scores(seed), rel=1e-5)
+
+
+def test_neighbours_meet_in_a_corpus_of_many_shards(spark, library, monkeypatch):
+    """A topic's documents fill windows together, however many shards there are and wherever
+    the documents stand; of one token in all of them no shard gets more than its share."""
+    monkeypatch.setattr(packing, "SHARD", 60)
+    names = ["violin", "harbor", "tomato", "glacier", "pepper", "castle", "rocket", "forest", "marble", "dragon",
+             "camera", "bridge", "winter", "planet", "silver", "orange", "button", "ladder", "pillow", "guitar"]
+    rows = [(k, f" {names[k % 20]}" * 8 + " the of and to in" * (3 + k % 4)) for k in range(1200)]
+    found = packing.pack(frame(spark, rows), window=128).collect()
+    windows = defaultdict(lambda: defaultdict(int))
+    for r in found:
+        windows[r["sequence_id"]][r["doc_id"] % 20] += r["length"]
+    checked(found, rows, library)
+    own = sum(max(w.values()) for w in windows.values()) / sum(r["length"] for r in found)
+    assert own > 0.9
+
+
 def test_documents_table(spark, library):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     texts = [(r["doc_id"], r["text"]) for r in docs.collect()]
