@@ -17,7 +17,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm.common import one_of_each, pieces, texts, utf8, wrapped
@@ -32,6 +32,8 @@ LEAF = 16
 TREE = 1024
 #: Sizes of one band of a large cluster differ by this ratio at most.
 BAND = 1.05
+#: Size classes that one way to cut sets into groups serves, besides the next one.
+CLASSES = 3
 #: Groups beyond those that a pair may differ in, at least, and as a share: a text leaves
 #: its emptiest groups out.  An empty group is no group: a linked pair escapes if all its
 #: other groups differ, which has a chance below 1e-6 for sets of ten and far less for
@@ -64,13 +66,19 @@ class Rule:
         """In how many elements linked sets of this total size may differ at most."""
         return total * (100 - self.percent) // (100 + self.percent)
 
-    def most_differing(self, size_class: int) -> int:
-        """In how many elements sets may differ whose larger one is of this class."""
-        return self.differing(2 * (self.bounds[size_class + 1] - 1))
+    def most_differing(self, n: int) -> int:
+        """In how many elements a set of ``n`` may differ from any set that it links with."""
+        return self.differing(n + n * 100 // self.percent)
 
-    def groups(self, size_class: int) -> int:
-        """Groups for such pairs; 0 if the sets must be equal."""
-        most = self.most_differing(size_class)
+    def schemes(self, n: int) -> list[int]:
+        """Numbers of the ways to cut a set of this size into groups.  One serves ``CLASSES``
+        size classes and the next, so linked sets have one in common."""
+        own, rest = divmod(self.size_class(n), CLASSES)
+        return [own] if rest or not own else [own - 1, own]
+
+    def groups(self, scheme: int) -> int:
+        """Groups of a scheme; 0 if its sets must be equal to link."""
+        most = self.most_differing(self.bounds[CLASSES * (scheme + 1) + 1] - 1)
         return most + 1 + max(SPARE, int(SPARE_SHARE * most)) if most else 0
 
     def links(self, shared, total):
@@ -89,7 +97,8 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, n: int) -> Iterator[np.nd
             rolled[: len(word) - k] = mix(rolled[: len(word) - k] ^ word[k:])
     for a, b in itertools.pairwise(before.tolist()):
         if b - a >= n:
-            yield np.unique(rolled[a : b - n + 1])
+            own = np.sort(rolled[a : b - n + 1])
+            yield own[_firsts(own)]
         elif b > a:
             short = np.uint64(b - a)
             for w in word[a:b]:
@@ -99,6 +108,13 @@ def shingle_sets(data: np.ndarray, starts: np.ndarray, n: int) -> Iterator[np.nd
             yield np.empty(0, np.uint64)
 
 
+def _firsts(sorted_values: np.ndarray) -> np.ndarray:
+    """Where each of the sorted values comes first."""
+    new = np.ones(len(sorted_values), bool)
+    np.not_equal(sorted_values[1:], sorted_values[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def identity(shingles: np.ndarray) -> int:
     """A set's 64-bit name, the same for equal sets."""
     named = mix(mix(shingles).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(shingles)))
@@ -106,36 +122,37 @@ def identity(shingles: np.ndarray) -> int:
 
 
 def group_hashes(shingles: np.ndarray, rule: Rule, common: np.ndarray) -> np.ndarray:
-    """Hashes of the set's weightiest groups, for its own size class and the next.
+    """Hashes of the set's weightiest groups, in each of its schemes.
 
-    A group weighs as many shingles as it has that are not ``common`` (sorted).  With D
-    shingles that may differ, D + 1 groups would do; the set tells those and all that
-    weigh as much.  Of two linked sets, take the one whose lightest group told is heavier:
-    one of its D + 1 groups is the same in the other, and heavy enough to be told there.
+    A group weighs as many shingles as it has that are not ``common`` (sorted); what weighs
+    the same is ordered by its hash.  With D shingles that may differ from any linked set, a
+    set tells D + 1 groups.  Of two linked sets, take the one whose last group told comes
+    earlier in that order: one of its groups told is the same in the other, and told there.
     """
-    own, spread = rule.size_class(len(shingles)), mix(shingles ^ np.uint64(0x5BD1E995))
-    rare = np.ones(len(shingles))
+    most = rule.most_differing(len(shingles))
+    if not most:
+        return np.empty(0, np.uint64)
+    spread = mix(shingles ^ np.uint64(0x5BD1E995))
+    rare = np.ones(len(shingles), np.int64)
     if len(common):
         at = np.searchsorted(common, shingles)
         at[at == len(common)] = 0
         rare[common[at] == shingles] = 0
     found = []
-    for scheme in (own, own + 1):
+    for scheme in rule.schemes(len(shingles)):
         k = rule.groups(scheme)
-        if k:
-            group = (spread >> np.uint64(20)) % np.uint64(k)
-            order = np.argsort(group)
-            group = group[order]
-            first = np.flatnonzero(np.diff(group, prepend=np.uint64(k)))
+        group = (spread >> np.uint64(20)) % np.uint64(k)
+        # Numbers of 16 bits are sorted by their digits.
+        order = np.argsort(group.astype(np.uint16) if k <= 1 << 16 else group, kind="stable")
+        group = group[order]
+        first = _firsts(group)
+        content = np.add.reduceat(spread[order], first)
+        told = mix(content ^ mix(group[first] + np.uint64(scheme << 32)))
+        if len(told) > most + 1:
             weight = np.add.reduceat(rare[order], first)
-            content = np.add.reduceat(spread[order], first)
-            label = group[first] + np.uint64(scheme << 32)
-            enough = rule.most_differing(scheme) + 1
-            if len(weight) > enough:
-                told = weight >= np.partition(weight, -enough)[-enough]
-                content, label = content[told], label[told]
-            found.append(mix(content ^ mix(label)))
-    return np.concatenate(found) if found else np.empty(0, np.uint64)
+            told = told[np.lexsort((told, weight))[-most - 1 :]]
+        found.append(told)
+    return np.concatenate(found)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -215,11 +232,29 @@ def _group_rows(docs: DataFrame, n: int, rule: Rule, common: np.ndarray) -> Data
 
 def _stars(grouped: DataFrame) -> DataFrame:
     """grp, member and hub of all sets that share a group hash with another set: the hub
-    is the smallest member, the others have a row each."""
-    same = Window.partitionBy("grp").orderBy("member")
-    running = same.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    star = grouped.select("grp", "member", F.first("member").over(running).alias("hub"))
-    return written(star.filter("member != hub"), "stars")
+    is the smallest member, the others have a row each.
+
+    Most hashes have one member.  Sorted rows go by in batches, of which the last hash and
+    its hub are kept: a window would begin anew for every hash."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            grp, member = (batch.column(c).to_numpy() for c in ("grp", "member"))
+            if not len(grp):
+                continue
+            first = _firsts(grp)
+            hub = np.repeat(member[first], np.diff(np.append(first, len(grp))))
+            if last is not None and grp[0] == last[0]:
+                hub[: first[1] if len(first) > 1 else len(grp)] = last[1]
+            last = grp[-1], hub[-1]
+            others = np.flatnonzero(member != hub)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[others]) for x in (grp, member, hub)], ["grp", "member", "hub"]
+            )
+
+    same = grouped.select("grp", "member").repartition("grp").sortWithinPartitions("grp", "member")
+    return written(same.mapInArrow(run, "grp long, member long, hub long"), "stars")
 
 
 def _planned(points: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -109,6 +109,37 @@ def test_linked_sets_share_a_group():
                 assert np.intersect1d(*told).size
 
 
+def test_told_groups_are_few_and_enough():
+    """D + 1 groups for each scheme, whatever they weigh, and linked sets still share one."""
+    rng, rule = np.random.default_rng(12), nj.Rule(80)
+    sizes = rng.integers(8, 600, 300)
+    rows = 0
+    for n in sizes:
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        gone = int(rng.integers(0, rule.most_differing(n) + 1))
+        fresh = np.unique(rng.integers(0, 2**63, int(rng.integers(0, n // 4 + 1))).astype(np.uint64))
+        common = np.sort(rng.choice(a, n // 2, replace=False))
+        for b in (a[gone:], np.unique(np.append(a, fresh)), np.unique(np.append(a[gone // 2 :], fresh[: gone // 2]))):
+            for held in (common, common[:0]):
+                told = [nj.group_hashes(x, rule, held) for x in (a, b)]
+                rows += len(told[0])
+                if rule.links(len(np.intersect1d(a, b)), len(a) + len(b)) and len(a) != len(b):
+                    assert np.intersect1d(*told).size
+    assert rows < 0.4 * 6 * sizes.sum()
+
+
+def test_stars(spark):
+    """A hash of many members, over many batches, has one hub."""
+    rng = random.Random(3)
+    pairs = [(7, k) for k in range(25_000)] + [(rng.randrange(100, 4000), rng.randrange(500)) for _ in range(6000)]
+    rng.shuffle(pairs)
+    least = {}
+    for g, m in pairs:
+        least[g] = min(m, least.get(g, m))
+    found = nj._stars(spark.createDataFrame(pairs, "grp long, member long")).collect()
+    assert sorted(map(tuple, found)) == sorted((g, m, least[g]) for g, m in pairs if m != least[g])
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 101), (7, 7)] + [(200, 200 + k) for k in range(9)]
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
