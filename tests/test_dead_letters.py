@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from skyledger.sinks.table import withdraw, write_batch
 from skyledger.sources import stored
 from skyledger.sources.cities import DEFAULT_CITIES
-from skyledger.streaming.cycle import SOURCE, _Store, dead_letters
+from skyledger.streaming.cycle import SOURCE, _Store, dead_letters, state_parts
 
 
 def test_each_row_of_few_files_is_tried_once_more(spark, tmp_path):
@@ -41,3 +41,15 @@ def test_a_withdrawn_batch_takes_no_disk_and_can_come_again(spark, tmp_path):
     first = write_batch(records, root, "a")
     assert (first.stored + first.errors, first.last_id) == (2, first.stored)
     assert stored.read_all(spark, root).count() == 4
+
+
+def test_state_is_packed_unless_the_user_chose(spark):
+    codec = "spark.sql.streaming.stateStore.compression.codec"
+    before = spark.conf.get(codec)
+    with state_parts(spark):
+        assert spark.conf.get(codec) == "zstd"
+    assert spark.conf.get(codec) == before
+    spark.conf.set(codec, "snappy")
+    with state_parts(spark):
+        assert spark.conf.get(codec) == "snappy"
+    spark.conf.unset(codec)
